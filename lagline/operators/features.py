@@ -85,32 +85,31 @@ def one_hot_wide(
     return df.select(*[quoted(c) for c in df.columns if c not in levels], *flags)
 
 
-def one_hot_stages(
+def fit_one_hot(
     df: DataFrame, columns: Sequence[str], drop_first: bool = False
-) -> tuple[list, list[str], list[str]]:
-    """Stages coding text columns as sparse vectors, their outputs and the slot names.
+) -> tuple[list[Transformer], list[str], list[str]]:
+    """Fitted stages coding text columns as sparse vectors, their outputs, the slot names.
 
-    Every level keeps its slot because the encoder's last slot, which it drops, is the
-    indexer's slot for unseen values; unseen and missing values become all zeros.
+    One scan learns the levels of all columns. Every level keeps its slot because the
+    slot the encoder drops is the indexer's slot for unseen values; unseen and missing
+    values become all zeros.
     """
-    levels = category_levels(df, columns)
-    stages, outputs, names = [], [], []
-    for c in columns:
-        index, vector = f"{c}__index", f"{c}__hot"
-        stages += [
-            StringIndexer(inputCol=c, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep"),
-            OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True, handleInvalid="keep"),
-        ]
-        kept = levels[c]
+    if not columns:
+        return [], [], []
+    indexes, vectors = [f"{c}__index" for c in columns], [f"{c}__hot" for c in columns]
+    indexer = StringIndexer(
+        inputCols=list(columns), outputCols=indexes, stringOrderType="alphabetAsc", handleInvalid="keep"
+    ).fit(df)
+    encoder = OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=True)
+    stages: list[Transformer] = [indexer, encoder.fit(indexer.transform(df))]
+    names = []
+    for i, (c, levels) in enumerate(zip(columns, indexer.labelsArray)):
         if drop_first:
-            kept = kept[1:]
-            stages.append(
-                VectorSlicer(inputCol=vector, outputCol=f"{c}__rest", indices=list(range(1, len(levels[c]))))
-            )
-            vector = f"{c}__rest"
-        outputs.append(vector)
-        names += [f"{c}_{v}" for v in kept]
-    return stages, outputs, names
+            rest = list(range(1, len(levels)))
+            stages.append(VectorSlicer(inputCol=vectors[i], outputCol=f"{c}__rest", indices=rest))
+            vectors[i] = f"{c}__rest"
+        names += [f"{c}_{v}" for v in levels[1 if drop_first else 0 :]]
+    return stages, vectors, names
 
 
 # --- scaling ------------------------------------------------------------------

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ from lagline.operators.features import (
     DateParts,
     LateLabeler,
     Standardizer,
-    one_hot_stages,
+    fit_one_hot,
     select_vector_slots,
 )
 from lagline.operators.splitting import TRAIN, stratified_split
@@ -109,7 +109,6 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     staged = stage_table(keyed, "distinct-rows")
     require_both_classes(staged, label)
     split = stratified_split(staged, label, [ROW_ID], config.test_size, config.seed, SPLIT)
-    split = stage_table(split, "split-rows", [SPLIT])
 
     fit_rows = split if config.fit_rows == "all" else split.where(F.col(SPLIT) == TRAIN)
     dropper = ColumnDropper(columns=list(config.drop_geography))
@@ -122,12 +121,11 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     folder = RareFolder(columns=text, maxCategories=config.max_categories).fit(filled)
 
     folded = folder.transform(capper.transform(filled))
-    hot_stages, hot_columns, hot_names = one_hot_stages(folded, text)
-    hot = Pipeline(stages=hot_stages).fit(folded)
+    hot, hot_columns, hot_names = fit_one_hot(folded, text)
     names = [*numeric, *hot_names]
     assembler = VectorAssembler(inputCols=[*numeric, *hot_columns], outputCol="all_features", handleInvalid="keep")
 
-    cleaned = PipelineModel([dropper, filler, capper, folder, *hot.stages])
+    cleaned = PipelineModel([dropper, filler, capper, folder, *hot])
     ready = cleaned.transform(split.where(F.col(SPLIT) == TRAIN))
     slots = select_vector_slots(
         assembler.transform(ready).select("all_features"),
@@ -138,7 +136,7 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     scaler = Standardizer(columns=numeric).fit(ready)
     slicer = VectorSlicer(inputCol="all_features", outputCol=FEATURES, indices=slots)
 
-    after_split = PipelineModel([dropper, filler, capper, folder, *hot.stages, scaler, assembler, slicer])
+    after_split = PipelineModel([dropper, filler, capper, folder, *hot, scaler, assembler, slicer])
     rows = after_split.transform(split).select(ROW_ID, quoted(label), FEATURES, SPLIT)
     return Prepared(
         stage_table(rows, "prepared", [SPLIT]),

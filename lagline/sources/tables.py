@@ -22,7 +22,7 @@ FROM_REGION = {"market"}
 FROM_PART = {"category", "product", "brand", "unit_price", "size"}
 
 NUMERIC = ["sales", "quantity", "discount", "tax", "unit_price", "order_total", "scheduled_days"]
-CATEGORIES = ["priority", "market", "region", "category", "segment", "return_flag"]
+CATEGORIES = ["priority", "market", "region", "category"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,7 @@ _EXPRESSIONS = {
     "quantity": lambda: F.col("l_quantity"),
     "discount": lambda: F.col("l_discount"),
     "tax": lambda: F.col("l_tax"),
+    "net_sales": lambda: F.col("l_extendedprice") * (1 - F.col("l_discount")),
     "return_flag": lambda: F.col("l_returnflag"),
     "line_status": lambda: F.col("l_linestatus"),
 }
@@ -111,6 +112,7 @@ lines AS (
          p_retailprice AS unit_price, p_size AS size,
          l_extendedprice AS sales, l_quantity AS quantity,
          l_discount AS discount, l_tax AS tax,
+         l_extendedprice * (1 - l_discount) AS net_sales,
          l_returnflag AS return_flag, l_linestatus AS line_status
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
