@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
@@ -74,19 +73,22 @@ def expected_counts(
 ) -> DataFrame:
     """(column, value, label, observed, expected) under independence."""
     counts = contingency(df, columns, label, labels)
-    by_column = W.partitionBy("column")  # over counted categories, not over rows
+    totals = counts.groupBy("column").agg(
+        F.sum("n").alias("total"), *[F.sum(f"n_{v}").alias(f"total_{v}") for v in labels]
+    )
     cells = F.array(
         *[
             F.struct(
                 F.lit(str(v)).alias("label"),
                 F.col(f"n_{v}").alias("observed"),
-                F.sum(f"n_{v}").over(by_column).alias("label_total"),
+                F.col(f"total_{v}").alias("label_total"),
             )
             for v in labels
         ]
     )
     return (
-        counts.select("column", "value", "n", F.sum("n").over(by_column).alias("total"), F.inline(cells))
+        counts.join(totals, "column")
+        .select("column", "value", "n", "total", F.inline(cells))
         .where(F.col("label_total") > 0)
         .select(
             "column",

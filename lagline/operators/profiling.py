@@ -101,7 +101,7 @@ def table_info(df: DataFrame) -> DataFrame:
 def class_distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows and percentage per value of ``column`` (a label or a prediction)."""
     counted = df.groupBy(quoted(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(W.partitionBy())  # over the counted classes, not over rows
+    total = counted.agg(F.sum("n")).scalar()
     return counted.select("value", "n", (F.col("n") * 100.0 / total).alias("pct")).orderBy("value")
 
 
