@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from lagline.functions.columns import quoted
 
-SKETCH_ACCURACY = 10_000
-SMALL_COLUMN = 1_000_000
+SKETCH_ACCURACY = 10_000  # of the values returned with exact=False
+BRACKET_ACCURACY = 2_000  # of the brackets of the exact search
+SMALL_COLUMN = 100_000
 READ_LIMIT = 10_000
 
 
@@ -38,17 +39,32 @@ class _Bracket:
     below: int = 0
     low: float | None = None
     high: float | None = None
-    margin: float = 2 / SKETCH_ACCURACY
+    margin: int = 2  # in steps of the sketch
     value: float | None = None
 
-    def holds(self) -> Column:
-        c = quoted(self.column)
-        inside = c.isNotNull()
-        if self.low is not None:
-            inside = inside & (c > F.lit(self.low))
-        if self.high is not None:
-            inside = inside & (c < F.lit(self.high))
-        return inside
+    def span(self) -> tuple:
+        return self.column, self.low, self.high
+
+    def ends(self) -> tuple[float, float]:
+        """Shares of the interval's values between which the rank must lie."""
+        return _around((self.rank - self.below + 0.5) / self.inside, self.margin)
+
+
+def _around(share: float, margin: int) -> tuple[float, float]:
+    place = share * BRACKET_ACCURACY
+    low = max(0, math.floor(place) - margin)
+    high = min(BRACKET_ACCURACY, math.ceil(place) + margin)
+    return low / BRACKET_ACCURACY, high / BRACKET_ACCURACY
+
+
+def _inside(column: str, low: float | None, high: float | None) -> Column:
+    c = quoted(column)
+    inside = c.isNotNull()
+    if low is not None:
+        inside = inside & (c > F.lit(low))
+    if high is not None:
+        inside = inside & (c < F.lit(high))
+    return inside
 
 
 def quantiles(
@@ -65,32 +81,44 @@ def quantiles(
     """
     if not columns:
         return {}
-    probabilities = list(probabilities)
+    columns, probabilities = list(columns), list(probabilities)
     data = df.select(*[quoted(c).cast("double").alias(c) for c in columns])
-    first = [F.count(quoted(c)) for c in columns]
     if not exact:
-        first += [
-            F.percentile_approx(quoted(c), probabilities, SKETCH_ACCURACY) for c in columns
-        ]
-        row = data.agg(*first).first()
-        return {c: list(row[len(columns) + i] or [None] * len(probabilities)) for i, c in enumerate(columns)}
-
-    counts = dict(zip(columns, data.agg(*first).first()))
+        row = data.agg(
+            *[F.percentile_approx(quoted(c), probabilities, SKETCH_ACCURACY) for c in columns]
+        ).first()
+        return {c: list(row[i] or [None] * len(probabilities)) for i, c in enumerate(columns)}
+
+    # One scan counts all columns and brackets their quantiles.
+    ends = [_around(p, _Bracket.margin) for p in probabilities]
+    shares = sorted({share for pair in ends for share in pair})
+    row = data.agg(
+        *[F.count(quoted(c)) for c in columns],
+        *[F.percentile_approx(quoted(c), shares, BRACKET_ACCURACY) for c in columns],
+    ).first()
+    counts = dict(zip(columns, row))
     few = [c for c in columns if counts[c] <= small]
     many = [c for c in columns if counts[c] > small]
     result: dict[str, list[float | None]] = {}
     if few:
-        row = data.agg(*[F.percentile(quoted(c), probabilities) for c in few]).first()
-        result.update({c: list(row[i] or [None] * len(probabilities)) for i, c in enumerate(few)})
+        row_of_few = data.agg(*[F.percentile(quoted(c), probabilities) for c in few]).first()
+        result.update({c: list(v or [None] * len(probabilities)) for c, v in zip(few, row_of_few)})
     if many:
-        ranks = {c: [_position(counts[c], p) for p in probabilities] for c in many}
-        wanted = {c: sorted({r for low, high, _ in ranks[c] for r in (low, high)}) for c in many}
-        found = order_statistics(data, wanted, counts, limit)
+        sketched = {c: dict(zip(shares, row[len(columns) + columns.index(c)])) for c in many}
+        places = {(c, k): _position(counts[c], p) for c in many for k, p in enumerate(probabilities)}
+        brackets, bounds = {}, {}
+        for (c, k), (low, high, _) in places.items():
+            for rank in (low, high):
+                brackets[c, rank] = _Bracket(c, rank, counts[c])
+                bounds[c, rank] = tuple(sketched[c][share] for share in ends[k])
+        _settle(data, list(brackets.values()), list(bounds.values()))
+        _search(data, list(brackets.values()), limit)
         for c in many:
-            result[c] = [
-                found[c, low] + (found[c, high] - found[c, low]) * weight
-                for low, high, weight in ranks[c]
-            ]
+            result[c] = []
+            for k in range(len(probabilities)):
+                low, high, weight = places[c, k]
+                a, b = brackets[c, low].value, brackets[c, high].value
+                result[c].append(a + (b - a) * weight)
     return result
 
 
@@ -100,43 +128,43 @@ def _position(n: int, probability: float) -> tuple[int, int, float]:
     return low, min(low + 1, n - 1), place - low
 
 
-def order_statistics(
-    data: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int], limit: int = READ_LIMIT
-) -> dict[tuple[str, int], float]:
-    """The values at the given 0-based ranks of each (double) column."""
-    brackets = [_Bracket(c, r, counts[c]) for c in ranks for r in ranks[c]]
+def _search(data: DataFrame, brackets: list[_Bracket], limit: int) -> None:
+    """Narrow until every bracket is settled or few enough values are left to read."""
     while pending := [b for b in brackets if b.value is None and b.inside > limit]:
         _narrow(data, pending)
     if leaves := [b for b in brackets if b.value is None]:
         _read(data, leaves)
-    return {(b.column, b.rank): b.value for b in brackets}
 
 
 def _narrow(data: DataFrame, pending: list[_Bracket]) -> None:
-    """Shrink every pending bracket to about 1/2500 of its rows: two scans for all.
+    """Shrink every pending bracket to about 1/400 of its rows: two scans for all.
 
-    The ends come from a sketch and are then counted exactly, so that a rank on an end
-    is settled at once and the rest lies strictly between the ends.
+    One sketch per distinct interval proposes the ends.
     """
-    sketches = []
+    shares: dict[tuple, list[float]] = {}
     for b in pending:
-        share = (b.rank - b.below + 0.5) / b.inside
-        ends = [max(0.0, share - b.margin), min(1.0, share + b.margin)]
-        values = F.when(b.holds(), quoted(b.column))
-        sketches.append(F.percentile_approx(values, ends, SKETCH_ACCURACY))
-    ends = data.agg(*sketches).first()
-    checks = []
-    for b, (low, high) in zip(pending, ends):
-        c = quoted(b.column)
-        checks += [
-            F.count_if(c < F.lit(low)),
-            F.count_if(c <= F.lit(low)),
-            F.count_if(c < F.lit(high)),
-            F.count_if(c <= F.lit(high)),
-        ]
+        shares[b.span()] = sorted({*shares.get(b.span(), []), *b.ends()})
+    sketches = [
+        F.percentile_approx(F.when(_inside(*span), quoted(span[0])), wanted, BRACKET_ACCURACY)
+        for span, wanted in shares.items()
+    ]
+    row = data.agg(*sketches).first()
+    values = {span: dict(zip(wanted, found)) for (span, wanted), found in zip(shares.items(), row)}
+    _settle(data, pending, [tuple(values[b.span()][s] for s in b.ends()) for b in pending])
+
+
+def _settle(data: DataFrame, brackets: list[_Bracket], bounds: list[tuple[float, float]]) -> None:
+    """Count the proposed ends exactly and move the brackets between them.
+
+    A rank on an end is settled at once; the rest lies strictly between the ends.
+    """
+    cuts = sorted({(b.column, v) for b, pair in zip(brackets, bounds) for v in pair})
+    checks = [e for c, v in cuts for e in (F.count_if(quoted(c) < F.lit(v)), F.count_if(quoted(c) <= F.lit(v)))]
     seen = data.agg(*checks).first()
-    for i, (b, (low, high)) in enumerate(zip(pending, ends)):
-        under_low, to_low, under_high, to_high = seen[4 * i : 4 * i + 4]
+    counted = {cut: (seen[2 * i], seen[2 * i + 1]) for i, cut in enumerate(cuts)}
+    for b, (low, high) in zip(brackets, bounds):
+        under_low, to_low = counted[b.column, low]
+        under_high, to_high = counted[b.column, high]
         if not under_low <= b.rank < to_high:  # outside the sketch's guarantee: look wider
             b.margin *= 4
         elif b.rank < to_low:
@@ -148,29 +176,27 @@ def _narrow(data: DataFrame, pending: list[_Bracket]) -> None:
 
 
 def _read(data: DataFrame, leaves: list[_Bracket]) -> None:
-    """Read the distinct values of brackets already known to hold few rows."""
+    """Read the distinct values of intervals already known to hold few rows."""
+    spans = list(dict.fromkeys(b.span() for b in leaves))
     hits = F.array(
         *[
-            F.when(b.holds(), F.struct(F.lit(i).alias("id"), quoted(b.column).alias("value")))
-            for i, b in enumerate(leaves)
+            F.when(_inside(*span), F.struct(F.lit(i).alias("id"), quoted(span[0]).alias("value")))
+            for i, span in enumerate(spans)
         ]
     )
-    inside = (
-        data.select(F.explode(F.array_compact(hits)).alias("hit"))
+    rows = (
+        data.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("hit"))
         .groupBy("hit.id", "hit.value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .collect()  # at most READ_LIMIT values per interval
     )
-    for i, rows in _grouped(inside.collect()).items():
-        b, seen = leaves[i], leaves[i].below
-        for value, n in sorted(rows):
+    found: dict[tuple, list[tuple[float, int]]] = {span: [] for span in spans}
+    for r in rows:
+        found[spans[r["id"]]].append((r["value"], r["n"]))
+    for b in leaves:
+        seen = b.below
+        for value, n in sorted(found[b.span()]):
             seen += n
             if b.rank < seen:
                 b.value = value
                 break
-
-
-def _grouped(rows: list) -> dict[int, list[tuple[float, int]]]:
-    groups: dict[int, list[tuple[float, int]]] = {}
-    for r in rows:
-        groups.setdefault(r["id"], []).append((r["value"], r["n"]))
-    return groups

@@ -139,7 +139,9 @@ def range_bucket(value: Column, edges: Column) -> Column:
     """Bucket of ``value``: how many edges are smaller, by two looks at 32 edges each."""
     skipped = F.size(F.filter(edges["coarse"], lambda e: e < value)) * FINE_BUCKETS
     run = F.slice(edges["all"], skipped + 1, F.lit(FINE_BUCKETS))
-    return skipped + F.size(F.filter(run, lambda e: e < value))
+    bucket = skipped + F.size(F.filter(run, lambda e: e < value))
+    # never NULL: or a later join would test this expression on every row below
+    return F.coalesce(bucket, F.lit(0))
 
 
 def running_totals(

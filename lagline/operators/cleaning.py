@@ -156,6 +156,11 @@ class GapFiller(Estimator, _Stage):
 # --- outliers -----------------------------------------------------------------
 
 
+def iqr_reach(q1: float, q3: float) -> tuple[float, float]:
+    reach = fixed.IQR_FACTOR * (q3 - q1)
+    return q1 - reach, q3 + reach
+
+
 def iqr_limits(
     df: DataFrame, columns: Sequence[str], exact: bool = True
 ) -> dict[str, dict[str, float]]:
@@ -163,8 +168,8 @@ def iqr_limits(
     limits = {}
     for c, (q1, q3) in quantiles(df, columns, [0.25, 0.75], exact).items():
         if q1 is not None:
-            reach = fixed.IQR_FACTOR * (q3 - q1)
-            limits[c] = {"q1": q1, "q3": q3, "lower": q1 - reach, "upper": q3 + reach}
+            lower, upper = iqr_reach(q1, q3)
+            limits[c] = {"q1": q1, "q3": q3, "lower": lower, "upper": upper}
     return limits
 
 

@@ -232,32 +232,45 @@ def calibration_curve(predictions: DataFrame, bins: int = fixed.CALIBRATION_BINS
 # --- comparison ---------------------------------------------------------------
 
 
-def overfitting_gap(predictions: DataFrame) -> DataFrame:
-    """Train and test accuracy and F1 per model and their gap; NULL without train rows."""
-    counts = predictions.groupBy("model").agg(
+def side_counts(predictions: DataFrame) -> DataFrame:
+    """Confusion counts of the train and the test rows, one row per model."""
+    y, p = F.col("label"), F.col("prediction")
+    cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
+    return predictions.groupBy("model").agg(
         *[
-            F.count_if((F.col("split") == s) & (F.col("label") == y) & (F.col("prediction") == p)).alias(f"{s}_{name}")
-            for s in ("train", "test")
-            for name, y, p in (("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1))
+            F.count_if((F.col("split") == side) & (y == truth) & (p == guess)).alias(f"{side}_{name}")
+            for side in ("train", "test")
+            for name, (truth, guess) in cells.items()
         ]
     )
 
-    def accuracy(s: str) -> Column:
-        right = F.col(f"{s}_tp") + F.col(f"{s}_tn")
-        return F.try_divide(right.cast("double"), right + F.col(f"{s}_fp") + F.col(f"{s}_fn"))
 
-    def f1(s: str) -> Column:
-        tp, wrong = F.col(f"{s}_tp"), F.col(f"{s}_fp") + F.col(f"{s}_fn")
-        return F.when(accuracy(s).isNotNull(), _ratio(2 * tp, 2 * tp + wrong))
+def _side_metric(side: str, metric: str) -> Column:
+    """A metric of one side; NULL where the side has no rows."""
+    tn, fp, fn, tp = (F.col(f"{side}_{c}") for c in CONFUSION)
+    top, bottom = {
+        "accuracy": (tp + tn, tp + tn + fp + fn),
+        "precision": (tp, tp + fp),
+        "recall": (tp, tp + fn),
+        "f1_score": (2 * tp, 2 * tp + fp + fn),
+        "specificity": (tn, tn + fp),
+        "sensitivity": (tp, tp + fn),
+    }[metric]
+    return F.when(tn + fp + fn + tp > 0, _ratio(top, bottom))
 
-    return counts.select(
-        "model",
-        accuracy("train").alias("train_accuracy"),
-        f1("train").alias("train_f1_score"),
-        accuracy("test").alias("test_accuracy"),
-        f1("test").alias("test_f1_score"),
-        (accuracy("train") - accuracy("test")).alias("overfitting_gap"),
-    )
+
+def _gap() -> Column:
+    return (_side_metric("train", "accuracy") - _side_metric("test", "accuracy")).alias("overfitting_gap")
+
+
+def overfitting_gap(predictions: DataFrame) -> DataFrame:
+    """Train and test accuracy and F1 per model and their gap; NULL without train rows."""
+    metrics = [
+        _side_metric(side, metric).alias(f"{side}_{metric}")
+        for side in ("train", "test")
+        for metric in ("accuracy", "f1_score")
+    ]
+    return side_counts(predictions).select("model", *metrics, _gap())
 
 
 def business_value(
@@ -299,24 +312,21 @@ def business_from_counts(
 
 def comparison_table(predictions: DataFrame, digits: int = 4) -> DataFrame:
     """One row per model: test metrics, train metrics, gap and ranking metrics, rounded."""
-    test = predictions.where(F.col("split") == "test")
-    counts = count_metrics(confusion_counts(test)).select(
-        "model",
-        F.col("precision").alias("test_precision"),
-        F.col("recall").alias("test_recall"),
-        F.col("specificity").alias("test_specificity"),
-        F.col("sensitivity").alias("test_sensitivity"),
-    )
-    ranked = ranking_metrics(test).select(
+    wanted = [
+        *(("train", m) for m in ("accuracy", "f1_score")),
+        *(("test", m) for m in ("accuracy", "f1_score", "precision", "recall", "specificity", "sensitivity")),
+    ]
+    metrics = [_side_metric(side, metric).alias(f"{side}_{metric}") for side, metric in wanted]
+    counted = side_counts(predictions).select("model", *metrics, _gap())
+    ranked = ranking_metrics(predictions.where(F.col("split") == "test")).select(
         "model",
         F.col("roc_auc").alias("test_roc_auc"),
         F.col("avg_precision").alias("test_avg_precision"),
     )
-    table = overfitting_gap(predictions).join(counts, "model").join(ranked, "model", "left")
-    metrics = [c for c in table.columns if c != "model"]
+    table = counted.join(ranked, "model", "left")
     return table.select(
         "model",
-        *[F.round(c, digits).alias(c) for c in metrics],
+        *[F.round(c, digits).alias(c) for c in table.columns if c != "model"],
         F.col("test_roc_auc").isNotNull().alias("has_probabilities"),
     )
 

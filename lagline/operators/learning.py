@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
 from lagline.functions.columns import quoted
-from lagline.operators.neighbours import KnnClassifier, nearest_neighbours, vote_all
+from lagline.operators.neighbours import (
+    KnnClassifier,
+    distinct_points,
+    nearest_of_points,
+    vote_all,
+)
 from lagline.operators.splitting import stratified_folds
 
 WEIGHT, FOLD = "class_weight", "fold"
@@ -209,22 +214,29 @@ def knn_fold_scores(
     """
     folded = stratified_folds(train, label, keys, folds, seed)
     truth = folded.select(quoted(key).alias("query"), quoted(label).alias("label"), FOLD)
+    points, members = distinct_points(folded, key, features, FOLD)
+    # identical rows of a fold share their votes: count them instead of repeating the votes
+    weights = members.join(truth, "query").groupBy("point", FOLD, "label").agg(F.count(F.lit(1)).alias("n"))
     scored = None
     for metric in grid["metric"]:
-        found = nearest_neighbours(
-            folded, folded, max(grid["n_neighbors"]), metric, key, features, label, leave_out=FOLD
+        found = nearest_of_points(
+            folded, points, max(grid["n_neighbors"]), metric, key, features, label, leave_out=FOLD
         )
         votes = vote_all(found, grid["n_neighbors"]).where(F.col("weights").isin(list(grid["weights"])))
         votes = votes.withColumn("metric", F.lit(metric))
         scored = votes if scored is None else scored.unionByName(votes)
     y, p = F.col("label") == 1, F.col("probability") > 0.5  # an even vote goes to class 0
+
+    def rows(condition):
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
     return (
-        scored.join(truth, "query")
+        scored.withColumnRenamed("query", "point")
+        .join(weights, "point")
         .groupBy("metric", "n_neighbors", "weights", FOLD)
         .agg(
             F.coalesce(
-                F.try_divide(2.0 * F.count_if(y & p), F.count_if(y).cast("double") + F.count_if(p)),
-                F.lit(0.0),
+                F.try_divide(2.0 * rows(y & p), (rows(y) + rows(p)).cast("double")), F.lit(0.0)
             ).alias("f1_score")
         )
     )

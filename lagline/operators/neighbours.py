@@ -7,7 +7,8 @@ hold a nearer row. Queries travel only to the cells left, where blocks of bounde
 are compared with numpy and each keeps its k best; a rank over the survivors merges them.
 No candidate is dropped without proof, so the result equals comparing everything.
 
-Hot cells are cut into several training blocks by a hash of the key, and the queries
+Copies of a query are answered once, and of identical training rows only those that can
+be chosen are kept. Hot cells are cut into several training blocks by a hash of the key, and the queries
 visiting them likewise, so one task compares at most about ``block_rows`` with
 ``block_rows``. Only pivots and per-cell numbers reach the driver.
 """
@@ -97,22 +98,56 @@ def nearest_neighbours(
     query skips training rows of its own group: one join serves all folds. Keys identify
     rows on either side.
     """
+    points, members = distinct_points(queries, key, features, leave_out)
+    found = nearest_of_points(
+        train, points, k, metric, key, features, label, leave_out, max_pivots, block_rows
+    )
+    return members.join(found.withColumnRenamed("query", "point"), "point").drop("point")
+
+
+def distinct_points(
+    queries: DataFrame, key: str, features: str, leave_out: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Queries without repeats, and the (query, point) table leading to them.
+
+    Copies of a query share one answer. They collapse before the shuffle; a point is
+    known by the smallest key among its copies.
+    """
+    group = quoted(leave_out).cast("int") if leave_out else F.lit(0)
+    x = as_array(queries, features)
+    q = queries.select(quoted(key).alias("query"), F.xxhash64(x).alias("h"), x.alias("x"), group.alias("grp"))
+    points = q.groupBy("h", "x", "grp").agg(F.min("query").alias("point"))
+    members = q.join(points, ["h", "x", "grp"]).select("query", "point")
+    return points.select(F.col("point").alias("query"), "x", "grp"), members
+
+
+def nearest_of_points(
+    train: DataFrame,
+    points: DataFrame,
+    k: int,
+    metric: str,
+    key: str,
+    features: str,
+    label: str,
+    leave_out: str | None = None,
+    max_pivots: int = MAX_PIVOTS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``nearest_neighbours`` of the points given by ``distinct_points``."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     group = quoted(leave_out).cast("int") if leave_out else F.lit(0)
-    spark = train.sparkSession
     t = train.select(
         quoted(key).alias("neighbour"), as_array(train, features).alias("x"),
         quoted(label).cast("int").alias("label"), group.alias("grp"),
     )
-    q = queries.select(
-        quoted(key).alias("query"), as_array(queries, features).alias("x"), group.alias("grp")
-    )
-
     pivots = _choose_pivots(t, max_pivots)
+    # Of identical training rows only the k with the smallest keys can be chosen.
+    copies = W.partitionBy(F.xxhash64("x"), "x", "grp").orderBy("neighbour")
+    t = t.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy")
     celled = stage_table(t.withColumns(_cell_columns(pivots, metric)), "knn-cells")
     cells, sizes = _describe(celled, pivots, metric, k, bool(leave_out))
-    visits = stage_table(_visits(q, cells, bool(leave_out)), "knn-visits")
+    visits = stage_table(_visits(points, cells, bool(leave_out)), "knn-visits")
     visitors = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     t_parts = {c: math.ceil(n / block_rows) for c, n in sizes.items() if c in visitors}
@@ -122,7 +157,7 @@ def nearest_neighbours(
     block = ["cell", "t", "q"]
     best = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(
         _block_kernel(k, metric, bool(leave_out)),
-        f"query {q.schema['query'].dataType.simpleString()}, distance double, "
+        f"query {points.schema['query'].dataType.simpleString()}, distance double, "
         f"neighbour {t.schema['neighbour'].dataType.simpleString()}, label int",
     )
     order = W.partitionBy("query").orderBy("distance", "neighbour")
@@ -339,10 +374,12 @@ class KnnClassifier:
 
     def transform(self, queries: DataFrame) -> DataFrame:
         """(key, prediction, probability) for every query row."""
-        found = nearest_neighbours(
-            self.train, queries, self.n_neighbors, self.metric, self.key, self.features, self.label
+        points, members = distinct_points(queries, self.key, self.features)
+        found = nearest_of_points(
+            self.train, points, self.n_neighbors, self.metric, self.key, self.features, self.label
         )
-        return vote(found, self.weights).withColumnRenamed("query", self.key)
+        votes = vote(found, self.weights).withColumnRenamed("query", "point")
+        return members.join(votes, "point").drop("point").withColumnRenamed("query", self.key)
 
     def save(self, path: str) -> None:
         rows = self.train.select(quoted(self.key), quoted(self.features), quoted(self.label))

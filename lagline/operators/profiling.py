@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lagline import fixed_values as fixed
 from lagline.functions.columns import long_form, quoted, rows_per_column, value_counts
 from lagline.functions.quantiles import quantiles
-from lagline.operators.cleaning import iqr_limits, is_outside
+from lagline.operators.cleaning import iqr_reach, is_outside
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
@@ -205,25 +205,25 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = fixed.HISTOGRAM
 
 def box_summary(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Quartiles, whiskers (most extreme data within 1.5 IQR) and points beyond them."""
-    limits = iqr_limits(df, columns, exact)
-    present = [c for c in columns if c in limits]
-    medians = quantiles(df, present, [0.5], exact)
+    found = quantiles(df, columns, [0.25, 0.5, 0.75], exact)
     aggregates, fields = [], {}
-    for i, c in enumerate(present):
-        b, value = limits[c], quoted(c).cast("double")
-        outside = is_outside(value, b["lower"], b["upper"])
+    for i, c in enumerate(c for c in columns if found[c][0] is not None):
+        q1, median, q3 = found[c]
+        lower, upper = iqr_reach(q1, q3)
+        value = quoted(c).cast("double")
+        outside = is_outside(value, lower, upper)
         # a whisker never ends inside the box
-        low = F.min(F.when(~outside & (value <= F.lit(b["q1"])), value))
-        high = F.max(F.when(~outside & (value >= F.lit(b["q3"])), value))
+        low = F.min(F.when(~outside & (value <= F.lit(q1)), value))
+        high = F.max(F.when(~outside & (value >= F.lit(q3)), value))
         aggregates += [
-            F.coalesce(low, F.lit(b["q1"])).alias(f"_low_{i}"),
-            F.coalesce(high, F.lit(b["q3"])).alias(f"_high_{i}"),
+            F.coalesce(low, F.lit(q1)).alias(f"_low_{i}"),
+            F.coalesce(high, F.lit(q3)).alias(f"_high_{i}"),
             F.count_if(outside).alias(f"_out_{i}"),
         ]
         fields[c] = {
-            "q1": _number(b["q1"]),
-            "median": _number(medians[c][0]),
-            "q3": _number(b["q3"]),
+            "q1": _number(q1),
+            "median": _number(median),
+            "q3": _number(q3),
             "whisker_low": F.col(f"_low_{i}"),
             "whisker_high": F.col(f"_high_{i}"),
             "n_fliers": F.col(f"_out_{i}"),
