@@ -28,7 +28,7 @@ def frame(spark):
 @pytest.mark.parametrize("small,limit", [(10**6, 10_000), (0, 10_000), (0, 50), (0, 3)])
 def test_equals_linear_interpolation(frame, small, limit):
     pdf, df = frame
-    found = quantiles(df, pdf.columns, PROBABILITIES, small=small, limit=limit)
+    found = quantiles(df, list(pdf.columns), PROBABILITIES, small=small, limit=limit)
     for c in pdf.columns:
         want = np.quantile(pdf[c].dropna(), PROBABILITIES)
         assert np.allclose(found[c], want, rtol=0, atol=1e-12), c

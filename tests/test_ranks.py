@@ -76,6 +76,7 @@ def test_running_totals(spark):
 
 def test_buckets_are_balanced(spark):
     df = spark.range(20000).select((F.col("id") / 20000.0).alias("p"), F.lit("m").alias("model"))
-    bucketed = df.select(ranks.range_bucket(F.col("p"), ranks.range_edges(df, "p")).alias("b"))
+    edged = df.withColumn("edges", ranks.range_edges(df, "p"))
+    bucketed = edged.select(ranks.range_bucket(F.col("p"), F.col("edges")).alias("b"))
     sizes = [r["count"] for r in bucketed.groupBy("b").count().collect()]
     assert len(sizes) > 900 and max(sizes) < 60
