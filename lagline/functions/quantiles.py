@@ -13,6 +13,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import groupby
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ SKETCH_ACCURACY = 10_000  # of the values returned with exact=False
 BRACKET_ACCURACY = 2_000  # of the brackets of the exact search
 SMALL_COLUMN = 100_000
 READ_LIMIT = 10_000
+MAX_CUTS = 45
 
 
 @dataclass
@@ -153,15 +157,32 @@ def _narrow(data: DataFrame, pending: list[_Bracket]) -> None:
     _settle(data, pending, [tuple(values[b.span()][s] for s in b.ends()) for b in pending])
 
 
+def _by_column(cuts: list[tuple[str, float]], most: int) -> list[list[tuple[str, float]]]:
+    """Cuts in runs of about ``most`` that keep each column in one run.
+
+    Wider aggregates lose code generation; each run reads its own columns only.
+    """
+    runs: list[list[tuple[str, float]]] = []
+    for _, group in groupby(cuts, key=lambda cut: cut[0]):
+        found = list(group)
+        if runs and len(runs[-1]) + len(found) <= most:
+            runs[-1] += found
+        else:
+            runs.append(found)
+    return runs
+
+
 def _settle(data: DataFrame, brackets: list[_Bracket], bounds: list[tuple[float, float]]) -> None:
     """Count the proposed ends exactly and move the brackets between them.
 
     A rank on an end is settled at once; the rest lies strictly between the ends.
     """
     cuts = sorted({(b.column, v) for b, pair in zip(brackets, bounds) for v in pair})
-    checks = [e for c, v in cuts for e in (F.count_if(quoted(c) < F.lit(v)), F.count_if(quoted(c) <= F.lit(v)))]
-    seen = data.agg(*checks).first()
-    counted = {cut: (seen[2 * i], seen[2 * i + 1]) for i, cut in enumerate(cuts)}
+    counted = {}
+    for part in _by_column(cuts, MAX_CUTS):
+        checks = [e for c, v in part for e in (F.count_if(quoted(c) < F.lit(v)), F.count_if(quoted(c) <= F.lit(v)))]
+        seen = data.agg(*checks).first()
+        counted |= {cut: (seen[2 * i], seen[2 * i + 1]) for i, cut in enumerate(part)}
     for b, (low, high) in zip(brackets, bounds):
         under_low, to_low = counted[b.column, low]
         under_high, to_high = counted[b.column, high]
@@ -185,7 +206,8 @@ def _read(data: DataFrame, leaves: list[_Bracket]) -> None:
         ]
     )
     rows = (
-        data.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("hit"))
+        data.where(reduce(or_, [_inside(*span) for span in spans]))
+        .select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("hit"))
         .groupBy("hit.id", "hit.value")
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()  # at most READ_LIMIT values per interval

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,41 @@ def _wide_pairs(data: DataFrame, d: int) -> DataFrame:
     return sums.select("i", "j", F.when(defined, covariance / F.sqrt(var_x * var_y)).alias("r"))
 
 
+def vector_moments(df: DataFrame, column: str, shift: Sequence[float]) -> tuple[int, np.ndarray]:
+    """Row count and population covariance of a vector column, from one scan.
+
+    Each task multiplies its Arrow batches and sends one number per pair of slots; those
+    are added up by slot pair. ``shift`` should be near the means: it keeps the sums well
+    conditioned and changes nothing else.
+    """
+    d, offset = len(shift), np.asarray(shift, dtype=float)
+    left, right = np.triu_indices(d + 1)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((d + 1, d + 1))
+        for batch in batches:
+            x = np.vstack(batch["x"].to_numpy()) - offset
+            x = np.hstack([x, np.ones((len(x), 1))])  # the last slot counts rows and sums
+            total += x.T @ x
+        yield pd.DataFrame({"i": left, "j": right, "s": total[left, right]})
+
+    rows = (
+        df.select(vector_to_array(column).alias("x"))
+        .mapInPandas(products, "i int, j int, s double")
+        .groupBy("i", "j")
+        .agg(F.sum("s").alias("s"))
+        .collect()  # slots squared numbers
+    )
+    total = np.zeros((d + 1, d + 1))
+    for r in rows:
+        total[r["i"], r["j"]] = total[r["j"], r["i"]] = r["s"]
+    n = total[d, d]
+    if n == 0:
+        return 0, np.full((d, d), np.nan)
+    mean = total[:d, d] / n
+    return int(n), total[:d, :d] / n - np.outer(mean, mean)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long matrix (left, right, r): both triangles and a diagonal of 1."""
     pairs = correlation_pairs(df, columns).select("left", "right", "r")

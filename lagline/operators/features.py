@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +17,11 @@ from lagline.functions.columns import long_form, numeric_columns, quoted, rows_p
 from lagline.functions.dates import add_date_parts
 from lagline.functions.labels import add_late_label
 from lagline.operators.cleaning import _replace, _Stage
-from lagline.operators.correlation import columns_correlated_with_earlier, correlation_pairs
+from lagline.operators.correlation import (
+    columns_correlated_with_earlier,
+    correlation_pairs,
+    vector_moments,
+)
 
 MAX_LEVELS = 10_000
 
@@ -185,24 +189,25 @@ def correlated_columns(
 
 
 def select_vector_slots(
-    df: DataFrame, features: str, variance_threshold: float, correlation_threshold: float
+    df: DataFrame,
+    features: str,
+    shift: Sequence[float],
+    variance_threshold: float,
+    correlation_threshold: float,
 ) -> list[int]:
     """Slots of an assembled vector that vary enough and repeat no earlier slot.
 
-    The variance pass and the correlation pass are one aggregation each; the driver sees
-    slots squared numbers, never rows.
+    Variances and correlations come from one scan; the driver sees slots squared
+    numbers, never rows. ``shift`` holds a value near each slot's mean.
     """
-    vector = F.col(features)
-    summary = df.select(Summarizer.metrics("variance", "count").summary(vector).alias("s")).first()["s"]
-    n = summary["count"]
-    population = [v * (n - 1) / n for v in summary["variance"].toArray()] if n else []
-    varied = [i for i, v in enumerate(population) if v > variance_threshold]
-    if len(varied) < 2:
-        return varied
-    sliced = VectorSlicer(inputCol=features, outputCol="_kept", indices=varied).transform(df)
-    r = Correlation.corr(sliced.select("_kept"), "_kept").first()[0].toArray()
-    return [
-        slot
-        for j, slot in enumerate(varied)
-        if not any(abs(r[i, j]) > correlation_threshold for i in range(j))
-    ]
+    _, covariance = vector_moments(df, features, shift)
+    variance = np.diag(covariance)
+    varied = [i for i, v in enumerate(variance) if v > variance_threshold]
+    spread = np.sqrt(variance)
+    kept = []
+    for place, j in enumerate(varied):
+        earlier = varied[:place]
+        r = covariance[earlier, j] / (spread[earlier] * spread[j])
+        if not (np.abs(r) > correlation_threshold).any():
+            kept.append(j)
+    return kept

@@ -24,12 +24,16 @@ from lagline import fixed_values as fixed
 from lagline.functions.columns import numeric_columns, quoted, string_columns
 from lagline.functions.labels import require_both_classes
 from lagline.functions.ranks import row_hash
+from lagline.functions.quantiles import quantiles
 from lagline.operators.cleaning import (
     ColumnDropper,
-    GapFiller,
-    IqrCapper,
+    GapFillerModel,
+    IqrCapperModel,
     RareFolder,
     drop_duplicate_rows,
+    iqr_limits,
+    iqr_reach,
+    mode_values,
 )
 from lagline.operators.features import (
     DateParts,
@@ -115,9 +119,8 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     kept = dropper.transform(fit_rows)
     numeric = numeric_columns(kept, [label])
     text = string_columns(kept, [ROW_ID, SPLIT])
-    filler = GapFiller(numericCols=numeric, textCols=text, exact=config.exact).fit(kept)
+    filler, capper = _fit_numbers(kept, numeric, text, config.exact)
     filled = filler.transform(kept)
-    capper = IqrCapper(columns=numeric, exact=config.exact).fit(filled)
     folder = RareFolder(columns=text, maxCategories=config.max_categories).fit(filled)
 
     folded = folder.transform(capper.transform(filled))
@@ -130,6 +133,7 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     slots = select_vector_slots(
         assembler.transform(ready).select("all_features"),
         "all_features",
+        [filler.getOrDefault("medians").get(c, 0.0) for c in numeric] + [0.0] * len(hot_names),
         config.variance_threshold,
         config.correlation_threshold,
     )
@@ -146,6 +150,26 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     )
 
 
+def _fit_numbers(
+    df: DataFrame, numeric: Sequence[str], text: Sequence[str], exact: bool
+) -> tuple[GapFillerModel, IqrCapperModel]:
+    """Medians, modes and outlier limits; the limits hold for the filled columns.
+
+    One search finds the quartiles of all columns. Only columns with gaps are searched
+    again, since filling moves their quartiles.
+    """
+    found = quantiles(df, numeric, [0.25, 0.5, 0.75], exact)
+    medians = {c: q[1] for c, q in found.items() if q[1] is not None}
+    filler = GapFillerModel(medians, mode_values(df, text))
+    gaps = df.agg(F.count(F.lit(1)), *[F.count_if(quoted(c).isNull()) for c in numeric]).first()[1:]
+    with_gaps = [c for c, n in zip(numeric, gaps) if n and c in medians]
+    limits = {c: iqr_reach(found[c][0], found[c][2]) for c in medians}
+    again = iqr_limits(filler.transform(df), with_gaps, exact)
+    limits |= {c: (b["lower"], b["upper"]) for c, b in again.items()}
+    capper = IqrCapperModel({c: low for c, (low, _) in limits.items()}, {c: high for c, (_, high) in limits.items()})
+    return filler, capper
+
+
 def prepare_new(raw: DataFrame, stages: PipelineModel, keep: Sequence[str] = ()) -> DataFrame:
     """Prepare new rows as the training rows were; ``keep`` names columns to carry along."""
     carried = raw.withColumns({f"_kept_{c}": quoted(c) for c in keep})
