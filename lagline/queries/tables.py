@@ -24,6 +24,7 @@ from lagline.plans.examples import PREDICTIONS_SQL, example_predictions
 from lagline.queries import register, rounded
 from lagline.queries.sql import (
     BINARY_EMBEDDINGS_SQL,
+    BUSINESS_SQL,
     COMPARISON_SQL,
     CONFUSION_SQL,
     CORRELATION_COLUMNS,
@@ -213,7 +214,18 @@ def detailed_reports(spark, sf):
     return rounded(ev_plan.detailed_reports(example_predictions(spark, sf)))
 
 
-@register("s11_report_text")
+@register(
+    "s11_report_text",
+    f"""WITH {LINES_SQL}, {PREDICTIONS_SQL}, {CONFUSION_SQL}, {BUSINESS_SQL},
+    m AS (SELECT {metrics_columns_sql()} FROM confusion)
+    SELECT m.model, CAST(p AS INT) AS position, CASE p
+      WHEN 0 THEN printf('A Tiempo: %d right, %d wrong', tn, fp)
+      WHEN 1 THEN printf('Con Demora: %d right, %d wrong', tp, fn)
+      WHEN 2 THEN printf('accuracy %.4f, precision %.4f, recall %.4f, F1 %.4f', accuracy, "precision", recall, f1_score)
+      WHEN 3 THEN printf('specificity %.4f, sensitivity %.4f', specificity, sensitivity)
+      ELSE printf('net value %.2f, return %.2f%%', net_business_value, roi) END AS line
+    FROM m JOIN business USING (model), range(5) AS lines_of_report(p)""",
+)
 def report_text(spark, sf):
     return ev_plan.report_lines(example_predictions(spark, sf))
 
