@@ -142,7 +142,7 @@ def _binary_embeddings(spark, sf):
     return splitting.stratified_split(vectors, "label", ["row_id"])
 
 
-def _train_knn(spark, sf):
+def _knn_and_test_rows(spark, sf):
     rows = _binary_embeddings(spark, sf)
     return nn.KnnClassifier(rows.where("split = 'train'"), 5, "distance", "manhattan"), rows.where("split = 'test'")
 
@@ -161,7 +161,7 @@ KNN_TEST_SQL = f"WITH {BINARY_EMBEDDINGS_SQL}, {knn_vote_sql('manhattan', 5, 'di
     FROM m""",
 )
 def model_params_and_metrics_saved(spark, sf):
-    model, test = _train_knn(spark, sf)
+    model, test = _knn_and_test_rows(spark, sf)
     predictions = learning.score_knn(model, test, "knn", "label", ["split"])
     metrics = train_plan.test_metrics(predictions, by_probability=False)
     path = scratch_path(spark, "knn-run")
@@ -186,7 +186,7 @@ def comparison_saved(spark, sf):
     f"{KNN_TEST_SQL} SELECT row_id, prediction, round(probability, 6) AS probability FROM votes",
 )
 def model_loaded_and_scored(spark, sf):
-    model, test = _train_knn(spark, sf)
+    model, test = _knn_and_test_rows(spark, sf)
     path = scratch_path(spark, "knn-model")
     model.save(path)
     return rounded(nn.KnnClassifier.load(spark, path).transform(test))
