@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination
+from lagline.llm import decontamination, packing
 from lagline.llm.registry import read, register
 
 # --- 1 benchmark decontamination ------------------------------------------------
@@ -38,3 +39,15 @@ def benchmark_decontamination(spark, sf):
     found = decontamination.report(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
     ids = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", ids, "contaminated")
+
+
+# --- 2 packing ------------------------------------------------------------------
+
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op2_curve_packing")
+def curve_packing(spark, sf):
+    """Pieces of all documents in sequences of 4096 ids, along a Hilbert curve."""
+    pieces = packing.pack(read(spark, sf, "documents"), WORD_TOKENIZER)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

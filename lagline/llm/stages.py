@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lagline.llm import decontamination
+from lagline.llm import decontamination, packing
 from lagline.llm.registry import read
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
     return decontamination.remove_documents(docs, read(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences along a curve; the last stage."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
