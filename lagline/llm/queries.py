@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination, packing
+from lagline.llm import decontamination, neardup, packing
 from lagline.llm.registry import read, register
 
 # --- 1 benchmark decontamination ------------------------------------------------
@@ -51,3 +51,13 @@ def curve_packing(spark, sf):
     """Pieces of all documents in sequences of 4096 ids, along a Hilbert curve."""
     pieces = packing.pack(read(spark, sf, "documents"), WORD_TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# --- 3 near duplicates ----------------------------------------------------------
+
+
+@register("op3_minhash_near_duplicates")
+def minhash_near_duplicates(spark, sf):
+    """Components of all documents under a similarity of 0.8 of their four-word shingles."""
+    found = neardup.near_duplicates(read(spark, sf, "documents"), size=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lagline.llm import decontamination, packing
+from lagline.llm import decontamination, neardup, packing
 from lagline.llm.registry import read
 
 
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every component of near duplicates, the one with the smallest id."""
+    return neardup.remove_near_duplicates(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
     return decontamination.remove_documents(docs, read(spark, sf_dir, "benchmark"))
