@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination, neardup, packing
+from lagline.llm import decontamination, fingerprints, neardup, packing, pii, successors
 from lagline.llm.registry import read, register
 
 # --- 1 benchmark decontamination ------------------------------------------------
@@ -61,3 +61,44 @@ def minhash_near_duplicates(spark, sf):
     """Components of all documents under a similarity of 0.8 of their four-word shingles."""
     found = neardup.near_duplicates(read(spark, sf, "documents"), size=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+# --- 5 document fingerprints ----------------------------------------------------
+
+
+@register("op5_document_fingerprints")
+def document_fingerprints(spark, sf):
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    beside, order = successors.with_next(read(spark, sf, "documents").select("doc_id", "text"))
+    own = fingerprints.with_fingerprint(beside, "text", "fp")
+    own = own.withColumn("next_fp", F.lead("fp").over(order)).where("guest = 0")
+    n = F.char_length("text")
+    third = F.floor(n / 3).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
+    both = fingerprints.with_fingerprint(own.withColumn("edited", edited), "edited", "edited_fp")
+    return both.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("fp")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        fingerprints.resemblance(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
+# --- 6 personal data ------------------------------------------------------------
+
+
+def _listed(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@register("op6_personal_data")
+def personal_data(spark, sf):
+    """Personal data in all documents, plain and disguised."""
+    found = pii.spans(read(spark, sf, "documents"))
+    plain = F.filter("spans", lambda s: s["plain"])
+    kinds = F.transform(plain, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed(plain), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
