@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination, fingerprints, neardup, packing, pii, successors
+from lagline.llm import decontamination, fingerprints, neardup, packing, pii, successors, toxicity, warc
 from lagline.llm.registry import read, register
+from lagline.session import scratch_path
 
 # --- 1 benchmark decontamination ------------------------------------------------
 
@@ -102,3 +103,42 @@ def personal_data(spark, sf):
     kinds = F.transform(plain, lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed(plain), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
+# --- 7 toxicity -----------------------------------------------------------------
+
+
+@register("op7_toxicity")
+def toxic_documents(spark, sf):
+    """Toxicity scores of all documents by a model of the labels that aren't held out."""
+    docs = read(spark, sf, "documents")
+    found = toxicity.scored(docs, toxicity.fit(docs, read(spark, sf, "labels")))
+    held = toxicity.held_out(F.col("doc_id")).alias("held_out")
+    return found.select("doc_id", held, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+# --- 8 WARC archive -------------------------------------------------------------
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS bytes FROM pages),
+last AS (SELECT html, max(page_id) AS page FROM p WHERE bytes >= 1000 GROUP BY html)
+SELECT page_id, bytes AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN page IS NULL OR page = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page <> page_id THEN page END AS refers_to
+FROM p LEFT JOIN last ON p.html = last.html
+"""
+
+
+@register("op8_warc_archive", WARC_SQL)
+def warc_archive(spark, sf):
+    """All pages written as WARC records with payloads stored once, then read back."""
+    pages = read(spark, sf, "pages")
+    archive = warc.write_archive(pages, scratch_path(spark, "warc"))
+    id_type = pages.schema["page_id"].dataType
+    return warc.read_archive(spark, archive).select(
+        warc.field("Page").cast(id_type).alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+        warc.field("WARC-Type").alias("record_type"),
+        warc.field("Refers-To-Page").cast(id_type).alias("refers_to"),
+    )

@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination, neardup, packing, pii
+from lagline.llm import decontamination, neardup, packing, pii, toxicity
 from lagline.llm.registry import read
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model of the labels doesn't reject."""
+    return toxicity.remove_toxic(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every component of near duplicates, the one with the smallest id."""
     return neardup.remove_near_duplicates(docs)
