@@ -12,7 +12,11 @@ from lagline.llm import stages
 from lagline.session import stage_table
 
 STAGES = [
+    ("toxicity", stages.without_toxic),
+    ("near_duplicates", stages.without_near_duplicates),
     ("decontamination", stages.without_benchmark),
+    ("personal_data", stages.without_personal_data),
+    ("packing", stages.packed),
 ]
 
 # Toxicity is a trained model and packing a curve order; tests hold the stages against brute force.
