@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination, fingerprints, neardup, packing, pii, successors, toxicity, warc
+from lagline.llm import decontamination, fingerprints, lm, neardup, packing, pii, successors, tokencount, toxicity, warc
 from lagline.llm.registry import read, register
 from lagline.session import scratch_path
 
@@ -142,3 +142,34 @@ def warc_archive(spark, sf):
         warc.field("WARC-Type").alias("record_type"),
         warc.field("Refers-To-Page").cast(id_type).alias("refers_to"),
     )
+
+
+# --- 9 token counts -------------------------------------------------------------
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@register("op9_token_counts")
+def token_counts(spark, sf):
+    """Token counts of all documents before and after two edits, recounted around the edits only.
+
+    The first edit replaces up to seven characters at a third of the text; the second inserts the
+    text's first twenty characters at half of it.
+    """
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    kept = tokencount.trees(docs, RANKS, public_tokenizers.PATTERN)
+    n = F.length(F.coalesce("text", F.lit("")))
+    first = F.struct(F.floor(n / 3).alias("start"), F.lit(7).cast("long").alias("deleted"), F.lit("<edited> ").alias("inserted"))
+    second = F.struct(F.floor(n / 2).alias("start"), F.lit(0).cast("long").alias("deleted"), F.substring("text", 1, 20).alias("inserted"))
+    found = tokencount.recounted(docs.withColumn("edits", F.array(first, second)), kept, RANKS, public_tokenizers.PATTERN)
+    edited_chars = F.length("edited_text").cast("long").alias("edited_chars")
+    return found.select("doc_id", "n_tokens", edited_chars, "edited_tokens", "reencoded_chars")
+
+
+# --- 10 language model ----------------------------------------------------------
+
+
+@register("op10_language_model")
+def language_model(spark, sf):
+    """Log probabilities of all documents under a backoff automaton of the training documents."""
+    return lm.score(read(spark, sf, "documents"))
