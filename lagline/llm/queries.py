@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination, fingerprints, lm, neardup, packing, pii, successors, tokencount, toxicity, warc
+from lagline.llm import decontamination, fingerprints, lm, neardup, packing, pii, repeats, successors, tokencount, toxicity, warc
 from lagline.llm.registry import read, register
 from lagline.session import scratch_path
 
@@ -64,6 +64,22 @@ def minhash_near_duplicates(spark, sf):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+# --- 4 repeated byte strings ----------------------------------------------------
+
+
+@register("op4_suffix_repeats")
+def suffix_repeats(spark, sf):
+    """All documents without the bytes that 200-byte repeats cover."""
+    found = repeats.without_repeats(read(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 # --- 5 document fingerprints ----------------------------------------------------
 
 
