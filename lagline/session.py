@@ -34,7 +34,8 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="lagline-")
         spark.sparkContext.setCheckpointDir(base)

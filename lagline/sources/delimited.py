@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lagline import fixed_values as fixed
@@ -48,13 +49,15 @@ def probe(
 ) -> Dialect:
     """First encoding and delimiter that give more than one column.
 
-    Looks at the start of one file only. Without any match: latin-1 and ``;``.
+    The delimiter comes from the header of one file. An encoding in which bytes can be wrong must
+    hold for the whole input: UTF-8 is checked on every line, in one distributed pass. Without
+    any match: latin-1 and ``;``.
     """
     require_path(spark, path)
     head = _head(spark, path, probe_bytes)
     for encoding in encodings:
         text = _decode(head, encoding)
-        if text is None:
+        if text is None or (encoding == "utf-8" and not _all_utf8(spark, path)):
             continue
         for delimiter in delimiters:
             header = next(csv.reader(text.splitlines(), delimiter=delimiter), [])
@@ -77,6 +80,11 @@ def _head(spark: SparkSession, path: str, n: int) -> bytes:
         stream.close()
 
 
+def _all_utf8(spark: SparkSession, path: str) -> bool:
+    """Whether every line below ``path`` is UTF-8."""
+    return spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
+
+
 def _decode(head: bytes, encoding: str) -> str | None:
     """Text of the probe, or None if the bytes are not in this encoding.
 
@@ -93,9 +101,13 @@ def read_delimited(
     path: str,
     schema: T.StructType | str | None = None,
     dialect: Dialect | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read delimited text with a header; probes what ``dialect`` does not say.
 
+    Quotes inside quoted fields are doubled. Line breaks inside quotes need ``multi_line``, which
+    costs parallelism: then each file is read by one task.
+
     Pass ``schema`` for large inputs: without one Spark reads everything once more to
     infer the types. Names are trimmed and NaN becomes NULL.
     """
@@ -106,8 +118,10 @@ def read_delimited(
         .option("sep", found.delimiter)
         .option("encoding", charset)
         .option("ignoreLeadingWhiteSpace", False)
+        .option("quote", '"')
+        .option("escape", '"')
     )
-    if charset == "UTF-16":  # lines can only be split after decoding
+    if multi_line or charset == "UTF-16":  # lines can only be split after decoding
         reader = reader.option("multiLine", True)
     if schema is not None:
         df = reader.schema(schema).csv(path)

@@ -42,3 +42,17 @@ def test_json_objects(spark, tmp_path):
     values = {"metric": "manhattan", "n_neighbors": 15, "score": 0.5}
     delimited.write_json(spark, values, str(tmp_path / "p"))
     assert delimited.read_json_object(spark, str(tmp_path / "p")) == values
+
+
+def test_late_bytes_decide_the_encoding(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_bytes(b"id;name\n" + b"".join(b"%d;plain name\n" % i for i in range(8000)) + "8000;Jos\u00e9\n".encode("latin-1"))
+    df = delimited.read_delimited(spark, str(path))
+    assert df.where("id = 8000").first()["name"] == "Jos\u00e9" and df.count() == 8001
+
+
+def test_doubled_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('id,text\n1,"she said ""yes, now"""\n2,"two\nlines"\n')
+    df = delimited.read_delimited(spark, str(path), multi_line=True)
+    assert {r["id"]: r["text"] for r in df.collect()} == {1: 'she said "yes, now"', 2: "two\nlines"}
