@@ -150,6 +150,7 @@ def remove_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, most
 
 def remove_spans(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """``doc_id, text``: texts without their hit words; what stands between the words stays."""
+    docs = docs.select("doc_id", "text")
     found = report(docs, items, size).select(F.col("doc_id").alias("hit_id"), "text_key", "spans")
     same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(docs["text"]) == F.col("text_key"))
     text = F.coalesce(F.col("text"), F.lit(""))
