@@ -154,12 +154,9 @@ def remove_spans(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataF
     found = report(docs, items, size).select(F.col("doc_id").alias("hit_id"), "text_key", "spans")
     same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(docs["text"]) == F.col("text_key"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    gaps, own = F.split(text, ALNUM_WORD.replace(r"\x60", r"\x40\x5B-\x60")), F.regexp_extract_all(text, F.lit(ALNUM_WORD.replace(r"\x60", r"\x40\x5B-\x60")), F.lit(0))
-    parts = docs.join(found, same).select("doc_id", "spans", gaps.alias("gaps"), own.alias("own"))
-    hit_at = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["k"] - 1)))
-    parts = parts.withColumn("hit_at", F.array_distinct(hit_at))
-    kept = F.transform(
-        "gaps",
-        lambda gap, i: F.concat(gap, F.when(F.array_contains(F.col("hit_at"), i + 1), "").otherwise(F.coalesce(F.get("own", i), F.lit("")))),
-    )
+    word = ALNUM_WORD.replace(r"\x60", r"\x40\x5B-\x60")  # words of the text as it is, capitals too
+    pairs = F.zip_with(F.split(text, word), F.regexp_extract_all(text, F.lit(word), F.lit(0)), lambda gap, own: F.struct(gap.alias("gap"), own.alias("own")))
+    parts = docs.join(found, same)
+    hit = lambda i: F.exists("spans", lambda s: (i + 1 >= s["start"]) & (i + 1 < s["start"] + s["k"]))
+    kept = F.transform(pairs, lambda p, i: F.concat(p["gap"], F.when(hit(i), "").otherwise(F.coalesce(p["own"], F.lit("")))))
     return parts.select("doc_id", F.array_join(kept, "").alias("text"))
