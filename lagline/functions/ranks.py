@@ -54,15 +54,17 @@ def class_hash_cuts(
     ``plan`` gets the class counts and returns, per class, how many rows lie at or before
     each cut in hash order. Rows never move: each step counts hash prefixes per class
     (at most 4096 cells per class reach the driver) and narrows to the prefix holding the
-    cut, until at most ``LEAF_ROWS`` hashes are left to read.
+    cut, until at most ``LEAF_ROWS`` hashes are left to read. Rows with equal keys stay
+    together: a cut that falls among copies lies after the last of them. Rows without a
+    label raise a ``ValueError``.
     """
-    hashed = df.where(quoted(label).isNotNull()).select(
-        quoted(label).alias("label"), row_hash(keys, seed).alias("hash")
-    )
+    hashed = df.select(quoted(label).alias("label"), row_hash(keys, seed).alias("hash"))
     cells = _histogram(hashed, 0)
     counts: dict[Any, int] = {}
     for (value, _), n in cells.items():
         counts[value] = counts.get(value, 0) + n
+    if None in counts:
+        raise ValueError(f"{counts[None]} rows have no {label}: drop or label them first")
     cuts = []
     for value, ranks in plan(counts).items():
         for rank in ranks:
@@ -75,12 +77,14 @@ def class_hash_cuts(
     _descend([c for c in cuts if c.hash is None], cells)
     while large := [c for c in cuts if c.hash is None and c.rows > LEAF_ROWS]:
         digits = len(large[0].prefix)
-        if digits >= HASH_DIGITS:
-            raise ValueError(f"{list(keys)} do not identify a row: copies straddle a cut")
         step = [c for c in large if len(c.prefix) == digits]
+        if digits >= HASH_DIGITS:  # copies of one key only
+            for cut in step:
+                cut.hash = cut.prefix
+            continue
         _descend(step, _histogram(hashed.where(_within(step)), digits))
     if leaves := [c for c in cuts if c.hash is None]:
-        _read_leaves(hashed, leaves, keys)
+        _read_leaves(hashed, leaves)
     result: dict[Any, list[str]] = {}
     for c in cuts:
         result.setdefault(c.label, []).append(c.hash)
@@ -113,14 +117,11 @@ def _descend(cuts: list[_Cut], cells: dict[tuple[Any, str], int]) -> None:
             seen += n
 
 
-def _read_leaves(hashed: DataFrame, leaves: list[_Cut], keys: Sequence[str]) -> None:
+def _read_leaves(hashed: DataFrame, leaves: list[_Cut]) -> None:
     rows = hashed.where(_within(leaves)).collect()  # at most LEAF_ROWS per cut
     for cut in leaves:
         hashes = sorted(r["hash"] for r in rows if r["label"] == cut.label and r["hash"].startswith(cut.prefix))
-        place = cut.rank - cut.before
-        cut.hash = hashes[place - 1]
-        if place < len(hashes) and hashes[place] == cut.hash:
-            raise ValueError(f"{list(keys)} do not identify a row: copies straddle a cut")
+        cut.hash = hashes[cut.rank - cut.before - 1]
 
 
 def range_edges(df: DataFrame, order: str) -> Column:

@@ -138,26 +138,26 @@ def search_logistic(
     seed: int = fixed.SEED,
     parallelism: int = 4,
 ) -> Search:
-    """Cross-validated choice of C and penalty; the model is refitted on all rows.
+    """Cross-validated choice among all points of the grid; the model is refitted on all rows.
 
-    ``max_iter`` only caps the solver, so its largest value serves the whole search.
+    Class weights come from all rows given, not from each fold's own training rows.
     """
     weighted = add_class_weight(stratified_folds(train, label, keys, folds, seed), label).persist()
     try:
         n = weighted.count()
         in_fold = n * (folds - 1) / folds
-        points = grid_points({k: v for k, v in grid.items() if k != "max_iter"})
-        cap = max(grid.get("max_iter", [200]))
-        base = logistic({**points[0], "max_iter": cap}, in_fold, features, label)
+        points = grid_points({"max_iter": [200], **grid})
+        base = logistic(points[0], in_fold, features, label)
         maps = [
             {
                 base.regParam: 1.0 / (p["C"] * in_fold),
                 base.elasticNetParam: 1.0 if p["penalty"] == "l1" else 0.0,
+                base.maxIter: int(p["max_iter"]),
             }
             for p in points
         ]
         fitted = _cross_validate(base, maps, weighted, label, folds, parallelism)
-        scores = [({**p, "max_iter": cap}, s) for p, s in zip(points, fitted.avgMetrics)]
+        scores = list(zip(points, fitted.avgMetrics))
         best, score = _best(scores)
         return Search(best, score, scores, logistic(best, n, features, label).fit(weighted))
     finally:

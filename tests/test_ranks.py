@@ -55,10 +55,22 @@ def test_largest_remainder():
     assert rows_by_class({0: 7, 1: 4}, 0.2) == {0: 2, 1: 1}
 
 
-def test_copies_at_a_cut_are_reported(spark):
-    same = spark.createDataFrame([(1, 0)] * 10 + [(2, 1)] * 10, "id long, label int")
-    with pytest.raises(ValueError, match="identify"):
-        stratified_split(same, "label", ["id"])
+@pytest.mark.parametrize("leaf", [1000, 3])
+def test_copies_at_a_cut_stay_together(spark, monkeypatch, leaf):
+    monkeypatch.setattr(ranks, "LEAF_ROWS", leaf)
+    data = [(i // 10, i % 2) for i in range(400)]  # five copies of every key and label
+    rows = spark.createDataFrame(data, "id long, label int")
+    split = stratified_split(rows, "label", ["id"], test_size=0.21)
+    sides = split.groupBy("id", "label").agg(F.count_distinct("split").alias("n"))
+    assert [r["n"] for r in sides.collect()] == [1] * 80
+    # 42 rows asked of each class: the cut moves to the end of the ninth group of five
+    assert {r["label"]: r["count"] for r in split.where("split = 'test'").groupBy("label").count().collect()} == {0: 45, 1: 45}
+
+
+def test_rows_without_label_are_refused(spark):
+    rows = spark.createDataFrame([(1, 0), (2, 1), (3, None), (4, None)], "id long, label int")
+    with pytest.raises(ValueError, match="2 rows have no label"):
+        stratified_split(rows, "label", ["id"])
 
 
 def test_running_totals(spark):
