@@ -330,30 +330,60 @@ def test_edited_counts_are_those_of_the_edited_text(spark, docs, empty):
 # --- 10 language model
 
 
-def test_scores_follow_the_automaton(spark, docs, empty, monkeypatch):
-    monkeypatch.setattr(lm, "CHUNK_BYTES", 5000)
+def _plain_model(train, order):
+    """Probability of a word after a history, from plain dictionaries."""
+    seen = [collections.Counter(tuple(t[i : i + o]) for t in train for i in range(len(t) - o + 1)) for o in range(1, order + 1)]
+    kept = [seen[0], *({g: n for g, n in c.items() if n >= lm.MIN_COUNT} for c in seen[1:])]
+    total, distinct = sum(seen[0].values()), len(seen[0])
+    once, twice = (sum(n == k for n in seen[0].values()) for k in (1, 2))
+    d = (once + 1) / (once + 2 * twice + 2)
+
+    def p(history, word):
+        if not history:
+            return (seen[0][(word,)] - d if (word,) in seen[0] else d * distinct) / total
+        arcs = {g[-1]: n for g, n in kept[len(history)].items() if g[:-1] == history}
+        if not arcs:
+            return p(history[1:], word)
+        n = kept[len(history) - 1][history]
+        left = 1 - sum(a - lm.DISCOUNT for a in arcs.values()) / n
+        return max(arcs.get(word, 0) - lm.DISCOUNT, 0) / n + left * p(history[1:], word)
+
+    return p, seen[0], total, distinct
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_are_those_of_a_plain_model(spark, empty, monkeypatch, order):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(lm, "STRETCH", 100)
+    monkeypatch.setattr(lm, "MIN_COUNT", 3)
+    lines = ["the cat sat on the mat", "the cat sat on a hat", "A dog sat on the cat", "on the mat the cat sat", "", None, "the the the the"]
+    texts = {i: lines[i % len(lines)] if i % 5 else f"word{i} the cat sat on" for i in range(60)}
+    df = spark.createDataFrame([*texts.items(), (3, texts[3]), (None, "the cat")], "doc_id long, text string").repartition(3)
+    got = lm.score(df, order).collect()
+    assert len(got) == len(texts) + 2
+    text_of = lambda r: lm.tokens("the cat" if r["doc_id"] is None else texts[r["doc_id"]])
+    p, c, total, distinct = _plain_model([text_of(r) for r in got if not r["held_out"]], order)
+    assert any(r["held_out"] for r in got)
+    for r in got:
+        words = text_of(r)
+        assert (r["n_tokens"], r["train_tokens"], r["n_known"]) == (len(words), total, sum(c[(w,)] > 0 for w in words))
+        assert np.isclose(r["base_score"], sum(np.log10((c[(w,)] + 1) / (total + distinct + 1)) for w in words))
+        assert np.isclose(r["score"], sum(np.log10(p(tuple(words[max(0, i - order + 1) : i]), w)) for i, w in enumerate(words)))
+    histories = [(), (b"the",), (b"sat", b"on"), (b"never",)]
+    assert all(np.isclose(sum(p(h[-(order - 1) :], w) for w in [g[0] for g in c] + [b"unseen"]), 1) for h in histories)
+    assert lm.score(empty, order).count() == 0
+
+
+def test_scores_of_all_kinds_of_texts(docs):
     got = lm.score(docs).collect()
     assert len(got) == len(TEXTS) + 2
-    train = [TEXTS[r["doc_id"]] if r["doc_id"] is not None else "no id here" for r in got if not r["held_out"]]
-    c = collections.Counter(w for t in train for w in lm.tokens(t))
-    total, distinct = sum(c.values()), len(c)
-    for r in got:
-        words = lm.tokens(TEXTS[r["doc_id"]] if r["doc_id"] is not None else "no id here")
-        assert (r["n_tokens"], r["train_tokens"], r["n_known"]) == (len(words), total, sum(c[w] > 0 for w in words))
-        assert np.isclose(r["base_score"], sum(np.log10((c[w] + 1) / (total + distinct + 1)) for w in words))
-        assert r["score"] <= 0
-    assert lm.score(empty).count() == 0
-
-
-def test_arc_and_failure_weights_sum_to_one():
-    words = 4
-    codes = np.array([0 * 4 + 1, 0 * 4 + 2, 1 * 4 + 2])
-    p, unigram = np.array([0.5, 0.3, 0.6]), np.array([0.1, 0.2, 0.3, 0.4])
-    mass, covered = np.array([0.8, 0.6, 0, 0]), np.array([0.5, 0.3, 0, 0])
-    model = lm.Automaton(words, [codes], [np.log10(p)], [np.log10((1 - mass) / (1 - covered))])
-    for context in range(words):
-        pairs = [model.traverse(np.array([context, w]), np.log10(unigram[[context, w]]))[1] for w in range(words)]
-        assert np.isclose(sum(10 ** np.array(pairs)), 1)
+    assert all(r["score"] < 0 and r["base_score"] < 0 for r in got)
+
+
+def test_codes_come_back_unchanged():
+    for codes in ([], [0], [5, 70_000, 2**31 - 1, 5]):
+        codes = np.array(codes, np.int32)
+        assert (lm._unpacked(lm._packed(codes)) == codes).all()
 
 
 # --- pipeline
