@@ -355,6 +355,7 @@ def _plain_model(train, order):
 def test_scores_are_those_of_a_plain_model(spark, empty, monkeypatch, order):
     monkeypatch.setattr(lm, "CHUNK_BYTES", 500)
     monkeypatch.setattr(lm, "STRETCH", 100)
+    monkeypatch.setattr(lm, "PIECE", 20)
     monkeypatch.setattr(lm, "MIN_COUNT", 3)
     lines = ["the cat sat on the mat", "the cat sat on a hat", "A dog sat on the cat", "on the mat the cat sat", "", None, "the the the the"]
     texts = {i: lines[i % len(lines)] if i % 5 else f"word{i} the cat sat on" for i in range(60)}
