@@ -283,6 +283,21 @@ def test_held_out_toxicity(spark, empty):
     assert prior.judge(None)[0] == 0.5 and toxicity.scored(empty, model).count() == 0
 
 
+def test_copies_of_a_toxic_text_are_toxic_and_hide_no_others(spark):
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}" for a in "bcdfghklm" for b in ("ara", "iti", "oru", "ene", "ulo")]
+    rows = []
+    for i in range(900):
+        text = [str(w) for w in rng.choice(words, 60)]
+        if i % 15 == 1:
+            text[int(rng.integers(0, 60))] = str(rng.choice(["vileword", "nastyword"]))
+        rows.append((i, "you are rotten through and through" if i % 3 == 0 else " ".join(text), int(i % 3 == 0 or i % 15 == 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    got = by_id(toxicity.scored(docs.drop("toxic"), model))
+    assert all((got[i]["score"] >= toxicity.THRESHOLD) == bool(toxic) for i, _, toxic in rows)
+
+
 # --- 8 archive
 
 
