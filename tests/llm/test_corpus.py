@@ -236,6 +236,20 @@ def test_plain_and_disguised_finds(docs, empty):
     assert pii.spans(empty).count() == 0
 
 
+def _disguised(text):
+    return [(k, text[s:e]) for k, s, e, plain in pii.find(text) if not plain]
+
+
+def test_disguise_is_found_without_other_odd_characters():
+    card, phone = "4524132264652876", "+12125550199"
+    for zero in (0x09E6, 0x0E50, 0x1D7CE, 0x0660, 0xFF10):  # Bengali, Thai, mathematical, Arabic, fullwidth
+        odd = {ord("0") + d: chr(zero + d) for d in range(10)}
+        assert _disguised(f"card {card.translate(odd)}.") == [("card", card.translate(odd))]
+        assert _disguised(f"call {phone.translate(odd)}.") == [("phone", phone.translate(odd))]
+    for gap in ("\n", "\t", "\u00a0", " \n "):
+        assert _disguised(f"to john{gap}at{gap}example dot com") == [("email", f"john{gap}at{gap}example dot com")]
+
+
 # --- 7 toxicity
 
 
