@@ -1,10 +1,12 @@
 """Personal data in texts, also where it is disguised.
 
-Plain finds follow four patterns on the text as it is. A small transducer then rewrites the text:
+Plain finds follow four patterns on the text as it is. A small transducer then rewrites every text:
 look-alike letters and foreign digits become ASCII, invisible characters vanish, spelled digits
-become digits, and written-out at and dot become their signs. It keeps for every character it
-writes where that came from, so finds in the rewritten text map back to offsets of the source.
-They are added where the rewriting made the difference and no plain find stands there.
+become digits, and written-out at and dot become their signs, bare or in brackets, in any mix. It
+keeps for every character it writes where that came from, so finds in the rewritten text map back
+to offsets of the source. They are added where the rewriting made the difference and no plain find
+stands there; the patterns decide what counts. Only a bare at needs more, since prose is full of
+them: it becomes a sign where a domain with a written-out dot follows.
 
 Defined cases: a null text is empty; every row gives a row, repeated ones too.
 """
@@ -39,12 +41,24 @@ _LOOKS = str.maketrans(
 _NUMBER = {w: str(d) for d, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 _INVISIBLE = "­​‌‍⁠﻿"
 
-_SPELLED_RUN = re.compile(r"(?<![a-z])(?:plus[\s,-]+)?(?:{w})(?:[\s,-]+(?:{w})){{6,}}(?![a-z])".format(w="|".join(_NUMBER)), re.I)
-_WRITTEN_EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]+\s+at\s+[a-z0-9-]+(?:(?:\s+dot\s+|\.)[a-z0-9-]+)*\s+dot\s+[a-z0-9-]+(?![\w-])", re.I)
-_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+at\s+", re.I)
-_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+", re.I)
-_SPELLED = re.compile(r"(plus)(?:[\s,-]+)|({w})(?:[\s,-]+(?={w}))?".format(w="|".join(_NUMBER)), re.I)
-_BRACKETED_SIGN = re.compile(r"\s*[\[({<]\s*(at|dot|@|\.)\s*[\])}>]\s*", re.I)
+
+
+def _spelling(word: str) -> str:
+    """ASCII letters in either case; the flag would let other letters match, too."""
+    return "".join(f"[{c}{c.upper()}]" for c in word)
+
+
+_DIGIT_WORD = "|".join(map(_spelling, _NUMBER))
+_SIGN_WORD = rf"{_spelling('at')}|{_spelling('dot')}"
+# What may be rewritten: a sign in brackets, a bare one between white space, plus or a digit as a word.
+_WRITTEN = re.compile(
+    rf"[\[({{<]\s*(?P<boxed>{_SIGN_WORD}|[@.])\s*[\])}}>]"
+    rf"|(?<!\S)(?P<bare>{_SIGN_WORD})(?!\S)"
+    rf"|(?<![^\W\d_])(?:(?P<plus>{_spelling('plus')})|(?P<digit>{_DIGIT_WORD}))(?![^\W\d_])"
+)
+# What may stand between two digits of a number, at least one of them spelled.
+_GAP = re.compile(r"[\s,-]+")
+_DIGIT_NEXT = re.compile(rf"[\s,-]+(?:[0-9]|(?:{_DIGIT_WORD})(?![^\W\d_]))")
 
 Span = tuple[str, int, int]
 
@@ -87,29 +101,44 @@ def plain_spans(text: str) -> list[Span]:
     return found
 
 
-def _signs(part: str) -> Iterator[tuple[int, int, str]]:
-    for pattern, sign in ((_AT, "@"), (_DOT, ".")):
-        for m in pattern.finditer(part):
-            yield m.start(), m.end(), sign
+def _spaced(text: str, s: int, e: int) -> tuple[int, int]:
+    """The range with the white space around it."""
+    while s and text[s - 1].isspace():
+        s -= 1
+    while e < len(text) and text[e].isspace():
+        e += 1
+    return s, e
 
 
-def _rewrites(text: str) -> list[tuple[int, int, str]]:
-    """Source ranges and what stands for them, in order and apart from each other."""
+def _rewrites(text: str) -> tuple[list[tuple[int, int, str]], list[int]]:
+    """Ranges and what stands for them, in order and apart; which of them are a bare at."""
     out: list[tuple[int, int, str]] = []
-    for m in _WRITTEN_EMAIL.finditer(text):
-        out += [(m.start() + s, m.start() + e, sign) for s, e, sign in _signs(m[0])]
-    for m in _BRACKETED_SIGN.finditer(text):
-        out.append((m.start(), m.end(), "@" if m[1].lower() in ("at", "@") else "."))
-    for run in _SPELLED_RUN.finditer(text):
-        for m in _SPELLED.finditer(text, *run.span()):
-            out.append((m.start(), m.end(), "+" if m[1] else _NUMBER[m[2].lower()]))
-    out.sort()
-    apart, last = [], 0
-    for s, e, sign in out:
-        if s >= last:
-            apart.append((s, e, sign))
-            last = e
-    return apart
+    bare: list[int] = []
+    last = 0
+    for m in _WRITTEN.finditer(text):
+        s, e = m.span()
+        if sign := m["boxed"] or m["bare"]:
+            s, e = _spaced(text, s, e)
+            sign = "@" if sign.lower() in ("at", "@") else "."
+            if m["bare"] and sign == "@":
+                bare.append(len(out))
+        elif m["digit"]:
+            sign = _NUMBER[m["digit"].lower()]
+            # A gap before belongs to the digit if a written one stands there, as spelled ones take the gap after.
+            before = s
+            while before > last and (text[before - 1].isspace() or text[before - 1] in ",-"):
+                before -= 1
+            if before > last and text[before - 1] in "0123456789":
+                s = before
+            if _DIGIT_NEXT.match(text, e):
+                e = _GAP.match(text, e).end()
+        else:
+            if not _DIGIT_NEXT.match(text, e):
+                continue
+            sign, e = "+", _GAP.match(text, e).end()
+        out.append((max(s, last), e, sign))
+        last = e
+    return out, bare
 
 
 def _one(c: str) -> str:
@@ -121,24 +150,65 @@ def _one(c: str) -> str:
     return str(digit) if digit is not None else c.translate(_LOOKS)
 
 
+class _Ones(dict):
+    """What each character is read as, computed once."""
+
+    def __missing__(self, c: str) -> str:
+        self[c] = found = c if c < "\x80" else _one(c)
+        return found
+
+
+_READ = _Ones()
+
+
+def _at_counts(text: str, at: int, written: set[int]) -> bool:
+    """Whether a domain with a written-out dot follows this sign."""
+    found = _DOMAIN.match(text, at + 1)
+    return found is not None and text[found.end() : found.end() + 1] != "@" and any(i in written for i in range(at + 1, found.end()))
+
+
 def transduced(text: str) -> tuple[str, list[int], list[int]]:
     """The rewritten text, and for each of its characters the source range it stands for."""
+    spelled = [_READ[c] for c in text]
+    read = "".join(spelled)
+    from_ = [i for i, c in enumerate(spelled) if c]  # each character is rewritten as one or none
     out: list[str] = []
     starts: list[int] = []
     ends: list[int] = []
     at = 0
-    for s, e, sign in [*_rewrites(text), (len(text), len(text), "")]:
-        for i in range(at, s):
-            c = text[i] if text[i] < "\x80" else _one(text[i])
-            if c:
-                out.append(c)
-                starts.append(i)
-                ends.append(i + 1)
+    rewrites, bare = _rewrites(read)
+    placed: list[int] = []
+    for s, e, sign in [*rewrites, (len(read), len(read), "")]:
+        out += read[at:s]
+        starts += from_[at:s]
+        ends += [i + 1 for i in from_[at:s]]
         if sign:
+            placed.append(len(out))
             out.append(sign)
-            starts.append(s)
-            ends.append(e)
+            starts.append(from_[s])
+            ends.append(from_[e - 1] + 1)
         at = e
+    # A bare at that no domain follows stands as it was read. From the last on, so that places before stay.
+    whole = "".join(out)
+    written = {i for i in placed if out[i] == "."}
+    for k in reversed(bare):
+        i = placed[k]
+        if not _at_counts(whole, i, written):
+            s, e, _ = rewrites[k]
+            out[i] = read[s:e]
+    if any(len(c) > 1 for c in out):
+        plain_at = {placed[k]: rewrites[k] for k in bare if len(out[placed[k]]) > 1}
+        some, at = ([], [], []), 0
+        for i in [*sorted(plain_at), len(out)]:
+            for kept, full in zip(some, (out, starts, ends)):
+                kept.extend(full[at:i])
+            if i < len(out):
+                s, e, _ = plain_at[i]
+                some[0].extend(read[s:e])
+                some[1].extend(from_[s:e])
+                some[2].extend(j + 1 for j in from_[s:e])
+            at = i + 1
+        out, starts, ends = some
     return "".join(out), starts, ends
 
 
@@ -147,13 +217,14 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     text = text or ""
     plain = plain_spans(text)
     found = [(*s, True) for s in plain]
-    rewritten, starts, ends = transduced(text)
-    taken = [(s, e) for _, s, e in plain]
-    for kind, s, e in plain_spans(rewritten):
-        a, b = starts[s], ends[e - 1]
-        if text[a:b] != rewritten[s:e] and not any(a < y and x < b for x, y in taken):
-            found.append((kind, a, b, False))
-            taken.append((a, b))
+    if any(_READ[c] != c for c in set(text)) or _WRITTEN.search(text):  # else nothing is rewritten
+        rewritten, starts, ends = transduced(text)
+        taken = [(s, e) for _, s, e in plain]
+        for kind, s, e in plain_spans(rewritten):
+            a, b = starts[s], ends[e - 1]
+            if text[a:b] != rewritten[s:e] and not any(a < y and x < b for x, y in taken):
+                found.append((kind, a, b, False))
+                taken.append((a, b))
     return sorted(found, key=lambda f: (KINDS.index(f[0]), f[1]))
 
 

@@ -250,6 +250,26 @@ def test_disguise_is_found_without_other_odd_characters():
         assert _disguised(f"to john{gap}at{gap}example dot com") == [("email", f"john{gap}at{gap}example dot com")]
 
 
+def test_disguises_in_any_mix():
+    for kind, span in (
+        ("email", "john [at] example dot com"),
+        ("email", "john@example dot com"),
+        ("email", "john at example[dot]com"),
+        ("email", "john dot smith at example dot com"),
+        ("email", "john（at）example d\u200bot com"),
+        ("ip", "192 dot 168 dot 0 dot 1"),
+        ("ip", "one nine two dot one six eight dot one dot one"),
+        ("phone", "+1 two one two five five five 0 1 9 9"),
+        ("phone", "plus 1 two one two 555 zero one nine nine"),
+        ("card", "four five 2 4 1322 six four-six five two eight seven six".replace("2 4 1322", "24 1322")),
+    ):
+        assert _disguised(f"{span}") == [(kind, span)], span
+        assert _disguised(f"So, {span}; then") == [(kind, span)], span
+    assert _disguised("mail at a.b@example dot com") == [("email", "a.b@example dot com")]
+    for clean in ("look at example.com now", "one of two at noon", "three dots at the end", "plus one", "we met at ten. dot", "ſix or fıve"):
+        assert pii.find(clean) == []
+
+
 # --- 7 toxicity
 
 
