@@ -5,7 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lagline.llm import decontamination, fingerprints, lm, neardup, packing, pii, repeats, successors, tokencount, toxicity, warc
+from lagline.llm import (
+    decontamination,
+    fingerprints,
+    lexical,
+    lm,
+    neardup,
+    packing,
+    pieces,
+    pii,
+    repeats,
+    resampling,
+    successors,
+    tokencount,
+    toxicity,
+    warc,
+)
 from lagline.llm.registry import read, register
 from lagline.session import scratch_path
 
@@ -189,3 +204,63 @@ def token_counts(spark, sf):
 def language_model(spark, sf):
     """Log probabilities of all documents under a backoff automaton of the training documents."""
     return lm.score(read(spark, sf, "documents"))
+
+
+# --- 11 ranked lexical search ---------------------------------------------------
+
+SEARCH_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS place,
+         regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT DISTINCT item_id, text,
+         regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+facts AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(w) AS term FROM d) GROUP BY place, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (SELECT item_id, text, term, count(*) AS times FROM (SELECT item_id, text, unnest(w) AS term FROM b) GROUP BY item_id, text, term),
+weighed AS (
+  SELECT item_id, text, term, times * CAST(floor(1000 * ln((2.0 * n_docs + 2) / (2.0 * df + 1))) AS BIGINT) AS weight
+  FROM asked JOIN df USING (term), facts),
+scored AS (
+  SELECT item_id, text, place, doc_id,
+         CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(w) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (term) JOIN d USING (place), facts GROUP BY item_id, text, place, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@register("op11_ranked_search", SEARCH_SQL)
+def ranked_search(spark, sf):
+    """The twenty documents that score highest for each benchmark item."""
+    return lexical.search(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+# --- 12 importance resampling ---------------------------------------------------
+
+
+@register("op12_importance_resampling")
+def importance_resampling(spark, sf):
+    """Weights of all documents towards the benchmark's texts, and a tenth drawn by them."""
+    drawn = resampling.draw(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# --- 13 SentencePiece -----------------------------------------------------------
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op13_piece_round_trip")
+def piece_round_trip(spark, sf):
+    """All documents encoded with an end id, and the texts that their ids decode to."""
+    read_back = pieces.decode(pieces.encode(read(spark, sf, "documents"), PIECE_MODEL), PIECE_MODEL)
+    return read_back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
