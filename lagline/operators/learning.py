@@ -225,7 +225,8 @@ def knn_fold_scores(
         votes = vote_all(found, grid["n_neighbors"]).where(F.col("weights").isin(list(grid["weights"])))
         votes = votes.withColumn("metric", F.lit(metric))
         scored = votes if scored is None else scored.unionByName(votes)
-    y, p = F.col("label") == 1, F.col("probability") > 0.5  # an even vote goes to class 0
+    # an even vote goes to class 0, in whichever order its weights were added
+    y, p = F.col("label") == 1, F.round("probability", 12) > 0.5
 
     def rows(condition):
         return F.sum(F.when(condition, F.col("n")).otherwise(0))

@@ -1,16 +1,16 @@
-"""Exact k-nearest-neighbour join and classification.
-
-Every training row belongs to the cell of its nearest pivot. A query knows its distance
-to all pivots and, from the k smallest pivot distances of every cell, an upper bound on
-its k-th neighbour distance; the triangle inequality then rules out cells that cannot
-hold a nearer row. Queries travel only to the cells left, where blocks of bounded size
-are compared with numpy and each keeps its k best; a rank over the survivors merges them.
-No candidate is dropped without proof, so the result equals comparing everything.
-
-Copies of a query are answered once, and of identical training rows only those that can
-be chosen are kept. Hot cells are cut into several training blocks by a hash of the key, and the queries
-visiting them likewise, so one task compares at most about ``block_rows`` with
-``block_rows``. Only pivots and per-cell numbers reach the driver.
+"""Exact k-nearest-neighbour join and classification on a grid of blocks.
+
+Copies collapse on both sides first: a query point is answered once, and a training point carries
+the k smallest keys of its rows, since no other of them can be chosen. Training points are then
+dealt to P rows and query points to Q columns of a grid; every training point is sent to the Q
+blocks of its row and every query point to the P blocks of its column, so each pair meets in one
+block and nowhere else. A block compares its points with numpy and keeps the k best rows of each
+query; the at most k * P rows left of a query are merged by one sort of a short array.
+
+P and Q follow from the two counts: both sides of a block have about the same number of points, at
+most ``block_rows``, so the rows shuffled are about twice the square root of the number of blocks
+times those of the two sides (their geometric mean), and no task holds more than a block. Nothing
+is dropped without proof, so the result equals comparing everything. Only counts reach the driver.
 """
 
 from __future__ import annotations
@@ -20,20 +20,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lagline.functions.columns import quoted
-from lagline.functions.ranks import row_hash
 from lagline.session import stage_table
 
-MAX_PIVOTS = 256
-BLOCK_ROWS = 4096
-SLACK = 1e-9  # relative safety of the pruning bounds against rounding
+BLOCK_ROWS = 16384
+CELLS = 1 << 19  # distances that a block holds at once
 METRICS = ("euclidean", "manhattan")
 
 
@@ -53,33 +54,6 @@ def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(total) if metric == "euclidean" else total
 
 
-@dataclass
-class _Cells:
-    """What the queries need to know about the training side."""
-
-    pivots: np.ndarray  # (cells, dims)
-    low: np.ndarray  # smallest pivot distance per cell
-    high: np.ndarray  # largest pivot distance per cell
-    nearest: dict  # left-out group -> (cells, k) smallest pivot distances, inf padded
-    metric: str
-    k: int
-
-    def to_visit(self, batch: np.ndarray, group) -> np.ndarray:
-        """(queries, cells) mask of the cells that may hold one of the k nearest rows."""
-        d = distances(batch, self.pivots, self.metric)
-        reach = d[:, :, None] + self.nearest[group][None, :, :]
-        bound = np.partition(reach.reshape(len(batch), -1), self.k - 1, axis=1)[:, self.k - 1]
-        bound = (bound * (1 + SLACK) + SLACK)[:, None]
-        visit = (d - bound <= self.high) & (d + bound >= self.low)
-        if self.metric == "euclidean":  # distance to the border between two cells
-            own = d.argmin(axis=1)
-            between = distances(self.pivots, self.pivots, self.metric)[own]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                border = (d**2 - d[np.arange(len(d)), own][:, None] ** 2) / (2 * between)
-            visit &= ~(border > bound)
-        return visit
-
-
 def nearest_neighbours(
     train: DataFrame,
     queries: DataFrame,
@@ -89,7 +63,6 @@ def nearest_neighbours(
     features: str = "features",
     label: str = "label",
     leave_out: str | None = None,
-    max_pivots: int = MAX_PIVOTS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The k nearest training rows of every query: (query, rank, distance, neighbour, label).
@@ -100,7 +73,7 @@ def nearest_neighbours(
     """
     points, members = distinct_points(queries, key, features, leave_out)
     found = nearest_of_points(
-        train, points, k, metric, key, features, label, leave_out, max_pivots, block_rows
+        train, points, k, metric, key, features, label, leave_out, block_rows
     )
     return members.join(found.withColumnRenamed("query", "point"), "point").drop("point")
 
@@ -121,6 +94,36 @@ def distinct_points(
     return points.select(F.col("point").alias("query"), "x", "grp"), members
 
 
+def training_points(
+    train: DataFrame, k: int, key: str, features: str, label: str, leave_out: str | None = None
+) -> DataFrame:
+    """Training rows without repeats: ``x, grp, rows``, the k smallest keys of each with their labels."""
+    group = quoted(leave_out).cast("int") if leave_out else F.lit(0)
+    x = as_array(train, features)
+    t = train.select(
+        F.xxhash64(x).alias("h"), x.alias("x"), group.alias("grp"),
+        quoted(key).alias("neighbour"), quoted(label).cast("int").alias("label"),
+    )
+    copies = W.partitionBy("h", "x", "grp").orderBy("neighbour")
+    chosen = t.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
+    rows = F.sort_array(F.collect_list(F.struct("neighbour", "label"))).alias("rows")  # at most k
+    return chosen.groupBy("h", "x", "grp").agg(rows)
+
+
+def grid(n_train: int, n_queries: int, block_rows: int, least: int) -> tuple[int, int]:
+    """Rows and columns of the grid: no side of a block is longer than ``block_rows``.
+
+    While there are fewer than ``least`` blocks, the longer side is halved, down to 256 points.
+    """
+    p, q = max(1, math.ceil(n_train / block_rows)), max(1, math.ceil(n_queries / block_rows))
+    while p * q < least and max(n_train / p, n_queries / q) > 256:
+        if n_train / p >= n_queries / q:
+            p *= 2
+        else:
+            q *= 2
+    return p, q
+
+
 def nearest_of_points(
     train: DataFrame,
     points: DataFrame,
@@ -130,144 +133,71 @@ def nearest_of_points(
     features: str,
     label: str,
     leave_out: str | None = None,
-    max_pivots: int = MAX_PIVOTS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``nearest_neighbours`` of the points given by ``distinct_points``."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    group = quoted(leave_out).cast("int") if leave_out else F.lit(0)
-    t = train.select(
-        quoted(key).alias("neighbour"), as_array(train, features).alias("x"),
-        quoted(label).cast("int").alias("label"), group.alias("grp"),
-    )
-    pivots = _choose_pivots(t, max_pivots)
-    # Of identical training rows only the k with the smallest keys can be chosen.
-    copies = W.partitionBy(F.xxhash64("x"), "x", "grp").orderBy("neighbour")
-    t = t.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k).drop("copy")
-    celled = stage_table(t.withColumns(_cell_columns(pivots, metric)), "knn-cells")
-    cells, sizes = _describe(celled, pivots, metric, k, bool(leave_out))
-    visits = stage_table(_visits(points, cells, bool(leave_out)), "knn-visits")
-    visitors = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    t_parts = {c: math.ceil(n / block_rows) for c, n in sizes.items() if c in visitors}
-    q_parts = {c: math.ceil(n / block_rows) for c, n in visitors.items()}
-    left = _in_blocks(celled.where(F.col("cell").isin(list(t_parts))), "neighbour", t_parts, q_parts, "t", "q")
-    right = _in_blocks(visits, "query", q_parts, t_parts, "q", "t")
-    block = ["cell", "t", "q"]
-    best = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(
-        _block_kernel(k, metric, bool(leave_out)),
-        f"query {points.schema['query'].dataType.simpleString()}, distance double, "
-        f"neighbour {t.schema['neighbour'].dataType.simpleString()}, label int",
-    )
-    order = W.partitionBy("query").orderBy("distance", "neighbour")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def _choose_pivots(t: DataFrame, max_pivots: int) -> np.ndarray:
-    """About sqrt(n) training rows in hash order: at most ``max_pivots`` rows are read."""
-    n = t.count()
-    if n == 0:
+    t = stage_table(training_points(train, k, key, features, label, leave_out), "knn-train")
+    points = stage_table(points, "knn-queries")
+    n_train, n_queries = t.count(), points.count()
+    if n_train == 0:
         raise ValueError("no training rows")
-    wanted = min(max_pivots, max(1, math.isqrt(n)))
-    rows = t.orderBy(row_hash(["neighbour"], 0)).select("x").limit(wanted).collect()
-    return np.unique(np.array([r["x"] for r in rows], dtype=float), axis=0)
-
-
-def _cell_columns(pivots: np.ndarray, metric: str) -> dict[str, Column]:
-    @F.pandas_udf("cell int, to_pivot double")
-    def assign(x: pd.Series) -> pd.DataFrame:
-        d = distances(np.vstack(x.to_numpy()).astype(float), pivots, metric)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "to_pivot": d[np.arange(len(d)), cell]})
-
-    placed = assign("x")
-    return {"cell": placed["cell"], "to_pivot": placed["to_pivot"]}
-
-
-def _describe(
-    celled: DataFrame, pivots: np.ndarray, metric: str, k: int, leave_out: bool
-) -> tuple[_Cells, dict[int, int]]:
-    """Cell sizes, distance ranges and the k smallest pivot distances per cell and group."""
-    stats = celled.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("to_pivot").alias("low"), F.max("to_pivot").alias("high")
-    ).collect()
-    low, high = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
-    for r in stats:
-        low[r["cell"]], high[r["cell"]] = r["low"], r["high"]
-    order = W.partitionBy("cell", "grp").orderBy("to_pivot")
-    closest = (
-        celled.select("cell", "grp", "to_pivot")
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .collect()  # at most k numbers per cell and group
-    )
-    nearest = {}
-    for g in {None} | ({r["grp"] for r in closest} if leave_out else set()):
-        nearest[g] = np.full((len(pivots), k), np.inf)
-        per_cell: dict[int, list[float]] = {}
-        for r in closest:
-            if g is None or r["grp"] != g:
-                per_cell.setdefault(r["cell"], []).append(r["to_pivot"])
-        for c, values in per_cell.items():
-            values = sorted(values)[:k]
-            nearest[g][c, : len(values)] = values
-    return _Cells(pivots, low, high, nearest, metric, k), {r["cell"]: r["n"] for r in stats}
-
-
-def _visits(q: DataFrame, cells: _Cells, leave_out: bool) -> DataFrame:
-    """One row per query and cell to look into."""
-
-    @F.pandas_udf("array<int>")
-    def to_visit(x: pd.Series, grp: pd.Series) -> pd.Series:
-        batch = np.vstack(x.to_numpy()).astype(float)
-        step = max(1, 4_000_000 // (len(cells.pivots) * cells.k))
-        result = np.empty(len(batch), dtype=object)
-        for g, rows in grp.groupby(grp).indices.items():
-            left_out = g if leave_out and g in cells.nearest else None
-            for start in range(0, len(rows), step):
-                part = rows[start : start + step]
-                for i, mask in zip(part, cells.to_visit(batch[part], left_out)):
-                    result[i] = np.flatnonzero(mask).tolist()
-        return pd.Series(result)
-
-    return q.withColumn("cell", F.explode(to_visit("x", "grp")))
-
-
-def _in_blocks(
-    df: DataFrame, key: str, own: dict[int, int], other: dict[int, int], own_col: str, other_col: str
-) -> DataFrame:
-    """Own part by key hash, and one copy per part of the other side in the same cell."""
-    parts = F.create_map(*[F.lit(v) for c in own for v in (c, own[c])])
-    copies = F.create_map(*[F.lit(v) for c in own for v in (c, other.get(c, 0))])
-    return df.withColumn(own_col, F.pmod(F.xxhash64(key), parts[F.col("cell")]).cast("int")).withColumn(
-        other_col, F.explode(F.sequence(F.lit(0), copies[F.col("cell")] - 1))
-    )
-
-
-def _block_kernel(k: int, metric: str, leave_out: bool):
-    def compare(t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if t.empty or q.empty:
-            return pd.DataFrame({"query": [], "distance": [], "neighbour": [], "label": []})
-        t = t.sort_values("neighbour", kind="stable")
-        a, b = np.vstack(q["x"].to_numpy()).astype(float), np.vstack(t["x"].to_numpy()).astype(float)
-        rows, cols, dist = [], [], []
-        for start in range(0, len(a), 512):
-            part = slice(start, min(start + 512, len(a)))
-            skip = q["grp"].to_numpy()[part, None] == t["grp"].to_numpy()[None, :] if leave_out else None
+    p, q = grid(n_train, n_queries, block_rows, 4 * t.sparkSession.sparkContext.defaultParallelism)
+    left = t.select("x", "grp", "rows", F.pmod(F.xxhash64("h", "grp"), F.lit(p)).alias("p"), _copies(q).alias("q"))
+    right = points.select("query", "x", "grp", _copies(p).alias("p"), F.pmod(F.xxhash64("query"), F.lit(q)).alias("q"))
+    row = t.schema["rows"].dataType.elementType
+    near = T.StructType([T.StructField("distance", T.DoubleType()), *row.fields])
+    result = T.StructType([points.schema["query"], T.StructField("near", T.ArrayType(near))])
+    kernel = _block_kernel(k, metric, bool(leave_out), to_arrow_schema(result))
+    best = left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInArrow(kernel, result)
+    merged = best.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+    ranked = merged.select("query", F.posexplode("near").alias("place", "row"))
+    return ranked.select("query", "row.distance", "row.neighbour", "row.label", (F.col("place") + 1).alias("rank"))
+
+
+def _copies(n: int) -> Column:
+    """One row for each of ``n`` blocks."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    rows = column.combine_chunks()
+    return rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+
+
+def _block_kernel(k: int, metric: str, leave_out: bool, result: pa.Schema):
+    def compare(t: pa.Table, q: pa.Table) -> pa.Table:
+        """``query, near`` of one block: the k best training rows of every query point."""
+        if not t.num_rows or not q.num_rows:
+            return result.empty_table()
+        rows = t["rows"].combine_chunks()
+        sizes = rows.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        keys, labels = rows.flatten().field("neighbour"), rows.flatten().field("label")
+        place = np.empty(len(keys), np.int64)  # of every key among all of the block
+        place[pc.sort_indices(keys).to_numpy()] = np.arange(len(keys))
+        order = np.argsort(place[firsts])  # equally distant points stand by their smallest keys
+        b, grp = _matrix(t["x"])[order], t["grp"].to_numpy()[order]
+        sizes, firsts = sizes[order], firsts[order]
+        a, own = _matrix(q["x"]), q["grp"].to_numpy()
+        found = []
+        step = max(1, CELLS // len(b))
+        for start in range(0, len(a), step):
+            part = slice(start, min(start + step, len(a)))
+            skip = own[part, None] == grp[None, :] if leave_out else None
             i, j, d = _closest(a[part], b, k, metric, skip)
-            rows.append(i + start)
-            cols.append(j)
-            dist.append(d)
-        rows, cols, dist = (np.concatenate(v) for v in (rows, cols, dist))
-        return pd.DataFrame(
-            {
-                "query": q["query"].to_numpy()[rows],
-                "distance": dist,
-                "neighbour": t["neighbour"].to_numpy()[cols],
-                "label": t["label"].to_numpy()[cols],
-            }
-        )
+            n = sizes[j]
+            at = np.repeat(firsts[j] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            i, d = np.repeat(i, n), np.repeat(d, n)
+            by = np.lexsort((place[at], d, i))
+            i, d, at = i[by], d[by], at[by]
+            few = np.arange(len(i)) - np.searchsorted(i, i) < k
+            found.append((i[few] + start, d[few], at[few]))
+        i, d, at = (np.concatenate(v) for v in zip(*found))
+        offsets = np.searchsorted(i, np.arange(len(a) + 1)).astype(np.int32)
+        near = pa.StructArray.from_arrays([pa.array(d), keys.take(pa.array(at)), labels.take(pa.array(at))], ["distance", "neighbour", "label"])
+        return pa.table({"query": q["query"], "near": pa.ListArray.from_arrays(pa.array(offsets), near)})
 
     return compare
 
@@ -289,8 +219,11 @@ def _closest(a: np.ndarray, b: np.ndarray, k: int, metric: str, skip: np.ndarray
         kth = np.full((len(a), 1), np.inf)
     i, j = np.nonzero((rough <= kth + 2 * error) & np.isfinite(rough))
     if metric == "euclidean":
-        gap = a[i] - b[j]
-        d = np.sqrt((gap * gap).sum(axis=1))
+        total = np.zeros(len(i))
+        for dim in range(a.shape[1]):  # in the order of the features, as a plain sum has it
+            gap = a[i, dim] - b[j, dim]
+            total += gap * gap
+        d = np.sqrt(total)
     else:
         d = rough[i, j]
     order = np.lexsort((j, d, i))
@@ -307,7 +240,8 @@ def vote(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:
     """(query, prediction, probability) from neighbours; probability is that of class 1.
 
     ``distance`` weighs by inverse distance; a neighbour at distance 0 outvotes all
-    others. The class with most weight wins, the smaller one on ties.
+    others. The class with most weight wins, the smaller one on ties; shares that differ
+    beyond the twelfth digit only are tied, so the order of adding doesn't decide.
     """
     zero = F.min("distance").over(W.partitionBy("query")) == 0
     if weights == "uniform":
@@ -318,11 +252,13 @@ def vote(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:
         )
     votes = neighbours.select("query", "label", weight.alias("weight"))
     by_class = votes.groupBy("query", "label").agg(F.sum("weight").alias("weight"))
-    winner = F.max(F.struct("weight", (-F.col("label")).alias("minus_label")))
-    positive = F.sum(F.when(F.col("label") == 1, F.col("weight")).otherwise(0.0))
-    return by_class.groupBy("query").agg(
-        (-winner["minus_label"]).alias("prediction"),
-        (positive / F.sum("weight")).alias("probability"),
+    shares = by_class.groupBy("query").agg(
+        F.collect_list(F.struct("weight", "label")).alias("classes"), F.sum("weight").alias("total")
+    )
+    classes = F.transform("classes", lambda c: F.struct(F.round(c["weight"] / F.col("total"), 12).alias("share"), (-c["label"]).alias("minus")))
+    positive = F.aggregate("classes", F.lit(0.0), lambda s, c: s + F.when(c["label"] == 1, c["weight"]).otherwise(0.0))
+    return shares.select(
+        "query", (-F.array_max(classes)["minus"]).alias("prediction"), (positive / F.col("total")).alias("probability")
     )
 
 

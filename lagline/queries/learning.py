@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lagline.operators import learning, splitting
@@ -11,7 +14,7 @@ from lagline.plans import train as train_plan
 from lagline.plans.examples import LINES_CONFIG, raw_lines
 from lagline.plans.prepare import FEATURES, ROW_ID, SPLIT, prepare
 from lagline.queries import register, rounded
-from lagline.queries.sql import BINARY_EMBEDDINGS_SQL, DISTANCE, folds_sql, knn_vote_sql
+from lagline.queries.sql import BINARY_EMBEDDINGS_SQL, DISTANCE, folds_sql, knn_vote_sql, split_sql
 from lagline.queries.tables import _binary_embeddings
 from lagline.session import scratch_path
 from lagline.sources.delimited import write_csv
@@ -91,6 +94,67 @@ def knn_order_lines(spark, sf):
     return rounded(learning.score_knn(model, rows.where("split = 'test'"), "knn", "label", ["row_id"]))
 
 
+POINT_NUMBERS = ["scheduled_days", "order_year", "order_month", "order_weekday"]
+POINT_FLAGS = [("market", v) for v in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")] + [
+    ("segment", v) for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+]
+POINT_CONTENT = ["scheduled_days", "market", "segment", "order_year", "order_month", "order_day", "order_weekday", "order_quarter"]
+POINT_SLOTS = [*POINT_NUMBERS, *[f"{c}_{v[:4]}" for c, v in POINT_FLAGS]]
+
+
+def _reach_sql(c: str) -> str:
+    return f"quantile_cont(CAST({c} AS DOUBLE), 0.25) AS {c}_1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS {c}_3"
+
+
+def _capped_sql(c: str) -> str:
+    return f"least(greatest({c}, {c}_1 - 1.5 * ({c}_3 - {c}_1)), {c}_3 + 1.5 * ({c}_3 - {c}_1)) AS {c}"
+
+
+# The whole preparation of distinct order points, ending in ``test_rows`` and ``train_rows`` with a column per slot.
+POINTS_SQL = f"""
+{LINES_SQL},
+moved AS (SELECT *, date_trunc('quarter', order_ts) AS quarter_ts FROM lines),
+parts AS (
+  SELECT DISTINCT scheduled_days, market, segment, late, year(quarter_ts) AS order_year, month(quarter_ts) AS order_month,
+         day(quarter_ts) AS order_day, isodow(quarter_ts) - 1 AS order_weekday, quarter(quarter_ts) AS order_quarter FROM moved),
+keyed AS (SELECT *, md5(concat_ws('|', {', '.join(POINT_CONTENT)}, late, '42')) AS row_id FROM parts),
+{split_sql('keyed', 'late', ['row_id'])},
+reach AS (SELECT {', '.join(_reach_sql(c) for c in POINT_NUMBERS)} FROM split),
+capped AS (SELECT row_id, split, late AS label, market, segment, {', '.join(_capped_sql(c) for c in POINT_NUMBERS)} FROM split, reach),
+scale AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in POINT_NUMBERS)} FROM capped WHERE split = 'train'),
+slots AS (
+  SELECT row_id, split, label, {', '.join(f'round(({c} - {c}_m) / {c}_s, 6) AS {c}' for c in POINT_NUMBERS)},
+         {', '.join(f"CAST({c} = '{v}' AS DOUBLE) AS {c}_{v[:4]}" for c, v in POINT_FLAGS)} FROM capped, scale),
+train_rows AS (SELECT * FROM slots WHERE split = 'train'),
+test_rows AS (SELECT * FROM slots WHERE split = 'test')"""
+
+POINT_DISTANCE = {
+    "manhattan": " + ".join(f"abs(q.{c} - t.{c})" for c in POINT_SLOTS),
+    "euclidean": "sqrt(" + " + ".join(f"(q.{c} - t.{c}) * (q.{c} - t.{c})" for c in POINT_SLOTS) + ")",
+}
+
+
+def _points(spark, sf):
+    """Distinct order points (quarter, scheduled days, market, segment, label) by the whole preparation."""
+    raw = order_lines(spark, sf, ["real_days", "scheduled_days", "order_ts", "market", "segment"])
+    raw = raw.withColumn("order_ts", F.date_trunc("quarter", "order_ts"))
+    done = prepare(raw, replace(LINES_CONFIG, drop=["real_days"], drop_geography=[]))
+    slots = F.transform(vector_to_array(FEATURES), lambda x: F.round(x, 6)).alias("features")
+    return done.rows.select(ROW_ID, SPLIT, F.col("late").alias("label"), slots)
+
+
+@register(
+    "l1_knn_prepared",
+    f"""WITH {POINTS_SQL}, {knn_vote_sql('manhattan', 15, 'distance').replace(DISTANCE['manhattan'], POINT_DISTANCE['manhattan'])}
+    SELECT row_id, prediction, round(probability, 6) AS probability FROM votes""",
+)
+def knn_prepared(spark, sf):
+    """The published neighbour parameters on prepared features."""
+    rows = _points(spark, sf)
+    model = nn.KnnClassifier(rows.where("split = 'train'"), 15, "distance", "manhattan")
+    return rounded(model.transform(rows.where("split = 'test'")))
+
+
 # --- class weights and folds --------------------------------------------------
 
 
@@ -137,16 +201,16 @@ def folds_of_three(spark, sf):
 # --- searches -----------------------------------------------------------------
 
 
-def _grid_scores_sql(ks: list[int]) -> str:
+def _grid_scores_sql(ks: list[int], rows: str = BINARY_EMBEDDINGS_SQL, distance: dict[str, str] = DISTANCE) -> str:
     """F1 per metric, k, voting and fold over the training rows, own fold left out."""
     near = " UNION ALL ".join(
-        f"""SELECT '{m}' AS metric, q.row_id, q.fold, q.label AS truth, t.label, t.row_id AS neighbour, {DISTANCE[m]} AS d
+        f"""SELECT '{m}' AS metric, q.row_id, q.fold, q.label AS truth, t.label, t.row_id AS neighbour, {d} AS d
         FROM folds q JOIN folds t ON q.fold <> t.fold"""
-        for m in ("euclidean", "manhattan")
+        for m, d in distance.items()
     )
     grid = " UNION ALL ".join(f"SELECT {k} AS k" for k in ks)
     return f"""
-    WITH {BINARY_EMBEDDINGS_SQL}, {folds_sql('train_rows', 'label', ['row_id'], 5)}, near AS ({near}),
+    WITH {rows}, {folds_sql('train_rows', 'label', ['row_id'], 5)}, near AS ({near}),
     placed AS (SELECT *, row_number() OVER (PARTITION BY metric, row_id ORDER BY d, neighbour) AS place FROM near),
     top AS (SELECT p.*, k FROM placed p JOIN ({grid}) g ON place <= k),
     weighed AS (
@@ -157,7 +221,7 @@ def _grid_scores_sql(ks: list[int]) -> str:
       FROM weighed GROUP BY ALL
       UNION ALL SELECT metric, row_id, fold, truth, k, 'distance', sum(distance * label) / sum(distance) FROM weighed GROUP BY ALL)
     SELECT metric, CAST(k AS INT) AS n_neighbors, weights, fold,
-      round(coalesce(2.0 * count(*) FILTER (truth = 1 AND p > 0.5) / nullif(count(*) FILTER (truth = 1) + count(*) FILTER (p > 0.5), 0), 0), 6) AS f1_score
+      round(coalesce(2.0 * count(*) FILTER (truth = 1 AND round(p, 12) > 0.5) / nullif(count(*) FILTER (truth = 1) + count(*) FILTER (round(p, 12) > 0.5), 0), 0), 6) AS f1_score
     FROM votes GROUP BY metric, k, weights, fold"""
 
 
@@ -168,6 +232,16 @@ def knn_grid_scores(spark, sf):
     return rounded(learning.knn_fold_scores(train, "label", ["row_id"]))
 
 
+PREPARED_GRID = {"metric": ["manhattan"], "n_neighbors": [3, 5, 7, 9, 11, 15, 20], "weights": ["uniform", "distance"]}
+
+
+@register("l6_knn_prepared_scores", _grid_scores_sql(PREPARED_GRID["n_neighbors"], POINTS_SQL, {"manhattan": POINT_DISTANCE["manhattan"]}))
+def knn_prepared_scores(spark, sf):
+    """Fold scores of the neighbour grid on prepared features, one distance."""
+    train = _points(spark, sf).where("split = 'train'")
+    return rounded(learning.knn_fold_scores(train, "label", [ROW_ID], grid=PREPARED_GRID))
+
+
 def _prepared(spark, sf):
     return prepare(raw_lines(spark, sf), LINES_CONFIG)
 

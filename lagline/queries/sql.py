@@ -90,9 +90,9 @@ def knn_vote_sql(metric: str, k: int, weights: str, name: str = "votes") -> str:
 {name}_weighed AS (SELECT row_id, label, CAST({weight} AS DOUBLE) AS w FROM {name}_ranked WHERE place <= {k}),
 {name}_sums AS (SELECT row_id, label, sum(w) AS w FROM {name}_weighed GROUP BY row_id, label),
 {name} AS (
-  SELECT row_id, first(label ORDER BY w DESC, label) AS prediction,
+  SELECT row_id, first(label ORDER BY round(w / total, 12) DESC, label) AS prediction,
          sum(CASE WHEN label = 1 THEN w ELSE 0 END) / sum(w) AS probability
-  FROM {name}_sums GROUP BY row_id)"""
+  FROM (SELECT *, sum(w) OVER (PARTITION BY row_id) AS total FROM {name}_sums) GROUP BY row_id)"""
 
 
 # --- evaluation ---------------------------------------------------------------

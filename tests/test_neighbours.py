@@ -36,11 +36,11 @@ def brute_force(train, queries, k, metric, skip=None):
 
 
 @pytest.mark.parametrize("metric", nn.METRICS)
-@pytest.mark.parametrize("block_rows,pivots", [(4096, 256), (16, 5), (7, 1)])
-def test_equals_comparing_everything(spark, metric, block_rows, pivots):
+@pytest.mark.parametrize("block_rows", [16384, 50, 2])
+def test_equals_comparing_everything(spark, metric, block_rows):
     train, labels, queries = data(11)
     t, q = frames(spark, train, labels, queries)
-    found = nn.nearest_neighbours(t, q, 7, metric, block_rows=block_rows, max_pivots=pivots).toPandas()
+    found = nn.nearest_neighbours(t, q, 7, metric, block_rows=block_rows).toPandas()
     ids, dist = brute_force(train, queries, 7, metric)
     assert len(found) == 7 * len(queries)
     for i, rows in found.sort_values("rank").groupby("query"):
@@ -52,6 +52,7 @@ def test_fewer_rows_than_neighbours(spark):
     train, labels, queries = data(12, n_train=4)
     t, q = frames(spark, train, labels, queries[:3])
     assert nn.nearest_neighbours(t, q, 9).count() == 12
+    assert nn.nearest_neighbours(t, q, 9, block_rows=1).count() == 12
 
 
 @pytest.mark.parametrize("metric", nn.METRICS)
@@ -60,22 +61,41 @@ def test_own_group_is_left_out(spark, metric):
     groups = np.arange(len(train)) % 4
     rows = [(i, [float(v) for v in x], int(y), int(g)) for i, (x, y, g) in enumerate(zip(train, labels, groups))]
     t = spark.createDataFrame(rows, "row_id long, features array<double>, label int, fold int")
-    found = nn.nearest_neighbours(t, t, 5, metric, leave_out="fold", block_rows=50, max_pivots=9).toPandas()
+    found = nn.nearest_neighbours(t, t, 5, metric, leave_out="fold", block_rows=50).toPandas()
     ids, _ = brute_force(train, train, 5, metric, groups[:, None] == groups[None, :])
     for i, part in found.sort_values("rank").groupby("query"):
         assert part["neighbour"].tolist() == ids[i].tolist()
 
 
-def test_pruning_skips_far_cells(spark, monkeypatch):
+def test_grid_shuffles_few_copies():
+    """Blocks are bounded, and the copies sent stay near twice the square root of the blocks."""
+    for n_train, n_queries in ((10**6, 10**6), (10**7, 10**4), (300, 90_000), (1, 1)):
+        p, q = nn.grid(n_train, n_queries, 16384, 32)
+        assert n_train / p <= 16384 and n_queries / q <= 16384
+        sent, rows = n_train * q + n_queries * p, (n_train * n_queries) ** 0.5
+        assert sent <= 2.9 * rows * (p * q) ** 0.5 or p * q <= 64
+
+
+def test_no_staged_visits(spark, monkeypatch):
+    """Only the two sides are written, each once and without copies."""
     train, labels, queries = data(14, n_train=2000, dims=2)
     t, q = frames(spark, train, labels, queries)
     seen = {}
     stage = nn.stage_table
     monkeypatch.setattr(nn, "stage_table", lambda df, name, *a: seen.setdefault(name, stage(df, name, *a)))
-    nn.nearest_neighbours(t, q, 3).count()
-    cells = seen["knn-cells"].select("cell").distinct().count()
-    points = q.select("features").distinct().count()
-    assert seen["knn-visits"].count() < 0.6 * cells * points
+    nn.nearest_neighbours(t, q, 3, block_rows=100).count()
+    assert set(seen) == {"knn-train", "knn-queries"}
+    assert seen["knn-train"].count() == len(np.unique(train, axis=0))
+    assert seen["knn-queries"].count() == len(np.unique(queries, axis=0))
+
+
+def test_text_keys_and_hot_copies(spark):
+    """Keys may be text; of many copies the smallest keys are chosen."""
+    rows = [(f"k{i:04d}", [1.0, 2.0], i % 2) for i in range(3000)] + [("a", [5.0, 5.0], 1)]
+    t = spark.createDataFrame(rows, "row_id string, features array<double>, label int").repartition(6)
+    q = spark.createDataFrame([("q", [1.0, 2.0])], "row_id string, features array<double>")
+    found = nn.nearest_neighbours(t, q, 4).orderBy("rank").collect()
+    assert [r["neighbour"] for r in found] == ["k0000", "k0001", "k0002", "k0003"]
 
 
 def test_votes(spark):
