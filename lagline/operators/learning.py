@@ -1,17 +1,19 @@
-"""Classifiers on ``pyspark.ml``: class weights, grids, cross-validation, scoring.
+"""Classifiers: class weights, grids, cross-validation, scoring.
 
 Folds come from an exact stratified fold column; the search score is the F1 of class 1.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import product
 from typing import Any
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
 from lagline.functions.columns import quoted
+from lagline.operators.boosting import NO_FOLD, BoostedTrees, Fit, grow
 from lagline.operators.neighbours import (
     KnnClassifier,
     distinct_points,
@@ -27,6 +30,7 @@ from lagline.operators.neighbours import (
     vote_all,
 )
 from lagline.operators.splitting import stratified_folds
+from lagline.session import stage_table
 
 WEIGHT, FOLD = "class_weight", "fold"
 
@@ -92,20 +96,11 @@ def logistic(
     return model.setWeightCol(weight) if weight else model
 
 
-def boosted(params: dict[str, Any], features: str, label: str, seed: int = fixed.SEED) -> GBTClassifier:
-    """Gradient-boosted trees on binned features with row and feature sampling."""
-    return GBTClassifier(
-        featuresCol=features,
-        labelCol=label,
-        maxIter=int(params["n_estimators"]),
-        maxDepth=int(params["max_depth"]),
-        stepSize=float(params["learning_rate"]),
-        subsamplingRate=float(params["subsample"]),
-        featureSubsetStrategy=str(params["colsample_bytree"]),
-        seed=seed,
-        cacheNodeIds=False,
-        maxMemoryInMB=512,
-    )
+def boosted(
+    params: dict[str, Any], features: str, label: str, seed: int = fixed.SEED, keys: Sequence[str] | None = None
+) -> BoostedTrees:
+    """Second-order boosted trees with row and feature samples per tree."""
+    return BoostedTrees(featuresCol=features, labelCol=label, keyCols=list(keys) if keys else None, params_=json.dumps(params), seed=seed)
 
 
 # --- searches -----------------------------------------------------------------
@@ -172,29 +167,28 @@ def search_boosted(
     grid: dict[str, Sequence] = fixed.BOOSTED_GRID,
     folds: int = fixed.OTHER_FOLDS,
     seed: int = fixed.SEED,
-    parallelism: int = 2,
 ) -> Search:
-    """Cross-validated choice of the boosting parameters, refitted on all rows."""
-    folded = stratified_folds(train, label, keys, folds, seed).persist()
-    try:
-        points = grid_points(grid)
-        base = boosted(points[0], features, label, seed)
-        maps = [
-            {
-                base.maxIter: int(p["n_estimators"]),
-                base.maxDepth: int(p["max_depth"]),
-                base.stepSize: float(p["learning_rate"]),
-                base.subsamplingRate: float(p["subsample"]),
-                base.featureSubsetStrategy: str(p["colsample_bytree"]),
-            }
-            for p in points
-        ]
-        fitted = _cross_validate(base, maps, folded, label, folds, parallelism)
-        scores = list(zip(points, fitted.avgMetrics))
-        best, score = _best(scores)
-        return Search(best, score, scores, fitted.bestModel)
-    finally:
-        folded.unpersist()
+    """Cross-validated choice of the boosting parameters; the best point's model of all rows.
+
+    The ensembles of all points and folds, and those of all rows, grow in the same jobs.
+    """
+    folded = stage_table(stratified_folds(train, label, keys, folds, seed), "boosting-folds")
+    points = grid_points(grid)
+    fits = [Fit(p, f) for p in points for f in (*range(folds), NO_FOLD)]
+    models = dict(zip([(i, f) for i in range(len(points)) for f in (*range(folds), NO_FOLD)], grow(folded, fits, features, label, keys, seed, FOLD)))
+    scores = []
+    for i, point in enumerate(points):
+        parts = [models[i, f].transform(folded.where(F.col(FOLD) == f)).select(FOLD, label, "prediction") for f in range(folds)]
+        scores.append((point, _mean_f1(reduce(DataFrame.unionAll, parts), label)))
+    best, score = _best(scores)
+    return Search(best, score, scores, models[points.index(best), NO_FOLD])
+
+
+def _mean_f1(scored: DataFrame, label: str) -> float:
+    """Mean over the folds of the F1 of class 1."""
+    y, p = quoted(label) == 1, F.col("prediction") == 1
+    f1 = F.coalesce(F.try_divide(2.0 * F.count_if(y & p), F.count_if(y) + F.count_if(p)), F.lit(0.0))
+    return scored.groupBy(FOLD).agg(f1.alias("f1")).agg(F.avg("f1")).first()[0]
 
 
 def knn_fold_scores(

@@ -247,7 +247,7 @@ def _prepared(spark, sf):
 
 
 LOGISTIC_PARAMS = {"C": 0.001, "penalty": "l1", "max_iter": 200}
-BOOSTED_PARAMS = {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8}
+BOOSTED_PARAMS = {"n_estimators": 200, "max_depth": 5, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8}
 
 
 @register("l2_logistic_regression")
@@ -264,16 +264,67 @@ def _fit_logistic(data):
 
 
 def _fit_boosted(data):
-    return learning.boosted(BOOSTED_PARAMS, FEATURES, data.label).fit(data.train())
+    return learning.boosted(BOOSTED_PARAMS, FEATURES, data.label, keys=[ROW_ID]).fit(data.train())
 
 
 @register("l4_boosted_trees")
 def boosted_trees(spark, sf):
-    """Boosted trees, 20 rounds; scored test rows."""
+    """Boosted trees with the published number of rounds; scored test rows."""
     data = _prepared(spark, sf)
     return rounded(learning.score(_fit_boosted(data), data.test(), "boosted_trees", data.label, [ROW_ID, SPLIT]))
 
 
+def _one_round_sql(depth: int) -> str:
+    """One tree from margins of 0: the best cut of every node by second-order gain, level by level."""
+    names = [*POINT_NUMBERS, *[f"{c}_{v}" for c, v in POINT_FLAGS]]
+    parts = [f"WITH {POINTS_SQL}, rows_0 AS (SELECT *, 0 AS node FROM train_rows)"]
+    for level in range(depth):
+        long = " UNION ALL ".join(
+            f"SELECT node, {i} AS f, {c} AS v, sum(0.5 - label) AS g, 0.25 * count(*) AS h FROM rows_{level} GROUP BY node, {c}"
+            for i, c in enumerate(POINT_SLOTS)
+        )
+        chosen = " ".join(f"WHEN {i} THEN r.{c}" for i, c in enumerate(POINT_SLOTS))
+        parts.append(f"""
+        sums_{level} AS (
+          SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY node, f) AS ga, sum(h) OVER (PARTITION BY node, f) AS ha
+          FROM ({long}) WINDOW w AS (PARTITION BY node, f ORDER BY v)),
+        gains_{level} AS (
+          SELECT *, round((gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1) - ga * ga / (ha + 1)) / 2, 9) AS gain
+          FROM sums_{level} WHERE hl >= 1 AND ha - hl >= 1),
+        best_{level} AS (
+          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) AS place FROM gains_{level})
+          WHERE place = 1 AND gain > 0),
+        rows_{level + 1} AS (
+          SELECT r.* EXCLUDE (node), 2 * r.node + 1 + CAST(CASE f {chosen} END > v AS INT) AS node
+          FROM rows_{level} r JOIN best_{level} b ON r.node = b.node)""")
+    nodes = " UNION ALL ".join(f"SELECT node, sum(0.5 - label) AS g, 0.25 * count(*) AS h FROM rows_{i} GROUP BY node" for i in range(depth + 1))
+    cuts = " UNION ALL ".join(f"SELECT node, f, v, gain FROM best_{i}" for i in range(depth))
+    feature = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names))
+    return ", ".join(parts) + f""", nodes AS ({nodes}), cuts AS ({cuts})
+    SELECT CAST(0 AS INT) AS tree, CAST(n.node AS INT) AS node, CASE f {feature} END AS feature,
+           v AS threshold, round(gain, 6) AS gain, round(-0.1 * g / (h + 1), 6) AS value
+    FROM nodes n LEFT JOIN cuts c ON n.node = c.node"""
+
+
+@register("l4_one_round", _one_round_sql(3))
+def one_round(spark, sf):
+    """The first tree on prepared points, without samples: its cuts, gains and leaf values."""
+    train = _points(spark, sf).where("split = 'train'")
+    params = {"n_estimators": 1, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 1.0}
+    model = learning.boosted(params, FEATURES, "label", keys=[ROW_ID]).fit(train)
+    names = [*POINT_NUMBERS, *[f"{c}_{v}" for c, v in POINT_FLAGS]]
+    return rounded(model.tree_table(train, names))
+
+
+@register("l6_boosted_search")
+def boosted_search(spark, sf):
+    """Cross-validated F1 of every point of the boosting grid, all rounds."""
+    data = _prepared(spark, sf)
+    found = learning.search_boosted(data.train(), data.label, [ROW_ID])
+    rows = [(int(p["n_estimators"]), int(p["max_depth"]), float(s)) for p, s in found.scores]
+    return rounded(spark.createDataFrame(rows, "n_estimators int, max_depth int, f1_score double"), 4)
+
+
 @register("l6_logistic_search")
 def logistic_search(spark, sf):
     """Cross-validated F1 of every point of the grid."""
