@@ -1,6 +1,8 @@
+import csv
+
 import pytest
 
-from lagline.sources import delimited
+from lagline.sources import delimited, records
 from lagline.sources.prepared import read_prepared
 
 TEXT = " id ;name;größe\n1;Zoë;2,5\n2;Ana;3,5\n"
@@ -53,6 +55,57 @@ def test_late_bytes_decide_the_encoding(spark, tmp_path):
 
 def test_doubled_quotes_and_line_breaks(spark, tmp_path):
     path = tmp_path / "in.csv"
-    path.write_text('id,text\n1,"she said ""yes, now"""\n2,"two\nlines"\n')
-    df = delimited.read_delimited(spark, str(path), multi_line=True)
+    path.write_text('id,text\n1,"she said ""yes, now"""\n\n2,"two\nlines"\n')
+    df = delimited.read_delimited(spark, str(path))
     assert {r["id"]: r["text"] for r in df.collect()} == {1: 'she said "yes, now"', 2: "two\nlines"}
+    assert dict(df.dtypes) == {"id": "int", "text": "string"}
+
+
+@pytest.fixture
+def small_splits(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1", "cp1252"])
+def test_quoted_text_over_many_splits(spark, tmp_path, small_splits, encoding, end):
+    """Records over split borders, over whole splits, and a header longer than a split, in several files."""
+    odd = "é" if encoding != "cp1252" else "é € “x” …"
+    values = [f'{odd} line{end}"{i}",{end}' * (i % 7) + "end" for i in range(300)]
+    values[100] = ("long " * 50 + end) * 60
+    values[200] = end
+    for name, part in (("a", range(0, 150)), ("b", range(150, 300))):
+        rows = [["id", "the " + end + "text " * (800 if name == "a" else 1), "n"], *[[i, values[i], i / 2] for i in part]]
+        with open(tmp_path / f"{name}.csv", "w", encoding=encoding, newline="") as f:
+            csv.writer(f, lineterminator=end).writerows(rows)
+    found = delimited.Dialect(encoding, ",")
+    assert records.lines(spark, str(tmp_path)).rdd.getNumPartitions() > 15
+    df = delimited.read_delimited(spark, str(tmp_path), "id int, text string, n double", found)
+    got = {r["id"]: (r["text"], r["n"]) for r in df.collect()}
+    assert df.count() == 300 and got == {i: (v, i / 2) for i, v in enumerate(values)}
+
+
+def test_late_cp1252_bytes(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_bytes("id;price €\n1;5 €\n2;“x”\n".encode("cp1252"))
+    df = delimited.read_delimited(spark, str(path), dialect=delimited.Dialect("cp1252", ";"))
+    assert {r[0]: r["price €"] for r in df.collect()} == {1: "5 €", 2: "“x”"}
+
+
+def test_unclosed_quote_takes_the_rest(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('a,b\n1,x\n2,"open\n3,y\n')
+    rows = delimited.read_delimited(spark, str(path), "a int, b string").collect()
+    assert {r["a"]: r["b"] for r in rows} == {1: "x", 2: "open\n3,y"}
+
+
+def test_quoted_text_is_read_by_lines(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('a,b\n1,"x\ny"\n')
+    plan = delimited.read_delimited(spark, str(path), "a int, b string")._jdf.queryExecution().toString()
+    assert "multiLine" not in plan
