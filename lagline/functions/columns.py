@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """Column by exact name, also with dots, spaces or brackets in it."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted_name(name))
 
 
 def trim_column_names(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.functions.columns import quoted
+from lagline.functions.columns import nan_to_null, quoted
 
 SKETCH_ACCURACY = 10_000  # of the values returned with exact=False
 BRACKET_ACCURACY = 2_000  # of the brackets of the exact search
@@ -86,7 +86,7 @@ def quantiles(
     if not columns:
         return {}
     columns, probabilities = list(columns), list(probabilities)
-    data = df.select(*[quoted(c).cast("double").alias(c) for c in columns])
+    data = nan_to_null(df.select(*[quoted(c).cast("double").alias(c) for c in columns]))
     if not exact:
         row = data.agg(
             *[F.percentile_approx(quoted(c), probabilities, SKETCH_ACCURACY) for c in columns]

@@ -1,35 +1,40 @@
 """Distributed ranks: hash cut points per class, and running totals by score.
 
 Neither sorts a class or a model in one task. Cut points come from histograms of a hash
-prefix; running totals from range buckets whose totals are added up on their own.
+prefix; running totals from range partitions whose totals are added up on their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lagline.functions.columns import quoted
+from lagline.functions.columns import quoted, quoted_name
+from lagline.session import stage_table
 
 PREFIX_STEP = 3  # hex digits per histogram: 4096 cells
 LEAF_ROWS = 1_000
 HASH_DIGITS = 32
 BEFORE_ALL = ""
 AFTER_ALL = "g"  # sorts after every hex digit
-
-COARSE_BUCKETS = 32
-FINE_BUCKETS = 32
+PART = "_part"
 
 
 def row_hash(keys: Sequence[str], seed: int) -> Column:
-    """md5 of the key columns and the seed, joined by ``|``: a stable random order."""
-    parts = [F.coalesce(quoted(k).cast("string"), F.lit("\\N")) for k in keys]
-    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
+    """md5 of the key columns and the seed, joined by ``|``: a stable random order.
+
+    Bars and backslashes inside values are escaped, so different keys never join to the same text.
+    """
+    parts = [F.replace(F.replace(quoted(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for k in keys]
+    return F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("\\N")) for p in parts], F.lit(str(seed))))
 
 
 @dataclass
@@ -124,25 +129,26 @@ def _read_leaves(hashed: DataFrame, leaves: list[_Cut]) -> None:
         cut.hash = hashes[cut.rank - cut.before - 1]
 
 
-def range_edges(df: DataFrame, order: str) -> Column:
-    """1023 quantiles of ``order`` as a scalar subquery, with every 32nd one apart."""
-    n = COARSE_BUCKETS * FINE_BUCKETS
-    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    every_32nd = F.filter("all", lambda e, i: (i + 1) % FINE_BUCKETS == 0)
-    return (
-        df.agg(F.percentile_approx(order, shares, 10 * n).alias("all"))
-        .select(F.struct("all", every_32nd.alias("coarse")))
-        .scalar()
-    )
-
-
-def range_bucket(value: Column, edges: Column) -> Column:
-    """Bucket of ``value``: how many edges are smaller, by two looks at 32 edges each."""
-    skipped = F.size(F.filter(edges["coarse"], lambda e: e < value)) * FINE_BUCKETS
-    run = F.slice(edges["all"], skipped + 1, F.lit(FINE_BUCKETS))
-    bucket = skipped + F.size(F.filter(run, lambda e: e < value))
-    # never NULL: or a later join would test this expression on every row below
-    return F.coalesce(bucket, F.lit(0))
+def _cumulated(batches: Iterator[pa.RecordBatch], group: str, sums: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted partition with its number and running totals of each group inside it."""
+    part, last, carried = TaskContext.get().partitionId(), None, {}
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        groups = batch.column(group).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+        lengths = np.diff(np.append(starts, n))
+        added = []
+        for s in sums:
+            total = np.cumsum(batch.column(s).to_numpy(zero_copy_only=False))
+            running = total - np.repeat(np.append(0, total)[starts], lengths)
+            if carried and groups[0] == last:
+                running[: lengths[0]] += carried[s]
+            added.append(running)
+        last, carried = groups[-1], {s: a[-1] for s, a in zip(sums, added)}
+        columns = [*batch.columns, pa.array(np.full(n, part, np.int32)), *map(pa.array, added)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, PART, *[f"_run_{s}" for s in sums]])
 
 
 def running_totals(
@@ -150,36 +156,28 @@ def running_totals(
 ) -> DataFrame:
     """Add running totals ``cum_<sum>`` within ``group`` by ``order``, and ``total_<sum>``.
 
-    ``df`` holds one row per (group, order). Buckets are cut at quantiles of ``order``
-    over all rows, so each holds about a thousandth of them whatever the scores look
-    like; bucket totals are summed up separately (at most 1024 rows per group) and added
-    to the running total inside the bucket.
+    ``df`` holds one row per (group, order). Rows are dealt to range partitions of (group, order),
+    as many as the session's shuffles have, fewer where adaptive execution finds them small. Each
+    adds up its own rows and is written once; what stands before a partition in its groups is the
+    running sum over one row for each partition and group.
     """
-    bucketed = (
-        df.withColumn("_edges", range_edges(df, order))
-        .withColumn("_bucket", range_bucket(F.col(order), F.col("_edges")))
-        .drop("_edges")
-    )
-
-    def direction(name: str) -> Column:
-        return F.col(name).asc() if ascending else F.col(name).desc()
-
-    earlier = (
-        W.partitionBy(group).orderBy(direction("_bucket")).rowsBetween(W.unboundedPreceding, -1)
-    )
-    whole = W.partitionBy(group)  # over at most 1024 bucket rows
-    offsets = bucketed.groupBy(group, "_bucket").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
-    offsets = offsets.select(
+    along = [F.col(group).asc(), F.col(order).asc() if ascending else F.col(order).desc()]
+    kinds = [f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields]
+    kinds += [f"{PART} int", *[f"{quoted_name(f'_run_{s}')} {df.schema[s].dataType.simpleString()}" for s in sums]]
+    names = list(sums)
+    ranged = df.repartitionByRange(*along).sortWithinPartitions(*along)
+    ranged = stage_table(ranged.mapInArrow(lambda b: _cumulated(b, group, names), ", ".join(kinds)), "running-totals")
+    earlier = W.partitionBy(group).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(group)  # over a row per partition
+    ends = ranged.groupBy(group, PART).agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
+    ends = ends.select(
         group,
-        "_bucket",
+        PART,
         *[F.coalesce(F.sum(f"_sum_{s}").over(earlier), F.lit(0)).alias(f"_before_{s}") for s in sums],
         *[F.sum(f"_sum_{s}").over(whole).alias(f"total_{s}") for s in sums],
     )
-    inside = (
-        W.partitionBy(group, "_bucket").orderBy(direction(order)).rowsBetween(W.unboundedPreceding, 0)
-    )
-    return bucketed.join(offsets, [group, "_bucket"]).select(
+    return ranged.join(ends, [group, PART]).select(
         *df.columns,
-        *[(F.sum(s).over(inside) + F.col(f"_before_{s}")).alias(f"cum_{s}") for s in sums],
+        *[(F.col(f"_run_{s}") + F.col(f"_before_{s}")).alias(f"cum_{s}") for s in sums],
         *[f"total_{s}" for s in sums],
     )

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lagline import fixed_values as fixed
 from lagline.functions.columns import (
     drop_columns,
+    nan_to_null,
     numeric_columns,
     quoted,
     rows_per_column,
@@ -64,8 +65,8 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """(column, n_null, pct_null) for every column from one scan, most NULLs first."""
-    counted = df.agg(
+    """(column, n_null, pct_null) for every column from one scan, most NULLs first; NaN is missing, too."""
+    counted = nan_to_null(df).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(quoted(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(df.columns)],
     )
@@ -112,7 +113,7 @@ def median_values(df: DataFrame, columns: Sequence[str], exact: bool = True) ->
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _replace(df, {c: F.coalesce(quoted(c), F.lit(0)) for c in columns})
+    return _replace(nan_to_null(df), {c: F.coalesce(quoted(c), F.lit(0)) for c in columns})
 
 
 class GapFillerModel(Model, _Stage):
@@ -126,6 +127,7 @@ class GapFillerModel(Model, _Stage):
         self._configure(medians=medians, modes=modes)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        dataset = nan_to_null(dataset)
         fill = {
             c: F.coalesce(quoted(c).cast("double"), F.lit(float(m)))
             for c, m in self.getOrDefault(self.medians).items()
@@ -182,7 +184,9 @@ def iqr_table(df: DataFrame, columns: Sequence[str], exact: bool = True) -> Data
 
 
 def is_outside(column: Column, lower: float, upper: float) -> Column:
-    return (column < F.lit(lower)) | (column > F.lit(upper))
+    """Whether a value lies beyond the limits; NULL for missing values, NaN among them."""
+    outside = (column < F.lit(lower)) | (column > F.lit(upper))
+    return F.when(~F.isnan(column.cast("double")), outside)
 
 
 def outlier_rows(df: DataFrame, column: str, exact: bool = True) -> DataFrame:

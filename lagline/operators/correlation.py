@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
-from lagline.functions.columns import quoted
+from lagline.functions.columns import nan_to_null, quoted
 
 NARROW = 12  # up to 66 pairs in one JVM aggregate; wider tables use matrix products
 
@@ -22,7 +22,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     r is NULL where it is undefined (a constant column, or fewer than two rows).
     """
-    data = df.select(*[quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    data = nan_to_null(df.select(*[quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]))
     pairs = _narrow_pairs(data, len(columns)) if len(columns) <= NARROW else _wide_pairs(data, len(columns))
     names = F.array(*[F.lit(c) for c in columns])
     return pairs.select(

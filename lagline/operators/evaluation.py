@@ -134,7 +134,7 @@ def classification_report(predictions: DataFrame) -> DataFrame:
 def score_steps(predictions: DataFrame) -> DataFrame:
     """Per (model, probability): positives, negatives and running totals from the top.
 
-    Rows collapse to distinct probabilities first, then run in range buckets, so neither
+    Rows collapse to distinct probabilities first, then run in range partitions, so neither
     a popular probability nor a large model ends up in one task.
     """
     y = F.col("label")

@@ -50,7 +50,7 @@ def min_max_std(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _moments(columns: Sequence[str]) -> list[Column]:
     made = []
     for i, c in enumerate(columns):
-        value = quoted(c).cast("double")
+        value = F.nanvl(quoted(c).cast("double"), F.lit(None).cast("double"))
         made += [
             F.count(value).alias(f"_count_{i}"),
             F.avg(value).alias(f"_mean_{i}"),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
-from lagline.functions.columns import numeric_columns, quoted, string_columns
+from lagline.functions.columns import nan_to_null, numeric_columns, quoted, string_columns
 from lagline.functions.labels import require_both_classes
 from lagline.functions.ranks import row_hash
 from lagline.functions.quantiles import quantiles
@@ -106,7 +106,7 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     ]
     if config.real_days not in raw.columns:
         raise ValueError(f"missing required columns: {[config.real_days]}")
-    distinct = drop_duplicate_rows(PipelineModel(projections).transform(raw))
+    distinct = drop_duplicate_rows(PipelineModel(projections).transform(nan_to_null(raw)))
     # Rows are distinct now, so their content identifies them. NULLs take part in the key.
     content = [c for c in distinct.columns if c != label]
     keyed = distinct.withColumn(ROW_ID, row_hash([*content, label], config.seed))
@@ -172,6 +172,6 @@ def _fit_numbers(
 
 def prepare_new(raw: DataFrame, stages: PipelineModel, keep: Sequence[str] = ()) -> DataFrame:
     """Prepare new rows as the training rows were; ``keep`` names columns to carry along."""
-    carried = raw.withColumns({f"_kept_{c}": quoted(c) for c in keep})
+    carried = nan_to_null(raw).withColumns({f"_kept_{c}": quoted(c) for c in keep})
     done = stages.transform(carried)
     return done.select(*[quoted(f"_kept_{c}").alias(c) for c in keep], FEATURES)

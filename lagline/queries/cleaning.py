@@ -54,6 +54,25 @@ def null_counts(spark, sf):
     return rounded(cleaning.null_counts(_documents_with_labels(spark, sf)))
 
 
+NAN_COLUMNS = ["event_id", "event_type", "value"]
+
+
+@register(
+    "c3_null_counts_nan",
+    "WITH gaps AS (SELECT event_id, event_type, CASE WHEN floor(value) % 5 <> 0 THEN value END AS value FROM events) "
+    + union_sql(
+        NAN_COLUMNS,
+        """SELECT '{c}' AS "column", count(*) - count({c}) AS n_null,
+           round((count(*) - count({c})) * 100.0 / count(*), 6) AS pct_null FROM gaps""",
+    ),
+)
+def null_counts_nan(spark, sf):
+    """Event values, each fifth amount replaced by NaN, counted as missing."""
+    events = read_table(spark, sf, "events")
+    value = F.when(F.floor("value") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    return rounded(cleaning.null_counts(events.select("event_id", "event_type", value.alias("value"))))
+
+
 @register(
     "c4_total_nulls",
     f"WITH {NULL_SOURCE_SQL} SELECT CAST(sum(n) AS BIGINT) AS n_null FROM ("

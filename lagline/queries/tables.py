@@ -57,6 +57,31 @@ def delimited_scan(spark, sf):
     return delimited.read_delimited(spark, path, ORDER_SCHEMA)
 
 
+QUOTED_COLUMNS = ["doc_id", "source", "text"]
+QUOTED_SCHEMA = "doc_id bigint, source string, text string"
+
+
+def _quoted_file(spark, sf, encoding):
+    """Documents in one file of quoted text, line breaks inside."""
+    path = scratch_path(spark, "quoted-text")
+    docs = read_table(spark, sf, "documents").select(*QUOTED_COLUMNS).coalesce(1)
+    options = {"header": True, "sep": ";", "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.write.options(**options).option("encoding", encoding).csv(path)
+    return path
+
+
+@register("s1_quoted_text", "SELECT doc_id, source, nullif(text, '') AS text FROM documents")
+def quoted_text(spark, sf):
+    """All documents written as one quoted file and read again by many tasks; the dialect is probed."""
+    return delimited.read_delimited(spark, _quoted_file(spark, sf, "UTF-8"), QUOTED_SCHEMA)
+
+
+@register("s1_late_bytes", r"SELECT doc_id, source, regexp_replace(nullif(text, ''), '[^\x00-\xFF]', '?', 'g') AS text FROM documents")
+def late_bytes(spark, sf):
+    """The same in one-byte characters, of which the header has none: the probe looks at all bytes."""
+    return delimited.read_delimited(spark, _quoted_file(spark, sf, "ISO-8859-1"), QUOTED_SCHEMA)
+
+
 @register("s2_trimmed_names", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def trimmed_names(spark, sf):
     nation = read_table(spark, sf, "nation")

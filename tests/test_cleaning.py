@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lagline.functions import columns as c
 from lagline.functions.dates import add_date_parts
 from lagline.functions.labels import add_late_label, require_both_classes
-from lagline.operators import cleaning, profiling
+from lagline.operators import cleaning, correlation, profiling
 
 
 def test_late_label_with_missing_side(spark):
@@ -113,3 +113,27 @@ def test_approximate_distinct_counts(spark):
     assert profiling.distinct_counts(df, ["a"], exact=False).first().asDict() == {
         "column": "a", "n_distinct": 2, "n_with_null": 3,
     }
+
+
+def test_nan_is_missing_everywhere(spark):
+    """NaN counts, fills, caps and correlates as NULL does."""
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, 1.0), (2, 1.0, 2.0), (3, 2.0, nan), (4, 9.0, 4.0), (5, None, 5.0)], "id int, x double, y double")
+    null = df.select("id", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("x", "y")])
+
+    def same(operator):
+        return [sorted(operator(d).collect(), key=str) for d in (df, null)]
+
+    for operator in (
+        cleaning.null_counts,
+        cleaning.total_nulls,
+        lambda d: cleaning.GapFiller(numericCols=["x", "y"], textCols=[]).fit(d).transform(d),
+        lambda d: cleaning.fill_zero(d, ["x", "y"]),
+        lambda d: cleaning.outlier_summary(d, ["x", "y"]),
+        lambda d: cleaning.outlier_rows(d, "x"),
+        lambda d: profiling.describe_numeric(d, ["x", "y"]),
+        lambda d: correlation.correlation_pairs(d, ["x", "y"]),
+    ):
+        got, want = same(operator)
+        assert got == want
+    assert {r["column"]: r["n_null"] for r in cleaning.null_counts(df).collect()} == {"id": 0, "x": 2, "y": 1}

@@ -86,9 +86,29 @@ def test_running_totals(spark):
     assert (merged["total_n"] == merged.groupby("model")["n"].transform("sum")).all()
 
 
-def test_buckets_are_balanced(spark):
-    df = spark.range(20000).select((F.col("id") / 20000.0).alias("p"), F.lit("m").alias("model"))
-    edged = df.withColumn("edges", ranks.range_edges(df, "p"))
-    bucketed = edged.select(ranks.range_bucket(F.col("p"), F.col("edges")).alias("b"))
-    sizes = [r["count"] for r in bucketed.groupBy("b").count().collect()]
-    assert len(sizes) > 900 and max(sizes) < 60
+@pytest.mark.parametrize("partitions", [1, 3, 10_000])
+def test_running_totals_over_many_partitions(spark, monkeypatch, partitions):
+    """The number of range partitions follows the session and the rows, and never changes the totals."""
+    df = spark.range(30_000).select((F.col("id") % 7).cast("string").alias("model"), (F.col("id") / 7).alias("p"), (F.col("id") % 3).alias("n"))
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    seen = {}
+    stage = ranks.stage_table
+    monkeypatch.setattr(ranks, "stage_table", lambda df, name: seen.setdefault("plan", df) and stage(df, name))
+    try:
+        found = ranks.running_totals(df, "model", "p", ["n"], ascending=True)
+        planned = seen["plan"]._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in planned
+        assert partitions == 1 or ("rangepartitioning(model" in planned and f", {partitions})" in planned)
+        got = found.toPandas().sort_values(["model", "p"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert len(got) == 30_000
+    assert (got["cum_n"] == got.groupby("model")["n"].cumsum()).all()
+    assert (got["total_n"] == got.groupby("model")["n"].transform("sum")).all()
+
+
+def test_keys_with_bars_hash_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a\\", "|b|c"), ("a\\|b", "c"), ("\\N", "c"), (None, "c"), ("1", "c")]
+    found = spark.createDataFrame(rows, "a string, b string").select(ranks.row_hash(["a", "b"], 1).alias("h"))
+    assert found.distinct().count() == len(rows)
