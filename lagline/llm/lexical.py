@@ -149,7 +149,7 @@ def _vocabulary(terms: DataFrame) -> np.ndarray:
 class Block:
     """Queries of a block: their terms, weights (repeats included) and thresholds, and the corpus counts."""
 
-    def __init__(self, rows: list[tuple[int, bytes, int]], queries: int, documents: int, occurrences: int) -> None:
+    def __init__(self, rows: list[tuple[int, bytes, int]], queries: int, documents: int, occurrences: int, least: dict[int, int] | None = None) -> None:
         self.queries, self.documents, self.occurrences = queries, documents, occurrences
         self.terms: list[list[tuple[bytes, int]]] = [[] for _ in range(queries)]
         number: dict[bytes, int] = {}
@@ -162,6 +162,8 @@ class Block:
         # Sums of single precision may be too small by a rounding for each term and a few besides.
         self.safety = 1 + (np.array([len(t) for t in self.terms], np.float64) + 8) * 2.0**-23
         self.least = np.zeros(queries)
+        for query, score in (least or {}).items():
+            self.least[query] = score
 
     def bounds(self, sketches: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Upper bounds of all queries' scores: a row for each sketch (all of one size)."""
@@ -201,7 +203,7 @@ def _bounded(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[tuple[
 
 def _highest(batches: Iterator[pa.RecordBatch], held: object, seeds: int) -> Iterator[pa.RecordBatch]:
     """The ``seeds`` highest bounds of each query in this task."""
-    block = held.value
+    block = Block(*held.value)
     best, whose = np.zeros((0, block.queries)), np.zeros((0, block.queries), np.int64)
     for keys, bounds in _bounded(batches, block):
         best = np.concatenate([best, bounds])
@@ -216,7 +218,7 @@ def _highest(batches: Iterator[pa.RecordBatch], held: object, seeds: int) -> Ite
 
 def _reaching(batches: Iterator[pa.RecordBatch], held: object) -> Iterator[pa.RecordBatch]:
     """Documents with the queries whose thresholds their bounds reach."""
-    block = held.value
+    block = Block(*held.value)
     for keys, bounds in _bounded(batches, block):
         row, query = np.nonzero((bounds >= block.least) & (bounds > 0))
         some, counts = np.unique(row, return_counts=True)
@@ -227,7 +229,7 @@ def _reaching(batches: Iterator[pa.RecordBatch], held: object) -> Iterator[pa.Re
 
 def _rescored(batches: Iterator[pa.RecordBatch], held: object) -> Iterator[pa.RecordBatch]:
     """Exact scores above 0 of documents under the queries that ask for them."""
-    block = held.value
+    block = Block(*held.value)
     for part in by_size(batches):
         out = []
         for doc_id, text, queries in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "queries"))):
@@ -279,16 +281,14 @@ def search(docs: DataFrame, items: DataFrame, best: int = BEST, seeds: int = SEE
         whose = [(r["item"], r["item_id"]) for r in mine(asked).select("item", "item_id").collect()]  # a block's queries
         at = {item: i for i, (item, _) in enumerate(whose)}
         terms = [(at[r["item"]], r["term"].encode(), r["weight"]) for r in mine(weighed).collect()]  # and their terms
-        block = Block(terms, len(whose), sums["documents"], sums["occurrences"])
-        held = send(block)
+        given = terms, len(whose), sums["documents"], sums["occurrences"]
+        held = send(given)
         tops = rows.mapInArrow(partial(_highest, held=held, seeds=seeds), "query int, bound double, text_key long")
         by_bound = Window.partitionBy("query").orderBy(F.desc("bound"), "text_key")
         tops = tops.withColumn("place", F.row_number().over(by_bound)).where(F.col("place") <= seeds)
         tops = staged(tops.select("text_key", F.array("query").alias("queries")), "search-seeds")
         last = _exact(texts, tops, held).where(F.col("rank") == best).select("query", "score").collect()  # one a query
-        for r in last:
-            block.least[r["query"]] = r["score"]
-        held = send(block)
+        held = send((*given, {r["query"]: r["score"] for r in last}))
         reaching = staged(rows.mapInArrow(partial(_reaching, held=held), "text_key long, queries array<int>"), "search-candidates")
         found = _exact(texts, reaching, held).where(F.col("rank") <= best)
         names = spark.createDataFrame([(at[item], item_id) for item, item_id in whose], f"query int, item_id {asked.schema['item_id'].dataType.simpleString()}")
