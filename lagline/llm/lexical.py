@@ -4,7 +4,7 @@ A term's impact on a document grows with its frequency alone, once the document
 impacts of a document fold into one small array: every distinct term is hashed to two coordinates
 and each keeps the largest frequency it meets. The lesser of a term's two coordinates is never
 below its frequency, whatever the corpus statistics turn out to be, and a query's weighted sum over
-its terms is an upper bound of its score. Sketches have about eight coordinates a distinct term,
+its terms is an upper bound of its score. Sketches have sixteen coordinates a distinct term or more,
 so they grow with the text and are never full.
 
 Queries are looked up in batches: a task holds sketches as rows of a matrix and bounds all queries
@@ -40,8 +40,8 @@ from lagline.llm.staging import staged
 from lagline.llm.text import ALNUM_WORD, words
 
 BEST = 20
-SEEDS = 2 * BEST  # documents of highest bound whose exact scores give the threshold
-ROOM = 8  # coordinates to a distinct term, rounded up to a power of two in all
+SEEDS = 4 * BEST  # documents of highest bound whose exact scores give the threshold
+ROOM = 16  # coordinates to a distinct term, rounded up to a power of two in all
 FULL = 255  # the largest frequency a coordinate tells apart
 BLOCK_QUERIES = 256
 BLOCK_TERMS = 50_000  # (query, term) pairs of a block
