@@ -7,24 +7,24 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
 from lagline.functions.columns import long_form, numeric_columns, quoted, rows_per_column
 from lagline.functions.dates import add_date_parts
 from lagline.functions.labels import add_late_label
+from lagline.functions.ranks import running_totals
 from lagline.operators.cleaning import _replace, _Stage
 from lagline.operators.correlation import (
     columns_correlated_with_earlier,
     correlation_pairs,
     vector_moments,
 )
-
-MAX_LEVELS = 10_000
-
+from lagline.session import scratch_path
 
 class LateLabeler(Transformer, _Stage):
     """Adds the late label from real and scheduled days, where both columns exist."""
@@ -65,16 +65,35 @@ class DateParts(Transformer, _Stage):
 # --- one-hot ------------------------------------------------------------------
 
 
-def category_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct values per column; refuses columns that were not reduced first."""
+def level_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, slot, width): the distinct values of each column, numbered in their order.
+
+    A dictionary of any size: values are sorted over range partitions and numbered by running
+    counts, so no task and not the driver holds a column's values. NULL is no level.
+    """
     distinct = long_form(df, columns, "string").where(F.col("value").isNotNull()).distinct()
-    rows = distinct.limit(max_levels * max(1, len(columns)) + 1).collect()
+    numbered = running_totals(distinct.withColumn("one", F.lit(1).cast("long")), "column", "value", ["one"], ascending=True)
+    return numbered.select("column", "value", (F.col("cum_one") - 1).alias("slot"), F.col("total_one").alias("width"))
+
+
+def with_level_slots(df: DataFrame, columns: Sequence[str], levels: DataFrame, suffix: str = "_slot") -> DataFrame:
+    """Adds ``<column>_slot``, the number of the row's level; NULL for missing and unseen values.
+
+    The sides are joined by value, in the way that their sizes allow.
+    """
+    for i, c in enumerate(columns):
+        value, slot = f"_level_{i}", f"_slot_{i}"
+        own = levels.where(F.col("column") == c).select(F.col("value").alias(value), F.col("slot").alias(slot))
+        df = df.join(own, quoted(c).cast("string") == F.col(value), "left").drop(value).withColumnRenamed(slot, f"{c}{suffix}")
+    return df
+
+
+def category_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column, for ``one_hot_wide``, where each becomes a column."""
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in level_table(df, columns).orderBy("column", "slot").collect():
         levels[r["column"]].append(r["value"])
-    if any(len(v) > max_levels for v in levels.values()) or len(rows) > max_levels * len(columns):
-        raise ValueError(f"more than {max_levels} levels in a column; fold rare values first")
-    return {c: sorted(v) for c, v in levels.items()}
+    return levels
 
 
 def one_hot_wide(
@@ -89,31 +108,88 @@ def one_hot_wide(
     return df.select(*[quoted(c) for c in df.columns if c not in levels], *flags)
 
 
-def fit_one_hot(
-    df: DataFrame, columns: Sequence[str], drop_first: bool = False
-) -> tuple[list[Transformer], list[str], list[str]]:
-    """Fitted stages coding text columns as sparse vectors, their outputs, the slot names.
+class _LevelWriter(DefaultParamsWriter):
+    """Saves the dictionary beside the parameters."""
+
+    def saveImpl(self, path: str) -> None:  # noqa: N802
+        super().saveImpl(path)
+        self.sparkSession.read.parquet(self.instance.getOrDefault("levels")).write.parquet(f"{path}/levels")
+
+
+class _LevelReader(DefaultParamsReader):
+    def load(self, path: str) -> LevelCoderModel:
+        stage = super().load(path)
+        stage._configure(levels=f"{path}/levels")
+        return stage
+
+
+class LevelCoderModel(Model, _Stage):
+    """Codes text columns as sparse vectors by a dictionary table.
 
-    One scan learns the levels of all columns. Every level keeps its slot because the
-    slot the encoder drops is the indexer's slot for unseen values; unseen and missing
-    values become all zeros.
+    Missing and unseen values, and the first level where ``dropFirst`` is set, become all zeros.
+    """
+
+    columns = Param(Params._dummy(), "columns", "text columns", TypeConverters.toListString)
+    widths = Param(Params._dummy(), "widths", "levels of each column", TypeConverters.toListInt)
+    levels = Param(Params._dummy(), "levels", "path of the dictionary", TypeConverters.toString)
+    dropFirst = Param(Params._dummy(), "dropFirst", "no slot for the first level", TypeConverters.toBoolean)
+
+    @keyword_only
+    def __init__(self, *, columns=None, widths=None, levels=None, dropFirst=False):
+        super().__init__()
+        self._configure(**self._input_kwargs)
+
+    def write(self) -> _LevelWriter:
+        return _LevelWriter(self)
+
+    @classmethod
+    def read(cls) -> _LevelReader:
+        return _LevelReader(cls)
+
+    def kept(self) -> dict[str, int]:
+        """Slots of each column that has any."""
+        first = int(self.getOrDefault(self.dropFirst))
+        return {c: w - first for c, w in zip(self.getOrDefault(self.columns), self.getOrDefault(self.widths)) if w > first}
+
+    def outputs(self) -> list[str]:
+        return [f"{c}__hot" for c in self.kept()]
+
+    def slot_names(self) -> list[str]:
+        """Names of all slots in order, on the driver: for models whose slots are few."""
+        levels = SparkSession.active().read.parquet(self.getOrDefault(self.levels))
+        found = {(r["column"], r["slot"]): r["value"] for r in levels.collect()}
+        first = int(self.getOrDefault(self.dropFirst))
+        return [f"{c}_{found[c, s + first]}" for c, n in self.kept().items() for s in range(n)]
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        kept, first = self.kept(), int(self.getOrDefault(self.dropFirst))
+        if not kept:
+            return dataset
+        levels = dataset.sparkSession.read.parquet(self.getOrDefault(self.levels))
+        coded = with_level_slots(dataset, list(kept), levels, "__index")
+        for c, n in kept.items():
+            slot = quoted(f"{c}__index") - first
+            known = F.when(slot >= 0, slot).otherwise(n).cast("double")  # the encoder drops the slot after the last
+            attributes = {"ml_attr": {"type": "nominal", "num_vals": n + 1, "name": c}}
+            coded = coded.withColumn(f"{c}__index", known.alias(f"{c}__index", metadata=attributes))
+        indexes = [f"{c}__index" for c in kept]
+        coder = OneHotEncoder(inputCols=indexes, outputCols=self.outputs(), dropLast=True)
+        return coder.fit(coded.limit(0)).transform(coded).drop(*indexes)
+
+
+def fit_one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> tuple[list[LevelCoderModel], list[str]]:
+    """The fitted stage coding text columns as sparse vectors, and the names of these.
+
+    One scan learns the levels of all columns; the dictionary is written to the scratch folder.
     """
     if not columns:
-        return [], [], []
-    indexes, vectors = [f"{c}__index" for c in columns], [f"{c}__hot" for c in columns]
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=indexes, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df)
-    encoder = OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=True)
-    stages: list[Transformer] = [indexer, encoder.fit(indexer.transform(df))]
-    names = []
-    for i, (c, levels) in enumerate(zip(columns, indexer.labelsArray)):
-        if drop_first:
-            rest = list(range(1, len(levels)))
-            stages.append(VectorSlicer(inputCol=vectors[i], outputCol=f"{c}__rest", indices=rest))
-            vectors[i] = f"{c}__rest"
-        names += [f"{c}_{v}" for v in levels[1 if drop_first else 0 :]]
-    return stages, vectors, names
+        return [], []
+    path = scratch_path(df.sparkSession, "levels")
+    level_table(df, columns).write.parquet(path)
+    found = df.sparkSession.read.parquet(path).groupBy("column").agg(F.first("width").alias("width")).collect()  # a row a column
+    widths = {r["column"]: r["width"] for r in found}
+    stage = LevelCoderModel(columns=list(columns), widths=[int(widths.get(c, 0)) for c in columns], levels=path, dropFirst=drop_first)
+    return [stage], stage.outputs()
 
 
 # --- scaling ------------------------------------------------------------------

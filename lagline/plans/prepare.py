@@ -124,7 +124,8 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     folder = RareFolder(columns=text, maxCategories=config.max_categories).fit(filled)
 
     folded = folder.transform(capper.transform(filled))
-    hot, hot_columns, hot_names = fit_one_hot(folded, text)
+    hot, hot_columns = fit_one_hot(folded, text)
+    hot_names = [n for stage in hot for n in stage.slot_names()]  # folding left few
     names = [*numeric, *hot_names]
     assembler = VectorAssembler(inputCols=[*numeric, *hot_columns], outputCol="all_features", handleInvalid="keep")
 
