@@ -1,11 +1,13 @@
 """Exact quantiles of many columns without a value map of the whole column.
 
-Linear interpolation between the two neighbouring order statistics. Small columns use
-the built-in exact ``percentile``. For larger ones a quantile sketch brackets each order
-statistic, a count shows how many values lie below and inside the bracket, and the
-bracket is narrowed until the distinct values inside are few enough to read. Every step
-is one scan with partial aggregation for all columns together, and no step keeps more
-than ``limit`` values anywhere, however the values are distributed.
+Linear interpolation between the two neighbouring order statistics. A mergeable sketch of every
+column, all from one scan, brackets each order statistic; a count shows how many values lie below
+and inside the bracket, and the bracket is narrowed until the distinct values inside are few enough
+to read. Every step is one scan with partial aggregation for all columns together, and no step
+keeps more than ``limit`` values anywhere, however many there are and however they are distributed.
+
+Sketches can be stored and merged over parts of a table (``quantile_sketches``,
+``merged_sketches``); given to ``quantiles``, they save the first scan.
 """
 
 from __future__ import annotations
@@ -20,11 +22,10 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.functions.columns import nan_to_null, quoted
+from lagline.functions.columns import nan_to_null, quoted, rows_per_column
 
-SKETCH_ACCURACY = 10_000  # of the values returned with exact=False
-BRACKET_ACCURACY = 2_000  # of the brackets of the exact search
-SMALL_COLUMN = 100_000
+SKETCH_SIZE = 4_096  # items of a sketch's levels: ranks within about 0.13 percent
+STEPS = 1_000  # shares that brackets are taken from
 READ_LIMIT = 10_000
 MAX_CUTS = 45
 
@@ -55,10 +56,10 @@ class _Bracket:
 
 
 def _around(share: float, margin: int) -> tuple[float, float]:
-    place = share * BRACKET_ACCURACY
+    place = share * STEPS
     low = max(0, math.floor(place) - margin)
-    high = min(BRACKET_ACCURACY, math.ceil(place) + margin)
-    return low / BRACKET_ACCURACY, high / BRACKET_ACCURACY
+    high = min(STEPS, math.ceil(place) + margin)
+    return low / STEPS, high / STEPS
 
 
 def _inside(column: str, low: float | None, high: float | None) -> Column:
@@ -71,58 +72,59 @@ def _inside(column: str, low: float | None, high: float | None) -> Column:
     return inside
 
 
+def quantile_sketches(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, n, sketch): values and a quantile sketch of every column, from one scan."""
+    data = nan_to_null(df.select(*[quoted(c).cast("double").alias(c) for c in columns]))
+    made = [e for i, c in enumerate(columns) for e in (F.count(quoted(c)).alias(f"n_{i}"), F.kll_sketch_agg_double(quoted(c), SKETCH_SIZE).alias(f"s_{i}"))]
+    return rows_per_column(data.agg(*made), {c: {"n": F.col(f"n_{i}"), "sketch": F.col(f"s_{i}")} for i, c in enumerate(columns)})
+
+
+def merged_sketches(*parts: DataFrame) -> DataFrame:
+    """The sketches of the rows of all parts together."""
+    return reduce(DataFrame.unionAll, parts).groupBy("column").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     exact: bool = True,
-    small: int = SMALL_COLUMN,
     limit: int = READ_LIMIT,
+    sketches: DataFrame | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles per column; ``None`` where a column has no value.
 
-    ``exact=False`` returns the sketch values of a single scan.
+    ``exact=False`` returns the sketch values of a single scan. ``sketches`` are those of the same
+    rows, where they are kept already.
     """
     if not columns:
         return {}
     columns, probabilities = list(columns), list(probabilities)
     data = nan_to_null(df.select(*[quoted(c).cast("double").alias(c) for c in columns]))
-    if not exact:
-        row = data.agg(
-            *[F.percentile_approx(quoted(c), probabilities, SKETCH_ACCURACY) for c in columns]
-        ).first()
-        return {c: list(row[i] or [None] * len(probabilities)) for i, c in enumerate(columns)}
-
-    # One scan counts all columns and brackets their quantiles.
     ends = [_around(p, _Bracket.margin) for p in probabilities]
-    shares = sorted({share for pair in ends for share in pair})
-    row = data.agg(
-        *[F.count(quoted(c)) for c in columns],
-        *[F.percentile_approx(quoted(c), shares, BRACKET_ACCURACY) for c in columns],
-    ).first()
-    counts = dict(zip(columns, row))
-    few = [c for c in columns if counts[c] <= small]
-    many = [c for c in columns if counts[c] > small]
-    result: dict[str, list[float | None]] = {}
-    if few:
-        row_of_few = data.agg(*[F.percentile(quoted(c), probabilities) for c in few]).first()
-        result.update({c: list(v or [None] * len(probabilities)) for c, v in zip(few, row_of_few)})
-    if many:
-        sketched = {c: dict(zip(shares, row[len(columns) + columns.index(c)])) for c in many}
-        places = {(c, k): _position(counts[c], p) for c in many for k, p in enumerate(probabilities)}
-        brackets, bounds = {}, {}
-        for (c, k), (low, high, _) in places.items():
-            for rank in (low, high):
-                brackets[c, rank] = _Bracket(c, rank, counts[c])
-                bounds[c, rank] = tuple(sketched[c][share] for share in ends[k])
+    shares = sorted({share for pair in ends for share in pair}) if exact else probabilities
+    found = sketches if sketches is not None else quantile_sketches(data, columns)
+    values = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(shares)))
+    rows = {r["column"]: r for r in found.select("column", "n", values.alias("v")).collect()}  # a row per column
+    if not exact:
+        return {c: list(rows[c]["v"] or [None] * len(probabilities)) for c in columns}
+
+    counts = {c: rows[c]["n"] for c in columns}
+    some = [c for c in columns if counts[c]]
+    places = {(c, k): _position(counts[c], p) for c in some for k, p in enumerate(probabilities)}
+    brackets, bounds = {}, {}
+    for (c, k), (low, high, _) in places.items():
+        sketched = dict(zip(shares, rows[c]["v"]))
+        for rank in (low, high):
+            brackets[c, rank] = _Bracket(c, rank, counts[c])
+            bounds[c, rank] = tuple(sketched[share] for share in ends[k])
+    if brackets:
         _settle(data, list(brackets.values()), list(bounds.values()))
         _search(data, list(brackets.values()), limit)
-        for c in many:
-            result[c] = []
-            for k in range(len(probabilities)):
-                low, high, weight = places[c, k]
-                a, b = brackets[c, low].value, brackets[c, high].value
-                result[c].append(a + (b - a) * weight)
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for (c, k), (low, high, weight) in places.items():
+        a, b = brackets[c, low].value, brackets[c, high].value
+        result[c][k] = a + (b - a) * weight
     return result
 
 
@@ -149,7 +151,7 @@ def _narrow(data: DataFrame, pending: list[_Bracket]) -> None:
     for b in pending:
         shares[b.span()] = sorted({*shares.get(b.span(), []), *b.ends()})
     sketches = [
-        F.percentile_approx(F.when(_inside(*span), quoted(span[0])), wanted, BRACKET_ACCURACY)
+        F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(F.when(_inside(*span), quoted(span[0])), SKETCH_SIZE), F.lit(wanted))
         for span, wanted in shares.items()
     ]
     row = data.agg(*sketches).first()
