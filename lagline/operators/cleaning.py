@@ -14,7 +14,6 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
@@ -25,8 +24,8 @@ from lagline.functions.columns import (
     quoted,
     rows_per_column,
     string_columns,
-    value_counts,
 )
+from lagline.functions.heavy import most_frequent
 from lagline.functions.quantiles import quantiles
 
 
@@ -91,12 +90,11 @@ def total_nulls(df: DataFrame) -> DataFrame:
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, mode, n): the most frequent value, the smallest on ties.
 
-    Built on distributed value counts, so no task holds a column's value map. A column
+    Found by bounded summaries, so no task holds a column's value map. A column
     without any value has no row here; ``mode_values`` gives it ``'Unknown'``.
     """
-    counted = value_counts(df, columns).where(F.col("value").isNotNull())
-    best = counted.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("best"))
-    return best.select("column", F.col("best.value").alias("mode"), (-F.col("best.n")).alias("n"))
+    best = most_frequent(df, columns, 1, nulls=False)
+    return best.select("column", F.col("value").alias("mode"), "n")
 
 
 def mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
@@ -272,15 +270,9 @@ class IqrCapper(Estimator, _Stage):
 def top_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     """The k most frequent values per column (NULL counts), ties by smaller value.
 
-    The rank filter is applied per task before the shuffle, so a column with very many
-    values sends k rows per task, not all of them.
+    Tasks send summaries of bounded size, so a column may have any number of values.
     """
-    order = W.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value"))
-    return (
-        value_counts(df, columns)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-    )
+    return most_frequent(df, columns, k)
 
 
 def keep_or_other(column: Column, kept: Sequence[str], other: str = fixed.OTHER) -> Column:

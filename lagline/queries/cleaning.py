@@ -183,6 +183,21 @@ def rare_to_other(spark, sf):
     return cleaning.RareFolder().fit(docs).transform(docs)
 
 
+@register(
+    "c11_high_cardinality",
+    """WITH lines AS (SELECT CAST(l_partkey AS VARCHAR) AS part, CAST(l_orderkey AS VARCHAR) AS order_key FROM lineitem),
+    p AS (SELECT part FROM lines GROUP BY part ORDER BY count(*) DESC, part LIMIT 15),
+    o AS (SELECT order_key FROM lines GROUP BY order_key ORDER BY count(*) DESC, order_key LIMIT 15)
+    SELECT CASE WHEN part IN (SELECT part FROM p) THEN part ELSE 'Other' END AS part,
+           CASE WHEN order_key IN (SELECT order_key FROM o) THEN order_key ELSE 'Other' END AS order_key, count(*) AS n
+    FROM lines GROUP BY ALL""",
+)
+def high_cardinality(spark, sf):
+    """Thousands of parts and orders become fifteen of each and 'Other'."""
+    lines = read_table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("part"), F.col("l_orderkey").cast("string").alias("order_key"))
+    return cleaning.RareFolder().fit(lines).transform(lines).groupBy("part", "order_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register(
     "c12_missing_shown_as_zero",
     f"""WITH {LINES_SQL}, {PREDICTIONS_SQL}, {COMPARISON_SQL}
