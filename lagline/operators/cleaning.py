@@ -25,8 +25,10 @@ from lagline.functions.columns import (
     rows_per_column,
     string_columns,
 )
+from lagline.functions.bitset import may_hold, repeated
 from lagline.functions.heavy import most_frequent
 from lagline.functions.quantiles import quantiles
+from lagline.session import stage_table
 
 
 class _Stage(DefaultParamsReadable, DefaultParamsWritable):
@@ -43,20 +45,42 @@ def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
 # --- duplicates ---------------------------------------------------------------
 
 
+def _maybe_copied(df: DataFrame) -> Column | None:
+    """Whether a row's hash occurs more than once; ``None`` if none does.
+
+    Only hashes are shuffled for this, and copies collapse before they are.
+    """
+    hashed = F.xxhash64(*[quoted(c) for c in df.columns])
+    again = stage_table(repeated(df.select(hashed.alias("h"))), "repeated-hashes")
+    return may_hold(again, "h", hashed)
+
+
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Distinct rows; NULLs compare equal. Copies collapse before the shuffle."""
-    return df.dropDuplicates()
+    """Distinct rows; NULLs compare equal.
+
+    Rows are shuffled whole and compared only if another row has the same hash. The rest stays
+    where it is, so ``df`` is read twice: stage it first where that is dear.
+    """
+    copied = _maybe_copied(df)
+    if copied is None:
+        return df
+    flagged = df.withColumn("_copied", copied)
+    alone, copies = flagged.where(~F.col("_copied")), flagged.where("_copied")
+    return alone.drop("_copied").unionAll(copies.drop("_copied").dropDuplicates())
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row, and their share in percent."""
-    copies = df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.coalesce(F.sum("_n"), F.lit(0))
-    repeated = total - F.count(F.lit(1))
-    return copies.agg(
+    copied = _maybe_copied(df)
+    flagged = df.withColumn("_copied", F.lit(False) if copied is None else copied)
+    alone = flagged.where(~F.col("_copied")).agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("kinds"))
+    groups = flagged.where("_copied").groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    copies = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("kinds"))
+    total, again = F.sum("n"), F.sum("n") - F.sum("kinds")
+    return alone.unionAll(copies).agg(
         total.alias("n_rows"),
-        repeated.alias("n_duplicates"),
-        F.coalesce(F.try_divide(repeated * 100.0, total), F.lit(0.0)).alias("pct_duplicates"),
+        again.alias("n_duplicates"),
+        F.coalesce(F.try_divide(again * 100.0, total), F.lit(0.0)).alias("pct_duplicates"),
     )
 
 

@@ -10,7 +10,7 @@ from lagline.plans.examples import PREDICTIONS_SQL, example_predictions
 from lagline.queries import register, rounded
 from lagline.queries.sql import COMPARISON_SQL, NULL_SOURCE_SQL, split_sql, union_sql
 from lagline.queries.tables import _documents_with_labels
-from lagline.sources.tables import LINES_SQL, NUMERIC, order_lines, read_table
+from lagline.sources.tables import ALL_COLUMNS, LINES_SQL, NUMERIC, order_lines, read_table
 
 DOC_COLUMNS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic", "grade"]
 EVENT_ROWS_SQL = "event_rows AS (SELECT event_type, CAST(floor(value) AS BIGINT) AS amount, user_id FROM events)"
@@ -31,6 +31,16 @@ def distinct_texts(spark, sf):
     return cleaning.drop_duplicate_rows(read_table(spark, sf, "documents").select("text", "lang"))
 
 
+@register(
+    "c1_wide_rows",
+    f"WITH {LINES_SQL}, twice AS (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_linenumber = 7) SELECT DISTINCT * FROM twice",
+)
+def wide_rows(spark, sf):
+    """Whole order lines, those with line number 7 twice: only these are shuffled whole."""
+    lines = order_lines(spark, sf, ALL_COLUMNS)
+    return cleaning.drop_duplicate_rows(lines.unionAll(lines.where("l_linenumber = 7")))
+
+
 @register(
     "c2_duplicate_count",
     f"""WITH {EVENT_ROWS_SQL}, d AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM event_rows))

@@ -109,6 +109,8 @@ _EXPRESSIONS = {
     "line_status": lambda: F.col("l_linestatus"),
 }
 
+ALL_COLUMNS = list(_EXPRESSIONS)
+
 # The same table for SQL checks, every column.
 LINES_SQL = """
 lines AS (

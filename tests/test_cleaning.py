@@ -137,3 +137,26 @@ def test_nan_is_missing_everywhere(spark):
         got, want = same(operator)
         assert got == want
     assert {r["column"]: r["n_null"] for r in cleaning.null_counts(df).collect()} == {"id": 0, "x": 2, "y": 1}
+
+
+def test_distinct_rows_are_not_shuffled(spark):
+    """No row of a table without copies is shuffled whole; with some, only these and few others are."""
+    wide = spark.range(20_000).select("id", *[F.concat(F.lit(f"{i}-"), F.col("id")).alias(f"c{i}") for i in range(10)])
+    plan = cleaning.drop_duplicate_rows(wide)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    some = wide.unionAll(wide.where("id < 100"))
+    found = cleaning.drop_duplicate_rows(some)
+    assert found.count() == 20_000 and found.distinct().count() == 20_000
+    assert some.where(cleaning._maybe_copied(some)).count() < 3_000
+    row = cleaning.duplicate_count(some).first()
+    assert (row["n_rows"], row["n_duplicates"]) == (20_100, 100)
+    assert tuple(cleaning.duplicate_count(wide).first())[:2] == (20_000, 0)
+
+
+def test_copies_with_nulls_and_hot_rows(spark):
+    rows = [(None, "a")] * 500 + [("a", None)] * 3 + [(None, None)] * 2 + [("b", "b")]
+    df = spark.createDataFrame(rows, "x string, y string").repartition(4)
+    assert sorted(cleaning.drop_duplicate_rows(df).collect(), key=str) == sorted(df.distinct().collect(), key=str)
+    assert tuple(cleaning.duplicate_count(df).first())[:2] == (506, 502)
+    empty = cleaning.duplicate_count(df.where("false")).first()
+    assert (empty["n_rows"], empty["n_duplicates"], empty["pct_duplicates"]) == (0, 0, 0.0)
