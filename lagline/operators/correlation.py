@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
 from lagline.functions.columns import nan_to_null, quoted
+from lagline.session import stage_table
 
-NARROW = 12  # up to 66 pairs in one JVM aggregate; wider tables use matrix products
+BLOCK = 128  # columns multiplied at once
+HELD_BYTES = 64 << 20  # sums a task keeps before it sends them
+SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -23,64 +25,8 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     r is NULL where it is undefined (a constant column, or fewer than two rows).
     """
     data = nan_to_null(df.select(*[quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]))
-    pairs = _narrow_pairs(data, len(columns)) if len(columns) <= NARROW else _wide_pairs(data, len(columns))
-    names = F.array(*[F.lit(c) for c in columns])
-    return pairs.select(
-        "i", "j", names[F.col("i")].alias("left"), names[F.col("j")].alias("right"), "r"
-    )
-
-
-def _narrow_pairs(data: DataFrame, d: int) -> DataFrame:
-    """All pairs in one aggregate; deviations are shared where no value is missing."""
-    seen = data.agg(F.count(F.lit(1)), *[F.count(c) for c in data.columns]).first()
-    full = [n == seen[0] for n in seen[1:]]
-
-    def deviation(a: str, b: str, b_full: bool):
-        return F.stddev_pop(F.col(a) if b_full else F.when(F.col(b).isNotNull(), F.col(a)))
-
-    cells = [
-        F.struct(
-            F.lit(i).alias("i"),
-            F.lit(j).alias("j"),
-            F.try_divide(
-                F.covar_pop(f"c{i}", f"c{j}"),
-                F.nullif(deviation(f"c{i}", f"c{j}", full[j]), F.lit(0.0))
-                * F.nullif(deviation(f"c{j}", f"c{i}", full[i]), F.lit(0.0)),
-            ).alias("r"),
-        ).alias(f"p{i}_{j}")
-        for i, j in combinations(range(d), 2)
-    ]
-    if not cells:
-        return data.sparkSession.createDataFrame([], "i int, j int, r double")
-    one = data.agg(*cells)
-    return one.select(F.inline(F.array(*one.columns)))
-
-
-def _wide_pairs(data: DataFrame, d: int) -> DataFrame:
-    """Pair sums by matrix products per Arrow batch, added up by (i, j).
-
-    Each task sends one row per pair however many rows it reads. Values are shifted by
-    the column means first, which keeps the sums well conditioned.
-    """
     means = data.agg(*[F.avg(c) for c in data.columns]).first()
-    shift = np.array([0.0 if m is None else m for m in means])
-    left, right = np.triu_indices(d, k=1)
-    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
-
-    def pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = None
-        for batch in batches:
-            x = batch.to_numpy(dtype=float, na_value=np.nan) - shift
-            there = (~np.isnan(x)).astype(float)
-            x = np.where(there > 0, x, 0.0)
-            n, s, q, p = there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x
-            sums = np.stack([m[left, right] for m in (n, s, s.T, q, q.T, p)])
-            totals = sums if totals is None else totals + sums
-        if totals is not None:
-            yield pd.DataFrame({"i": left, "j": right, **dict(zip(names, totals))})
-
-    schema = "i int, j int, " + ", ".join(f"{n} double" for n in names)
-    sums = data.mapInPandas(pair_sums, schema).groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in names])
+    sums = pair_sums(data, [m or 0.0 for m in means])
     n = F.nullif(F.col("n"), F.lit(0.0))
     var_x = F.col("sxx") - F.col("sx") * F.try_divide(F.col("sx"), n)
     var_y = F.col("syy") - F.col("sy") * F.try_divide(F.col("sy"), n)
@@ -88,42 +34,77 @@ def _wide_pairs(data: DataFrame, d: int) -> DataFrame:
     noise_x, noise_y = F.col("sxx") * 1e-12, F.col("syy") * 1e-12
     covariance = F.col("sxy") - F.col("sx") * F.try_divide(F.col("sy"), n)
     defined = (var_x > noise_x) & (var_y > noise_y)
-    return sums.select("i", "j", F.when(defined, covariance / F.sqrt(var_x * var_y)).alias("r"))
+    pairs = sums.where("i < j").select("i", "j", F.when(defined, covariance / F.sqrt(var_x * var_y)).alias("r"))
+    names = F.lit(list(columns))
+    return pairs.select("i", "j", names[F.col("i")].alias("left"), names[F.col("j")].alias("right"), "r")
 
 
-def vector_moments(df: DataFrame, column: str, shift: Sequence[float]) -> tuple[int, np.ndarray]:
-    """Row count and population covariance of a vector column, from one scan.
+def pair_sums(data: DataFrame, shift: Sequence[float]) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy) for i <= j over rows where columns i and j are present.
 
-    Each task multiplies its Arrow batches and sends one number per pair of slots; those
-    are added up by slot pair. ``shift`` should be near the means: it keeps the sums well
-    conditioned and changes nothing else.
+    ``data`` has number columns, or one array column holding them all. Blocks of columns are
+    multiplied batch by batch, values and presence masks apart; a task sends one row per pair,
+    and sooner when the sums of all blocks would not fit ``HELD_BYTES``. Nothing of the size of
+    the matrix reaches the driver. Values are shifted by ``shift``, which should be near the
+    means: it keeps the sums well conditioned and changes nothing else.
     """
-    d, offset = len(shift), np.asarray(shift, dtype=float)
-    left, right = np.triu_indices(d + 1)
-
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((d + 1, d + 1))
+    offset = np.asarray(shift, dtype=float)
+    cuts = [slice(s, min(s + BLOCK, len(offset))) for s in range(0, len(offset), BLOCK)]
+    held_at_most = max(1, HELD_BYTES // (len(SUMS) * BLOCK * BLOCK * 8))
+
+    def rows(held: dict) -> Iterator[pa.RecordBatch]:
+        for (left, right), sums in held.items():
+            i, j = np.meshgrid(np.arange(left.start, left.stop), np.arange(right.start, right.stop), indexing="ij")
+            use = i <= j
+            columns = [i[use].astype(np.int32), j[use].astype(np.int32), *[m[use] for m in sums]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["i", "j", *SUMS])
+        held.clear()
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
         for batch in batches:
-            x = np.vstack(batch["x"].to_numpy()) - offset
-            x = np.hstack([x, np.ones((len(x), 1))])  # the last slot counts rows and sums
-            total += x.T @ x
-        yield pd.DataFrame({"i": left, "j": right, "s": total[left, right]})
-
-    rows = (
-        df.select(vector_to_array(column).alias("x"))
-        .mapInPandas(products, "i int, j int, s double")
-        .groupBy("i", "j")
-        .agg(F.sum("s").alias("s"))
-        .collect()  # slots squared numbers
-    )
-    total = np.zeros((d + 1, d + 1))
-    for r in rows:
-        total[r["i"], r["j"]] = total[r["j"], r["i"]] = r["s"]
-    n = total[d, d]
-    if n == 0:
-        return 0, np.full((d, d), np.nan)
-    mean = total[:d, d] / n
-    return int(n), total[:d, :d] / n - np.outer(mean, mean)
+            if not batch.num_rows:
+                continue
+            if pa.types.is_list(batch.schema.field(0).type):
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            else:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            x = x.astype(float) - offset
+            there = (~np.isnan(x)).astype(float)
+            x = np.where(there > 0, x, 0.0)
+            for a, left in enumerate(cuts):
+                for right in cuts[a:]:
+                    xl, xr, tl, tr = x[:, left], x[:, right], there[:, left], there[:, right]
+                    sums = np.stack([tl.T @ tr, xl.T @ tr, tl.T @ xr, (xl * xl).T @ tr, tl.T @ (xr * xr), xl.T @ xr])
+                    key = (left, right)
+                    held[key] = held[key] + sums if key in held else sums
+                    if len(held) > held_at_most:
+                        yield from rows(held)
+        yield from rows(held)
+
+    schema = "i int, j int, " + ", ".join(f"{n} double" for n in SUMS)
+    return data.mapInArrow(multiply, schema).groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in SUMS])
+
+
+def vector_selection(
+    df: DataFrame, column: str, shift: Sequence[float], variance_threshold: float, correlation_threshold: float
+) -> list[int]:
+    """Slots of a vector column that vary enough and follow no earlier slot that does.
+
+    One scan gives the pair sums; variances and pairs stay a table, and the driver gets the numbers
+    of the slots that are kept.
+    """
+    sums = stage_table(pair_sums(df.select(vector_to_array(column).alias("x")), shift), "slot-pairs")
+    mean_x, mean_y = F.col("sx") / F.col("n"), F.col("sy") / F.col("n")
+    variance = (F.col("sxx") / F.col("n") - mean_x * mean_x).alias("variance")
+    varied = sums.where("i = j").select(F.col("i").alias("slot"), variance).where(F.col("variance") > variance_threshold)
+    covariance = F.col("sxy") / F.col("n") - mean_x * mean_y
+    left = varied.select(F.col("slot").alias("i"), F.col("variance").alias("var_i"))
+    right = varied.select(F.col("slot").alias("j"), F.col("variance").alias("var_j"))
+    pairs = sums.where("i < j").select("i", "j", covariance.alias("c")).join(left, "i").join(right, "j")
+    follows = F.abs(F.col("c") / (F.sqrt("var_i") * F.sqrt("var_j"))) > correlation_threshold
+    kept = varied.join(pairs.where(follows).select(F.col("j").alias("slot")).distinct(), "slot", "left_anti")
+    return sorted(r["slot"] for r in kept.select("slot").collect())
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import OneHotEncoder
@@ -22,7 +21,7 @@ from lagline.operators.cleaning import _replace, _Stage
 from lagline.operators.correlation import (
     columns_correlated_with_earlier,
     correlation_pairs,
-    vector_moments,
+    vector_selection,
 )
 from lagline.session import scratch_path
 
@@ -273,17 +272,6 @@ def select_vector_slots(
 ) -> list[int]:
     """Slots of an assembled vector that vary enough and repeat no earlier slot.
 
-    Variances and correlations come from one scan; the driver sees slots squared
-    numbers, never rows. ``shift`` holds a value near each slot's mean.
+    ``shift`` holds a value near each slot's mean.
     """
-    _, covariance = vector_moments(df, features, shift)
-    variance = np.diag(covariance)
-    varied = [i for i, v in enumerate(variance) if v > variance_threshold]
-    spread = np.sqrt(variance)
-    kept = []
-    for place, j in enumerate(varied):
-        earlier = varied[:place]
-        r = covariance[earlier, j] / (spread[earlier] * spread[j])
-        if not (np.abs(r) > correlation_threshold).any():
-            kept.append(j)
-    return kept
+    return vector_selection(df, features, shift, variance_threshold, correlation_threshold)

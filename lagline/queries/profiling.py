@@ -10,7 +10,7 @@ from lagline.queries import register, rounded
 from lagline.queries.cleaning import DOC_COLUMNS, LIMITS_SQL
 from lagline.queries.sql import CORRELATION_COLUMNS, NULL_SOURCE_SQL, correlation_sql, union_sql
 from lagline.queries.tables import _documents_with_labels
-from lagline.sources.tables import CATEGORIES, LINES_SQL, NUMERIC, order_lines, read_table
+from lagline.sources.tables import CATEGORIES, LINES_SQL, LINE_KEY, NUMERIC, order_lines, read_table
 
 DESCRIBE = """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 7) AS mean, round(stddev_samp({c}), 7) AS std,
   CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 7) AS q25,
@@ -268,6 +268,26 @@ def correlation_with_gaps(spark, sf):
     return rounded(correlation.correlation_pairs(numbers, DOC_NUMBERS).select("left", "right", "r"))
 
 
+WIDE_BASE = ["sales", "quantity", "discount", "unit_price", "order_total", "scheduled_days", "tax"]
+WIDE_COLUMNS = {
+    f"w{i:02}": f"CASE WHEN l_linenumber % {5 + i % 3} <> {i % 4} THEN {WIDE_BASE[i % 7]} * {i + 1} + {WIDE_BASE[(i * 3 + 1) % 7]} END"
+    for i in range(40)
+}
+
+
+@register(
+    "a16_wide",
+    f"""WITH {LINES_SQL}, wide AS (SELECT row_number() OVER () AS rid, {', '.join(f'CAST({e} AS DOUBLE) AS {c}' for c, e in WIDE_COLUMNS.items())} FROM lines),
+    long AS (SELECT rid, name, value FROM wide UNPIVOT (value FOR name IN ({', '.join(WIDE_COLUMNS)})))
+    SELECT a.name AS "left", b.name AS "right", round(corr(a.value, b.value), 6) AS r
+    FROM long a JOIN long b ON a.rid = b.rid AND a.name < b.name GROUP BY a.name, b.name""",
+)
+def wide_correlation(spark, sf):
+    """All pairs of forty columns with gaps, each over the rows where both are present."""
+    lines = order_lines(spark, sf, [*LINE_KEY, *WIDE_BASE]).select(*[F.expr(e).alias(c) for c, e in WIDE_COLUMNS.items()])
+    return rounded(correlation.correlation_pairs(lines, list(WIDE_COLUMNS)).select("left", "right", "r"))
+
+
 @register(
     "a17_target_correlation",
     f"""WITH {LINES_SQL}, {correlation_sql('lines', ['sales', *[x for x in CORRELATION_COLUMNS if x != 'sales']])}

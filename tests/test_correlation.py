@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 
 from lagline.operators import contingency, correlation
 
@@ -21,9 +22,10 @@ def frame(spark):
     return pdf, df
 
 
-@pytest.mark.parametrize("narrow", [12, 0])
-def test_pairs_equal_pandas(frame, monkeypatch, narrow):
-    monkeypatch.setattr(correlation, "NARROW", narrow)
+@pytest.mark.parametrize("block,held", [(128, 64 << 20), (3, 64 << 20), (2, 1)])
+def test_pairs_equal_pandas(frame, monkeypatch, block, held):
+    monkeypatch.setattr(correlation, "BLOCK", block)
+    monkeypatch.setattr(correlation, "HELD_BYTES", held)
     pdf, df = frame
     columns = list(pdf.columns)
     want = pdf.corr()
@@ -54,6 +56,34 @@ def test_pruning_keeps_the_column_closer_to_the_target(spark):
     assert correlation.prune_for_target(df, df.columns, "target", 0.5) == ["far"]
 
 
+def test_pruning_follows_a_chain(spark):
+    """Each column is close to the next; which of them go follows the greedy rule column by column."""
+    rng = np.random.default_rng(9)
+    target = rng.normal(size=600)
+    chain = [target + rng.normal(size=600)]
+    for _ in range(6):
+        chain.append(chain[-1] + 0.6 * rng.normal(size=600))
+    pdf = pd.DataFrame({**{f"x{i}": c for i, c in enumerate(chain)}, "target": target})
+    df = spark.createDataFrame([tuple(map(float, r)) for r in pdf.to_numpy()], ", ".join(f"{c} double" for c in pdf.columns))
+    r, gone = pdf.corr().abs(), set()
+    others = [c for c in pdf.columns if c != "target"]
+    for a in others:
+        for b in others[others.index(a) + 1 :]:
+            if a in gone:
+                break
+            if b not in gone and r.loc[a, b] > 0.5:
+                gone.add(b if r.loc[a, "target"] >= r.loc[b, "target"] else a)
+    assert 2 <= len(gone) < len(others)
+    assert correlation.prune_for_target(df, list(pdf.columns), "target", 0.5) == [c for c in pdf.columns if c in gone]
+
+
+def test_vector_slots(spark, frame):
+    pdf, _ = frame
+    x = pdf[["x0", "copy", "mixed", "same", "x1"]].to_numpy()
+    df = spark.createDataFrame([(Vectors.dense(r),) for r in x.tolist()], ["v"]).repartition(3)
+    assert correlation.vector_selection(df, "v", x.mean(axis=0).tolist(), 0.01, 0.9) == [0, 2, 4]
+
+
 def test_dropped_column_still_drops_later_ones(spark):
     pairs = spark.createDataFrame([("a", "b", 0.99), ("b", "c", 0.98), ("a", "c", 0.5)], "left string, right string, r double")
     got = correlation.columns_correlated_with_earlier(pairs, 0.95).collect()
