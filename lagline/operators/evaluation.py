@@ -289,25 +289,27 @@ def business_from_counts(
     cost_fn: float = fixed.COST_FALSE_NEGATIVE,
     benefit_tp: float = fixed.BENEFIT_TRUE_POSITIVE,
 ) -> DataFrame:
-    priced = counts.select(
-        "model",
-        F.col("fp").alias("false_positives"),
-        F.col("fn").alias("false_negatives"),
-        F.col("tp").alias("true_positives"),
-        F.col("tn").alias("true_negatives"),
-        (F.col("fp") * F.lit(float(cost_fp))).alias("cost_false_positives"),
-        (F.col("fn") * F.lit(float(cost_fn))).alias("cost_false_negatives"),
-        (F.col("tp") * F.lit(float(benefit_tp))).alias("benefit_true_positives"),
-    )
-    cost = F.col("cost_false_positives") + F.col("cost_false_negatives")
-    return priced.withColumns(
-        {
-            "total_cost": cost,
-            "total_benefit": F.col("benefit_true_positives"),
-            "net_business_value": F.col("benefit_true_positives") - cost,
-            "roi": _ratio((F.col("benefit_true_positives") - cost) * 100, cost),
-        }
-    )
+    names = {"fp": "false_positives", "fn": "false_negatives", "tp": "true_positives", "tn": "true_negatives"}
+    return counts.select("model", *[F.col(c).alias(n) for c, n in names.items()], *[e.alias(n) for n, e in money_columns(cost_fp, cost_fn, benefit_tp).items()])
+
+
+def money_columns(
+    cost_fp: float = fixed.COST_FALSE_POSITIVE,
+    cost_fn: float = fixed.COST_FALSE_NEGATIVE,
+    benefit_tp: float = fixed.BENEFIT_TRUE_POSITIVE,
+) -> dict[str, Column]:
+    """Costs, benefit, net value and return from the confusion counts of a row."""
+    of_fp, of_fn, gain = F.col("fp") * F.lit(float(cost_fp)), F.col("fn") * F.lit(float(cost_fn)), F.col("tp") * F.lit(float(benefit_tp))
+    cost = of_fp + of_fn
+    return {
+        "cost_false_positives": of_fp,
+        "cost_false_negatives": of_fn,
+        "benefit_true_positives": gain,
+        "total_cost": cost,
+        "total_benefit": gain,
+        "net_business_value": gain - cost,
+        "roi": _ratio((gain - cost) * 100, cost),
+    }
 
 
 def comparison_table(predictions: DataFrame, digits: int = 4) -> DataFrame:

@@ -12,17 +12,17 @@ projections alone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
 from lagline.functions.columns import nan_to_null, numeric_columns, quoted, string_columns
-from lagline.functions.labels import require_both_classes
 from lagline.functions.ranks import row_hash
 from lagline.functions.quantiles import quantiles
 from lagline.operators.cleaning import (
@@ -87,6 +87,7 @@ class Prepared:
     stages: PipelineModel
     feature_names: list[str]
     label: str
+    checks: Checks | None = None
 
     def train(self) -> DataFrame:
         return self.rows.where(F.col(SPLIT) == TRAIN)
@@ -110,8 +111,9 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     # Rows are distinct now, so their content identifies them. NULLs take part in the key.
     content = [c for c in distinct.columns if c != label]
     keyed = distinct.withColumn(ROW_ID, row_hash([*content, label], config.seed))
-    staged = stage_table(keyed, "distinct-rows")
-    require_both_classes(staged, label)
+    checks = Checks(keyed, label)
+    staged = stage_table(checks.watched, "distinct-rows")
+    checks.require_both_classes()
     split = stratified_split(staged, label, [ROW_ID], config.test_size, config.seed, SPLIT)
 
     fit_rows = split if config.fit_rows == "all" else split.where(F.col(SPLIT) == TRAIN)
@@ -119,7 +121,7 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     kept = dropper.transform(fit_rows)
     numeric = numeric_columns(kept, [label])
     text = string_columns(kept, [ROW_ID, SPLIT])
-    filler, capper = _fit_numbers(kept, numeric, text, config.exact)
+    filler, capper = _fit_numbers(kept, numeric, text, config.exact, checks.nulls())
     filled = filler.transform(kept)
     folder = RareFolder(columns=text, maxCategories=config.max_categories).fit(filled)
 
@@ -148,22 +150,47 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
         PipelineModel([*projections, *after_split.stages]),
         [names[i] for i in slots],
         label,
+        checks,
     )
 
 
+class Checks:
+    """Row, class and missing-value counts taken while the rows are written; no scan of their own."""
+
+    def __init__(self, df: DataFrame, label: str) -> None:
+        self.columns, self.label = df.columns, label
+        self._seen = Observation(f"checks-{uuid.uuid4().hex}")
+        counts = [F.count_if(quoted(c).isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)]
+        classes = [F.count_if(quoted(label) == y).alias(f"class_{y}") for y in (0, 1)]
+        self.watched = df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *classes, *counts)
+
+    def nulls(self) -> dict[str, int]:
+        return {c: self._seen.get[f"null_{i}"] for i, c in enumerate(self.columns)}
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(check, value): rows, rows of either class, missing values of each column."""
+        found = self._seen.get
+        rows = [(k, found[k]) for k in ("rows", "class_0", "class_1")] + [(f"null {c}", n) for c, n in self.nulls().items()]
+        return spark.createDataFrame(rows, "check string, value long")
+
+    def require_both_classes(self) -> None:
+        found = self._seen.get
+        if not found["class_0"] or not found["class_1"]:
+            raise ValueError(f"label {self.label!r} has one class only: {found['class_0']} rows of 0, {found['class_1']} of 1")
+
+
 def _fit_numbers(
-    df: DataFrame, numeric: Sequence[str], text: Sequence[str], exact: bool
+    df: DataFrame, numeric: Sequence[str], text: Sequence[str], exact: bool, nulls: dict[str, int]
 ) -> tuple[GapFillerModel, IqrCapperModel]:
     """Medians, modes and outlier limits; the limits hold for the filled columns.
 
     One search finds the quartiles of all columns. Only columns with gaps are searched
-    again, since filling moves their quartiles.
+    again, since filling moves their quartiles; ``nulls`` counts the gaps, of all rows.
     """
     found = quantiles(df, numeric, [0.25, 0.5, 0.75], exact)
     medians = {c: q[1] for c, q in found.items() if q[1] is not None}
     filler = GapFillerModel(medians, mode_values(df, text))
-    gaps = df.agg(F.count(F.lit(1)), *[F.count_if(quoted(c).isNull()) for c in numeric]).first()[1:]
-    with_gaps = [c for c, n in zip(numeric, gaps) if n and c in medians]
+    with_gaps = [c for c in numeric if nulls[c] and c in medians]
     limits = {c: iqr_reach(found[c][0], found[c][2]) for c in medians}
     again = iqr_limits(filler.transform(df), with_gaps, exact)
     limits |= {c: (b["lower"], b["upper"]) for c, b in again.items()}

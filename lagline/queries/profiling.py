@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lagline.operators import contingency, correlation, profiling
 from lagline.plans.examples import PREDICTIONS_SQL, example_predictions
+from lagline.plans.profile import profile
 from lagline.queries import register, rounded
 from lagline.queries.cleaning import DOC_COLUMNS, LIMITS_SQL
 from lagline.queries.sql import CORRELATION_COLUMNS, NULL_SOURCE_SQL, correlation_sql, union_sql
@@ -333,3 +334,46 @@ def correlation_summary(spark, sf):
 def prediction_distribution(spark, sf):
     predictions = example_predictions(spark, sf).where("model = 'year'")
     return rounded(profiling.class_distribution(predictions, "prediction"))
+
+
+PROFILE_NUMBERS = ["sales", "quantity", "discount", "order_total", "scheduled_days"]
+PROFILE_TEXTS = ["priority", "market", "region", "category"]
+_NUMBER_STATS = {
+    "count": "count({c})", "n_null": "count(*) - count({c})", "mean": "avg({c})", "std": "stddev_samp({c})", "min": "min({c})", "max": "max({c})",
+    "q25": "any_value({c}_1)", "median": "any_value({c}_2)", "q75": "any_value({c}_3)",
+    "lower": "any_value({c}_1 - 1.5 * ({c}_3 - {c}_1))", "upper": "any_value({c}_3 + 1.5 * ({c}_3 - {c}_1))",
+    "n_outside": "count(*) FILTER (NOT {in})", "whisker_low": "min({c}) FILTER ({in})", "whisker_high": "max({c}) FILTER ({in})",
+    "label_correlation": "corr({c}, late)",
+}
+
+
+def _profile_sql() -> str:
+    def inside(c: str) -> str:
+        return f"{c} >= {c}_1 - 1.5 * ({c}_3 - {c}_1) AND {c} <= {c}_3 + 1.5 * ({c}_3 - {c}_1)"
+
+    quartiles = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {p}) AS {c}_{i}" for c in PROFILE_NUMBERS for i, p in ((1, 0.25), (2, 0.5), (3, 0.75)))
+    numbers = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{s}' AS stat, CAST({e.replace('{c}', c).replace('{in}', inside(c))} AS DOUBLE) AS value FROM lines, q"""
+        for c in PROFILE_NUMBERS
+        for s, e in _NUMBER_STATS.items()
+    )
+    texts = " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {s} AS stat, CAST({e} AS DOUBLE) AS value FROM {source}"""
+        for c in PROFILE_TEXTS
+        for s, e, source in (
+            ("'count'", f"count({c})", "lines"), ("'n_null'", f"count(*) - count({c})", "lines"), ("'n_distinct'", f"count(DISTINCT {c})", "lines"),
+            ("'freq'", "max(n)", f"(SELECT count(*) AS n FROM lines GROUP BY {c})"),
+            (f"'n of ' || {c}", "count(*)", f"lines GROUP BY {c} HAVING (SELECT count(DISTINCT {c}) FROM lines) <= 10"),
+        )
+    )
+    return f"""WITH {LINES_SQL}, q AS (SELECT {quartiles} FROM lines), answers AS ({numbers} UNION ALL {texts}
+      UNION ALL SELECT '*', 'n_rows', count(*) FROM lines
+      UNION ALL SELECT '*', 'class_' || late, count(*) FROM lines GROUP BY late)
+    SELECT "column", stat, round(value, 4) AS value FROM answers"""
+
+
+@register("a_profile", _profile_sql())
+def whole_profile(spark, sf):
+    """The exploratory profile of order lines, from one narrow copy of them."""
+    lines = order_lines(spark, sf, [*PROFILE_NUMBERS, *PROFILE_TEXTS, "late"])
+    return rounded(profile(lines, PROFILE_NUMBERS, PROFILE_TEXTS, "late"), 4)

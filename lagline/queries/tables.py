@@ -255,6 +255,36 @@ def report_text(spark, sf):
     return ev_plan.report_lines(example_predictions(spark, sf))
 
 
+REPORT_METRICS = [
+    "train_accuracy", "train_f1_score", "test_accuracy", "test_f1_score", "overfitting_gap", "test_precision", "test_recall",
+    "test_specificity", "test_sensitivity", "test_roc_auc", "test_avg_precision",
+]
+
+
+@register(
+    "s11_consolidated_report",
+    f"""WITH {LINES_SQL}, {PREDICTIONS_SQL}, {COMPARISON_SQL}, {CONFUSION_SQL.replace('FROM predictions', 'FROM test_predictions')}, {BUSINESS_SQL},
+    b AS (SELECT model, round(net_business_value, 2) AS net, round(roi, 2) AS roi, false_positives AS fp, false_negatives AS fn FROM business),
+    long AS ({' UNION ALL '.join(f"SELECT model, '{m}' AS metric, {m} AS value FROM comparison" for m in REPORT_METRICS)}),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value DESC, model) AS place FROM long
+      WHERE value IS NOT NULL AND metric <> 'overfitting_gap') WHERE place = 1),
+    chosen AS (SELECT * FROM b JOIN comparison USING (model) ORDER BY net DESC, model LIMIT 1)
+    SELECT 'technical' AS section, model || ' ' || metric AS item, coalesce(printf('%.4f', value), 'not available') AS line FROM long
+    UNION ALL SELECT 'business', model, printf('net value %.2f, return %.2f%%, %d false alarms, %d missed', net, roi, fp, fn) FROM b
+    UNION ALL SELECT 'best by metric', metric, printf('%s (%.4f)', model, value) FROM best
+    UNION ALL SELECT 'best by money', 'net value', printf('%s (%.2f)', model, net) FROM chosen
+    UNION ALL SELECT 'recommendation', 'model', model FROM chosen
+    UNION ALL SELECT 'recommendation', 'net value', printf('largest net value: %.2f', net) FROM chosen
+    UNION ALL SELECT 'recommendation', 'return', printf('return on cost: %.2f%%', roi) FROM chosen
+    UNION ALL SELECT 'recommendation', 'quality', printf('accuracy %.4f, F1 %.4f', test_accuracy, test_f1_score) FROM chosen
+    UNION ALL SELECT 'recommendation', 'against ' || b.model, printf('%.2f more net value', c.net - b.net) FROM b, chosen c WHERE b.model <> c.model
+    UNION ALL SELECT 'compared', 'models', printf('%d models, %d with probabilities', count(*), count(*) FILTER (has_probabilities)) FROM comparison""",
+)
+def consolidated_report(spark, sf):
+    """All models, their best ones and the recommendation with its reasons, as lines."""
+    return ev_plan.consolidated_report(example_predictions(spark, sf))
+
+
 # --- projections and filters --------------------------------------------------
 
 
