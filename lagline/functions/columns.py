@@ -50,6 +50,13 @@ def require_columns(df: DataFrame, names: Sequence[str]) -> None:
         raise ValueError(f"missing required columns: {missing}")
 
 
+def required_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(column, present, n_values): whether each required column is there, and how many values it has."""
+    counts = {c: F.count(quoted(c)) if c in df.columns else F.lit(0).cast("bigint") for c in names}
+    counted = df.agg(F.count(F.lit(1)), *[e.alias(f"_n_{i}") for i, e in enumerate(counts.values())])
+    return rows_per_column(counted, {c: {"present": F.lit(c in df.columns), "n_values": F.col(f"_n_{i}")} for i, c in enumerate(names)})
+
+
 def split_label(df: DataFrame, label: str, key: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Features and label as two projections of the same rows; keys go with both."""
     require_columns(df, [label, *key])

@@ -12,7 +12,7 @@ from lagline.operators import learning, splitting
 from lagline.operators import neighbours as nn
 from lagline.plans import train as train_plan
 from lagline.plans.examples import LINES_CONFIG, raw_lines
-from lagline.plans.prepare import FEATURES, ROW_ID, SPLIT, prepare
+from lagline.plans.prepare import FEATURES, ROW_ID, SPLIT, prepare, prepare_new
 from lagline.queries import register, rounded
 from lagline.queries.sql import BINARY_EMBEDDINGS_SQL, DISTANCE, folds_sql, knn_vote_sql, split_sql
 from lagline.queries.tables import _binary_embeddings
@@ -134,13 +134,19 @@ POINT_DISTANCE = {
 }
 
 
+def _raw_points(spark, sf, keys=()):
+    raw = order_lines(spark, sf, [*keys, "real_days", "scheduled_days", "order_ts", "market", "segment"])
+    return raw.withColumn("order_ts", F.date_trunc("quarter", "order_ts"))
+
+
+def _fitted_points(spark, sf):
+    return prepare(_raw_points(spark, sf), replace(LINES_CONFIG, drop=["real_days"], drop_geography=[]))
+
+
 def _points(spark, sf):
     """Distinct order points (quarter, scheduled days, market, segment, label) by the whole preparation."""
-    raw = order_lines(spark, sf, ["real_days", "scheduled_days", "order_ts", "market", "segment"])
-    raw = raw.withColumn("order_ts", F.date_trunc("quarter", "order_ts"))
-    done = prepare(raw, replace(LINES_CONFIG, drop=["real_days"], drop_geography=[]))
-    slots = F.transform(vector_to_array(FEATURES), lambda x: F.round(x, 6)).alias("features")
-    return done.rows.select(ROW_ID, SPLIT, F.col("late").alias("label"), slots)
+    slots = F.transform(vector_to_array(FEATURES), lambda x: F.round(x, 6) + F.lit(0.0)).alias("features")
+    return _fitted_points(spark, sf).rows.select(ROW_ID, SPLIT, F.col("late").alias("label"), slots)
 
 
 @register(
@@ -155,6 +161,36 @@ def knn_prepared(spark, sf):
     return rounded(model.transform(rows.where("split = 'test'")))
 
 
+KNN_VOTES_SQL = f"WITH {POINTS_SQL}, {knn_vote_sql('manhattan', 15, 'distance').replace(DISTANCE['manhattan'], POINT_DISTANCE['manhattan'])}"
+
+
+def _scored_points(spark, sf):
+    rows = _points(spark, sf)
+    model = nn.KnnClassifier(rows.where("split = 'train'"), 15, "distance", "manhattan")
+    return learning.score_knn(model, rows.where("split = 'test'"), "knn", "label", [ROW_ID])
+
+
+@register(
+    "l7_knn_predictions",
+    f"{KNN_VOTES_SQL} SELECT label, CAST(prediction AS INT) AS prediction, count(*) AS n FROM votes JOIN test_rows USING (row_id) GROUP BY ALL",
+)
+def knn_predictions(spark, sf):
+    """Hard predictions of the neighbour model beside the true classes."""
+    return _scored_points(spark, sf).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "l8_knn_probabilities",
+    f"""{KNN_VOTES_SQL} SELECT CAST(prediction AS INT) AS prediction, count(*) AS n, round(min(probability), 6) AS lowest,
+      round(avg(probability), 6) AS mean, round(max(probability), 6) AS highest FROM votes GROUP BY prediction""",
+)
+def knn_probabilities(spark, sf):
+    """Positive-class probabilities of the neighbour model by predicted class."""
+    p = F.col("probability")
+    stats = [F.count(p).alias("n"), F.min(p).alias("lowest"), F.avg(p).alias("mean"), F.max(p).alias("highest")]
+    return rounded(_scored_points(spark, sf).groupBy("prediction").agg(*stats))
+
+
 # --- class weights and folds --------------------------------------------------
 
 
@@ -316,6 +352,61 @@ def one_round(spark, sf):
     return rounded(model.tree_table(train, names))
 
 
+IMPORTANCES_SQL = f"""WITH tree AS ({_one_round_sql(3)}), means AS (SELECT feature, avg(gain) AS gain FROM tree WHERE feature IS NOT NULL GROUP BY feature),
+    names AS (SELECT unnest([{', '.join(f"'{n}'" for n in [*POINT_NUMBERS, *[f'{c}_{v}' for c, v in POINT_FLAGS]])}]) AS feature)
+    SELECT feature, round(coalesce(gain / (SELECT sum(gain) FROM means), 0), 4) AS importance FROM names LEFT JOIN means USING (feature)"""
+
+
+def _one_round_importances(spark, sf):
+    train = _points(spark, sf).where("split = 'train'")
+    params = {"n_estimators": 1, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 1.0}
+    model = learning.boosted(params, FEATURES, "label", keys=[ROW_ID]).fit(train)
+    return learning.importance_table(model, [*POINT_NUMBERS, *[f"{c}_{v}" for c, v in POINT_FLAGS]], train)
+
+
+@register("l10_one_round_importances", IMPORTANCES_SQL)
+def one_round_importances(spark, sf):
+    """Mean gains of the first tree's features, as shares."""
+    return rounded(_one_round_importances(spark, sf), 4)
+
+
+@register("s8_importances_saved", IMPORTANCES_SQL)
+def importances_saved(spark, sf):
+    """The importance table written as text and read again."""
+    table, path = _one_round_importances(spark, sf), scratch_path(spark, "importances")
+    write_csv(table, path)
+    return rounded(spark.read.option("header", True).schema(table.schema).csv(path), 4)
+
+
+@register("f10_prepared_points", f"WITH {POINTS_SQL} SELECT row_id, split, label, [{', '.join(POINT_SLOTS)}]::VARCHAR AS features FROM slots")
+def prepared_points(spark, sf):
+    """Every slot of the whole preparation of distinct order points."""
+    return _points(spark, sf).select(ROW_ID, SPLIT, "label", _shown("features"))
+
+
+NEW_LINES_SQL = f"""WITH {POINTS_SQL}, new_parts AS (
+      SELECT *, year(quarter_ts) AS order_year, month(quarter_ts) AS order_month, isodow(quarter_ts) - 1 AS order_weekday FROM moved),
+    new_capped AS (SELECT {', '.join(LINE_KEY)}, market, segment, {', '.join(_capped_sql(c) for c in POINT_NUMBERS)} FROM new_parts, reach),
+    new_slots AS (SELECT {', '.join(LINE_KEY)}, {', '.join(f'round(({c} - {c}_m) / {c}_s, 6) AS {c}' for c in POINT_NUMBERS)},
+      {', '.join(f"CAST({c} = '{v}' AS DOUBLE) AS {c}_{v[:4]}" for c, v in POINT_FLAGS)} FROM new_capped, scale)
+    SELECT {', '.join(LINE_KEY)}, [{', '.join(POINT_SLOTS)}]::VARCHAR AS features FROM new_slots"""
+
+
+def _shown(features: str):
+    """Numbers of a vector as text, in the form that the SQL gives them."""
+    return F.concat(F.lit("["), F.array_join(F.transform(features, lambda x: x.cast("string")), ", "), F.lit("]")).alias("features")
+
+
+@register("f9_new_points_prepared", NEW_LINES_SQL)
+def new_points_prepared(spark, sf):
+    """All order lines without their outcome, prepared by the stages fitted on distinct points."""
+    stages = _fitted_points(spark, sf).stages
+    unseen = _raw_points(spark, sf, LINE_KEY).drop("real_days")
+    vectors = prepare_new(unseen, stages, LINE_KEY)
+    vectors = vectors.withColumn("features", F.transform(vector_to_array("features"), lambda x: F.round(x, 6) + F.lit(0.0)))
+    return vectors.select(*LINE_KEY, _shown("features"))
+
+
 @register("l6_boosted_search")
 def boosted_search(spark, sf):
     """Cross-validated F1 of every point of the boosting grid, all rounds."""

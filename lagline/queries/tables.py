@@ -35,7 +35,7 @@ from lagline.queries.sql import (
     metrics_columns_sql,
     split_sql,
 )
-from lagline.session import scratch_path
+from lagline.session import scratch_path, stage_table
 from lagline.sources import delimited, prepared
 from lagline.sources.tables import LINE_KEY, LINES_SQL, order_lines, read_table
 
@@ -343,6 +343,19 @@ def required_columns(spark, sf):
     return labelled.groupBy("late").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register(
+    "p6_required_values",
+    """WITH o AS (SELECT * FROM orders LEFT JOIN (SELECT doc_id AS o_orderkey, quality FROM labels) USING (o_orderkey))
+    SELECT 'o_orderkey' AS "column", true AS present, count(o_orderkey) AS n_values FROM o
+    UNION ALL SELECT 'quality', true, count(quality) FROM o UNION ALL SELECT 'real_days', false, CAST(0 AS BIGINT)""",
+)
+def required_values(spark, sf):
+    """The check on required columns as a table: one there, one with gaps, one missing."""
+    quality = read_table(spark, sf, "labels").select(F.col("doc_id").alias("o_orderkey"), "quality")
+    orders = read_table(spark, sf, "orders").join(quality, "o_orderkey", "left")
+    return c.required_values(orders, ["o_orderkey", "quality", "real_days"])
+
+
 @register(
     "p7_both_classes",
     f"WITH {LINES_SQL} SELECT min(late) AS min_label, max(late) AS max_label, min(late) < max(late) AS both_classes FROM lines",
@@ -390,6 +403,14 @@ def split_label(spark, sf):
     return label
 
 
+@register("p10_split_features", "SELECT event_id, user_id, value, props FROM events")
+def split_features(spark, sf):
+    """The other half: all columns but the label."""
+    events = read_table(spark, sf, "events").drop("ts")
+    features, _ = c.split_label(events, "event_type", ["event_id"])
+    return features
+
+
 TOP_BRANDS = """
 top AS (SELECT p_brand FROM part GROUP BY p_brand ORDER BY count(*) DESC, p_brand LIMIT 15)"""
 
@@ -505,6 +526,20 @@ def best_and_smallest_gap(spark, sf):
     return evaluation.smallest_gap(evaluation.comparison_table(example_predictions(spark, sf)))
 
 
+@register(
+    "t5_argmax_and_argmin",
+    f"""WITH {LINES_SQL}, {PREDICTIONS_SQL}, {COMPARISON_SQL}
+    SELECT * FROM (SELECT 'largest test_accuracy' AS what, model, test_accuracy AS value FROM comparison ORDER BY value DESC, model LIMIT 1)
+    UNION ALL SELECT * FROM (SELECT 'smallest overfitting_gap', model, overfitting_gap FROM comparison ORDER BY abs(overfitting_gap), model LIMIT 1)""",
+)
+def argmax_and_argmin(spark, sf):
+    """The model with the best accuracy and the one with the gap closest to 0."""
+    table = stage_table(evaluation.comparison_table(example_predictions(spark, sf)), "comparison")
+    best = evaluation.best_by_metric(table).where("metric = 'test_accuracy'")
+    gap = evaluation.smallest_gap(table).select(F.lit("smallest overfitting_gap").alias("what"), "model", F.col("overfitting_gap").alias("value"))
+    return best.select(F.lit("largest test_accuracy").alias("what"), "model", "value").unionAll(gap)
+
+
 @register(
     "t6_sort_by_key",
     f"WITH {LINES_SQL} SELECT late AS value, count(*) AS n FROM lines GROUP BY late ORDER BY late",
