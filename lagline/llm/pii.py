@@ -219,12 +219,14 @@ def find(text: str | None) -> list[tuple[str, int, int, bool]]:
     found = [(*s, True) for s in plain]
     if any(_READ[c] != c for c in set(text)) or _WRITTEN.search(text):  # else nothing is rewritten
         rewritten, starts, ends = transduced(text)
-        taken = [(s, e) for _, s, e in plain]
+        taken = bytearray(len(text))  # a mark for each character of a find
+        for _, s, e in plain:
+            taken[s:e] = b"\x01" * (e - s)
         for kind, s, e in plain_spans(rewritten):
             a, b = starts[s], ends[e - 1]
-            if text[a:b] != rewritten[s:e] and not any(a < y and x < b for x, y in taken):
+            if text[a:b] != rewritten[s:e] and taken.find(1, a, b) < 0:
                 found.append((kind, a, b, False))
-                taken.append((a, b))
+                taken[a:b] = b"\x01" * (b - a)
     return sorted(found, key=lambda f: (KINDS.index(f[0]), f[1]))
 
 
