@@ -47,6 +47,22 @@ def leaves(text: str, leaf: int = LEAF) -> list[tuple[int, int]]:
     return [*out, (at, len(text))]
 
 
+def _summed(chars: list[int], tokens: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Heaps of sums over the given leaves."""
+    size = 1 << max(0, len(chars) - 1).bit_length()
+    out = []
+    for leaf_values in (chars, tokens):
+        values = np.zeros(2 * size, np.int64)
+        values[size : size + len(leaf_values)] = leaf_values
+        width = size
+        while width > 1:
+            half = width // 2
+            values[half:width] = values[width : 2 * width : 2] + values[width + 1 : 2 * width : 2]
+            width = half
+        out.append(values)
+    return out[0], out[1]
+
+
 class TokenTree:
     """Sums of characters and tokens in heap order: node k has children 2k and 2k + 1."""
 
@@ -57,17 +73,12 @@ class TokenTree:
     @classmethod
     def of(cls, text: str, encode) -> TokenTree:
         cut = leaves(text)
-        size = 1 << (len(cut) - 1).bit_length()
-        chars, tokens = np.zeros(2 * size, np.int64), np.zeros(2 * size, np.int64)
-        chars[size : size + len(cut)] = [e - s for s, e in cut]
-        tokens[size : size + len(cut)] = [len(encode(text[s:e])) for s, e in cut]
-        for values in (chars, tokens):
-            width = size
-            while width > 1:
-                half = width // 2
-                values[half:width] = values[width : 2 * width : 2] + values[width + 1 : 2 * width : 2]
-                width = half
-        return cls(chars, tokens)
+        return cls(*_summed([e - s for s, e in cut], [len(encode(text[s:e])) for s, e in cut]))
+
+    def parts(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of the leaves from one node up to another that hold any."""
+        chars, tokens = self.chars[first:last], self.tokens[first:last]
+        return chars[chars > 0], tokens[chars > 0]
 
     def leaf_at(self, place: int) -> tuple[int, int]:
         """The leaf that holds a character, and where the leaf starts; the last one for the end."""
@@ -100,9 +111,15 @@ class TokenTree:
             last, last_start = self.leaf_at(right)
             right = last_start + int(self.chars[last])
         stretch = text[left:start] + edit[2] + text[end:right]
-        self.put(first, len(stretch), len(encode(stretch)))
-        for node in range(first + 1, last + 1):
-            self.put(node, 0, 0)
+        cut = leaves(stretch)
+        chars, tokens = [e - s for s, e in cut], [len(encode(stretch[s:e])) for s, e in cut]
+        if len(cut) <= last - first + 1:
+            for i, node in enumerate(range(first, last + 1)):
+                self.put(node, *((chars[i], tokens[i]) if i < len(cut) else (0, 0)))
+        else:  # no room for the new leaves: the sums are built anew, nothing else is encoded again
+            before, after = self.parts(self.size, first), self.parts(last + 1, 2 * self.size)
+            self.chars, self.tokens = _summed(*[np.concatenate([x, new, y]) for x, new, y in zip(before, (chars, tokens), after)])
+            self.size = len(self.chars) // 2
         return text[:left] + stretch + text[right:], len(stretch)
 
 
