@@ -167,11 +167,11 @@ def warc_archive(spark, sf):
     archive = warc.write_archive(pages, scratch_path(spark, "warc"))
     id_type = pages.schema["page_id"].dataType
     return warc.read_archive(spark, archive).select(
-        warc.field("Page").cast(id_type).alias("page_id"),
+        warc.page_field("Page", id_type).alias("page_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha1("payload").alias("payload_digest"),
         warc.field("WARC-Type").alias("record_type"),
-        warc.field("Refers-To-Page").cast(id_type).alias("refers_to"),
+        warc.page_field("Refers-To-Page", id_type).alias("refers_to"),
     )
 
 

@@ -8,7 +8,8 @@ the one with the largest page id is the response and the others are revisits of
 Defined cases: a null html is an empty payload; a null url gives an empty target; line breaks and
 other control characters of a url are percent-encoded; every row is a record, repeated ones too,
 and of rows with the largest page id any one is the response; a null page id is smaller than all
-others and is left out of the header.
+others and is left out of the header, an empty one is kept; control characters of an id are
+percent-encoded, and come back.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lagline.llm.staging import staged
 
@@ -24,6 +26,7 @@ REVISIT_BYTES = 1000
 DATE = "1970-01-01T00:00:00Z"  # pages carry no capture time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n"
+CONTROLS = (*range(0x00, 0x21), 0x7F)
 
 
 @dataclass(frozen=True)
@@ -47,11 +50,28 @@ def _record_id(row: Column, digest: Column) -> Column:
 
 def _safe(url: Column) -> Column:
     url = F.coalesce(url, F.lit(""))
-    for code in (*range(0x00, 0x21), 0x7F):
+    for code in CONTROLS:
         url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
     return url
 
 
+def _coded(page_id: Column) -> Column:
+    """An id as one header value: percent signs and control characters are percent-encoded."""
+    page_id = page_id.cast("string")
+    for code in (ord("%"), *CONTROLS):
+        page_id = F.replace(page_id, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return page_id
+
+
+def page_field(name: str, id_type: T.DataType) -> Column:
+    """A header field that holds a page id, as the id it was."""
+    found = field(name)
+    if isinstance(id_type, T.StringType):
+        for code in (*CONTROLS, ord("%")):
+            found = F.replace(found, F.lit(f"%{code:02X}"), F.lit(chr(code)))
+    return found.cast(id_type)
+
+
 def _header(is_revisit: Column) -> Column:
     """The exact bytes before the payload: WARC fields, then the HTTP head."""
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.col("bytes").cast("string"), F.lit(END * 2))
@@ -65,8 +85,8 @@ def _header(is_revisit: Column) -> Column:
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(is_revisit, _line("WARC-Profile", F.lit(PROFILE))).otherwise(""),
         F.when(is_revisit, _line("WARC-Refers-To", _record_id(F.col("last.row"), F.col("digest")))).otherwise(""),
-        F.when(is_revisit, _line("Refers-To-Page", F.col("last.page_id"))).otherwise(""),
-        _line("Page", F.col("page_id")),
+        F.when(is_revisit, _line("Refers-To-Page", _coded(F.col("last.page_id")))).otherwise(""),
+        _line("Page", _coded(F.col("page_id"))),
         _line("Content-Type", F.lit("application/http; msgtype=response")),
         _line("Content-Length", block),
         F.lit(END),
@@ -104,8 +124,9 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
 
 def field(name: str) -> Column:
     """A field of the record's header, null if absent."""
-    found = F.regexp_extract(F.decode("header", "utf-8"), rf"\r\n{name}: ([^\r]*)\r\n", 1)
-    return F.when(found != "", found)
+    header = F.decode("header", "utf-8")
+    there = F.instr(header, f"{END}{name}: ") > 0
+    return F.when(there, F.regexp_extract(header, rf"\r\n{name}: ([^\r]*)\r\n", 1))
 
 
 def records(spark: SparkSession, archive: Archive) -> DataFrame:
