@@ -220,11 +220,14 @@ def united(spans: list[dict], n: int) -> list[tuple[int, int]]:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: removed byte ranges and the remaining bytes of every document.
 
-    Texts without repeats aren't shuffled, but for the filter's few mistakes.
+    Rows equal in id and text come out once, with repeats or without. Texts of other rows without
+    repeats aren't shuffled, but for the filter's few mistakes.
     """
     found = staged(repeated(docs), "repeat-spans")
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", F.xxhash64("text")).alias("row_key"))
-    rows = rows.withColumn("may", bitfilter.passes(found, "row_key", F.col("row_key")))
+    again = rows.select("row_key").groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key")
+    looked_at = staged(found.select("row_key").union(again), "repeat-keys")
+    rows = rows.withColumn("may", bitfilter.passes(looked_at, "row_key", F.col("row_key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -246,6 +249,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     spans = "array<struct<start:long,end:long>>"
-    met = rows.where("may").dropDuplicates(["row_key"]).join(found, "row_key", "left").select("doc_id", "text", "spans")
+    met = rows.where("may").join(found, "row_key", "left").dropDuplicates(["row_key", "doc_id", "text"]).select("doc_id", "text", "spans")
     rest = rows.where("NOT may").select("doc_id", "text", F.lit(None).cast(spans).alias("spans"))
     return met.union(rest).mapInArrow(run, f"doc_id {id_type}, n_bytes long, spans {spans}, kept binary")
