@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagline.llm.staging import fresh
 from lagline.llm.text import ALNUM_WORD, words
 from lagline.session import stage_table
 
@@ -100,7 +101,8 @@ def hits_by_document(
     of the items that occur. A document's hits are bounded by its own words.
     """
     grams = stage_table(windows(items, size), "benchmark-windows")
-    held = grams.agg(F.coalesce(F.sum(2 * F.octet_length("gram") + 64), F.lit(0)).alias("b")).first()["b"]
+    listed = F.aggregate("items", F.lit(0).cast("long"), lambda n, item: n + F.octet_length(item) + 24)
+    held = grams.agg(F.coalesce(F.sum(2 * F.octet_length("gram") + 64 + listed), F.lit(0)).alias("b")).first()["b"]
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), words(F.col(text_col), ALNUM_WORD).alias("found"))
     texts = texts.select("doc_id", "text_key", F.size("found").alias("n_words"), F.concat(F.array(F.lit("")), F.col("found")).alias("w"))
     hits = _scan(texts, grams) if held <= broadcast_bytes else _join(texts, grams)
@@ -143,8 +145,9 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW, **columns) ->
 def remove_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW, most_share: float = 0.0) -> DataFrame:
     """Documents whose share of hit words is at most ``most_share``, with all their columns."""
     bad = report(docs, items, size).where(F.col("n_hit") > most_share * F.col("n_words"))
-    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
-    same = docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs["text"]) == F.col("bad_key"))
+    bad_id, bad_key = fresh(docs, "bad_id"), fresh(docs, "bad_key")
+    bad = bad.select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key))
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.xxhash64("text") == F.col(bad_key))
     return docs.join(bad, same, "left_anti")
 
 

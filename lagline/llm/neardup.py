@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagline.llm.components import components
-from lagline.llm.staging import shuffle_partitions, staged
+from lagline.llm.staging import fresh, shuffle_partitions, staged
 
 KEPT = 48  # retained values that are indexed
 SHARED = 22  # retained values that two sets of similarity 0.8 share: six deviations below the mean
@@ -311,6 +311,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def remove_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns."""
-    kept = near_duplicates(docs, size, percent).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
-    same = docs["doc_id"].eqNullSafe(F.col("kept_id")) & (F.xxhash64(docs["text"]) == F.col("kept_key"))
+    kept_id, kept_key = fresh(docs, "kept_id"), fresh(docs, "kept_key")
+    kept = near_duplicates(docs, size, percent).where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_key))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.xxhash64("text") == F.col(kept_key))
     return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
