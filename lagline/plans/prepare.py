@@ -12,13 +12,12 @@ projections alone.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
@@ -35,6 +34,7 @@ from lagline.operators.cleaning import (
     iqr_reach,
     mode_values,
 )
+from lagline.operators.correlation import prune_for_target
 from lagline.operators.features import (
     DateParts,
     LateLabeler,
@@ -71,6 +71,8 @@ class PrepareConfig:
     max_categories: int = fixed.MAX_CATEGORIES
     variance_threshold: float = fixed.VARIANCE_THRESHOLD
     correlation_threshold: float = fixed.CORRELATION_THRESHOLD
+    # Of numeric columns that correlate more than this, only the one closer to the label stays.
+    prune_threshold: float | None = None
     test_size: float = fixed.TEST_SIZE
     seed: int = fixed.SEED
     exact: bool = True
@@ -111,8 +113,8 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     # Rows are distinct now, so their content identifies them. NULLs take part in the key.
     content = [c for c in distinct.columns if c != label]
     keyed = distinct.withColumn(ROW_ID, row_hash([*content, label], config.seed))
-    checks = Checks(keyed, label)
-    staged = stage_table(checks.watched, "distinct-rows")
+    staged = stage_table(keyed, "distinct-rows")
+    checks = Checks(staged, label)
     checks.require_both_classes()
     split = stratified_split(staged, label, [ROW_ID], config.test_size, config.seed, SPLIT)
 
@@ -126,6 +128,9 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
     folder = RareFolder(columns=text, maxCategories=config.max_categories).fit(filled)
 
     folded = folder.transform(capper.transform(filled))
+    if config.prune_threshold is not None:
+        pruned = prune_for_target(folded, [*numeric, label], label, config.prune_threshold)
+        numeric = [c for c in numeric if c not in pruned]
     hot, hot_columns = fit_one_hot(folded, text)
     hot_names = [n for stage in hot for n in stage.slot_names()]  # folding left few
     names = [*numeric, *hot_names]
@@ -155,28 +160,30 @@ def prepare(raw: DataFrame, config: PrepareConfig = PrepareConfig()) -> Prepared
 
 
 class Checks:
-    """Row, class and missing-value counts taken while the rows are written; no scan of their own."""
+    """Row, class and missing-value counts of the written rows, all from one scan.
+
+    Spark's observed metrics would save that scan, too, but in 4.1.2 a session that has used them
+    can no longer send a freshly fitted logistic model to its tasks.
+    """
 
     def __init__(self, df: DataFrame, label: str) -> None:
         self.columns, self.label = df.columns, label
-        self._seen = Observation(f"checks-{uuid.uuid4().hex}")
         counts = [F.count_if(quoted(c).isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)]
         classes = [F.count_if(quoted(label) == y).alias(f"class_{y}") for y in (0, 1)]
-        self.watched = df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *classes, *counts)
+        self.found = df.agg(F.count(F.lit(1)).alias("rows"), *classes, *counts).first().asDict()
 
     def nulls(self) -> dict[str, int]:
-        return {c: self._seen.get[f"null_{i}"] for i, c in enumerate(self.columns)}
+        return {c: self.found[f"null_{i}"] for i, c in enumerate(self.columns)}
 
     def table(self, spark: SparkSession) -> DataFrame:
         """(check, value): rows, rows of either class, missing values of each column."""
-        found = self._seen.get
-        rows = [(k, found[k]) for k in ("rows", "class_0", "class_1")] + [(f"null {c}", n) for c, n in self.nulls().items()]
+        rows = [(k, self.found[k]) for k in ("rows", "class_0", "class_1")] + [(f"null {c}", n) for c, n in self.nulls().items()]
         return spark.createDataFrame(rows, "check string, value long")
 
     def require_both_classes(self) -> None:
-        found = self._seen.get
-        if not found["class_0"] or not found["class_1"]:
-            raise ValueError(f"label {self.label!r} has one class only: {found['class_0']} rows of 0, {found['class_1']} of 1")
+        n_0, n_1 = self.found["class_0"], self.found["class_1"]
+        if not n_0 or not n_1:
+            raise ValueError(f"label {self.label!r} has one class only: {n_0} rows of 0, {n_1} of 1")
 
 
 def _fit_numbers(

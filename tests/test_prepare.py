@@ -1,9 +1,12 @@
 """The whole preparation against a plain pandas computation, and its life after saving."""
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
@@ -171,3 +174,32 @@ def test_class_weights_balance(spark):
 def test_grid_order():
     points = learning.grid_points({"b": [1, 2], "a": ["x", "y"]})
     assert points == [{"a": "x", "b": 1}, {"a": "x", "b": 2}, {"a": "y", "b": 1}, {"a": "y", "b": 2}]
+
+
+def test_pruned_preparation(spark, sf):
+    """Columns that another one speaks for are left out of the features, and new rows still fit."""
+    raw = raw_lines(spark, sf).withColumn("sales_twice", F.col("sales") * 2 + F.col("quantity"))
+    whole, pruned = (prepare(raw, replace(LINES_CONFIG, prune_threshold=t, correlation_threshold=1.1)) for t in (None, 0.5))
+    gone = set(whole.feature_names) - set(pruned.feature_names)
+    assert gone & {"sales", "sales_twice"} and not {"sales", "sales_twice"} <= gone
+    assert "scheduled_days" in pruned.feature_names
+    assert len(pruned.rows.first()["features"]) == len(pruned.feature_names)
+    assert prepare_new(raw.drop("real_days").limit(3), pruned.stages, LINE_KEY).count() == 3
+
+
+def test_class_weights_of_each_fold(spark):
+    """The logistic search weighs a fold's training rows by their own classes."""
+    rng = np.random.default_rng(2)
+    rows = [(i, Vectors.dense(rng.normal(size=2) + (i % 5 == 0)), int(i % 5 == 0)) for i in range(300)]
+    df = spark.createDataFrame(rows, ["row_id", "features", "y"])
+    grid = {"C": [0.1, 10.0], "penalty": ["l2"], "max_iter": [50]}
+    found = learning.search_logistic(df, "y", ["row_id"], grid=grid)
+    folded = learning.stratified_folds(df, "y", ["row_id"], 3)
+    for point, score in found.scores:
+        own = []
+        for f in range(3):
+            train = learning.add_class_weight(folded.where(F.col("fold") != f), "y")
+            model = learning.logistic(point, train.count(), "features", "y").fit(train)
+            own.append(learning.positive_f1("y").evaluate(model.transform(folded.where(F.col("fold") == f))))
+        assert abs(score - sum(own) / 3) < 1e-9
+    assert found.best_score == max(s for _, s in found.scores)

@@ -1,4 +1,4 @@
-"""The profile plan, the observed checks and the consolidated report."""
+"""The profile plan, the checks and the consolidated report."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,7 +40,7 @@ def test_profile_of_nothing(spark):
     assert profile(table(spark), [], [], None).count() == 1
 
 
-def test_checks_come_with_the_written_rows(spark, sf):
+def test_checks_of_the_written_rows(spark, sf):
     raw = raw_lines(spark, sf).withColumn("tax", F.when(F.col("l_linenumber") != 2, F.col("tax")))
     done = prepare(raw, LINES_CONFIG)
     found = {r["check"]: r["value"] for r in done.checks.table(spark).collect()}
