@@ -1,11 +1,12 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
 Documents with the same shingle set are one node. Every node retains the ``KEPT`` smallest hashes
-of its shingles; the inverted lists of retained values generate the overlaps. Two sets of
-similarity 0.8 share at least ``SHARED`` retained values but for odds of about 1e-7, and all they
-need if the sketch is the whole set. So, with a node's values ordered from rare to common, such
-two nodes meet in the lists of their first ``KEPT - SHARED + 1`` values, and a passage that
-many documents share stands last and is in nobody's lists.
+of its shingles; the inverted lists of retained values generate the overlaps. Two sets at the threshold
+share at least ``shared_values`` retained values (22 at 0.8) but for odds of ``MISSED``, and all
+they need if the sketch is the whole set. So, with a node's values ordered from rare to common, such
+two nodes meet in the lists of their first ``KEPT`` less that number and one values, and a passage
+that many documents share stands last and is in nobody's lists. The union-sketch filter loses a
+pair at exactly the threshold with odds of about 1e-6 (five deviations), whole sets never.
 
 Long lists are never multiplied out. A list's most connected node is its pivot, and a pivot's
 canopy holds the nodes of all its lists, each once. A canopy is compared in blocks of bounded
@@ -21,6 +22,7 @@ document; a null id is larger than all others.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from lagline.llm.components import components
 from lagline.llm.staging import fresh, shuffle_partitions, staged
 
 KEPT = 48  # retained values that are indexed
-SHARED = 22  # retained values that two sets of similarity 0.8 share: six deviations below the mean
+MISSED = 1e-7  # odds at which two sets at the threshold may share fewer retained values than the lists rely on
 SKETCH = 256  # values of the sketches that are compared
 BLOCK = 512  # nodes on a side of a block
 SLACK = 5.0  # deviations below the threshold that a union sketch may show
@@ -45,6 +47,17 @@ _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 _hashes: dict[bytes, int] = {}
 
 
+def shared_values(percent: int) -> int:
+    """The largest number that two sets of this similarity share of their retained values, but for odds of ``MISSED``.
+
+    Each of the smallest ``KEPT`` values of the union is in both sets with the similarity as its odds.
+    """
+    p, below, m = percent / 100, 0.0, 0
+    while m < KEPT and (below := below + math.comb(KEPT, m) * p**m * (1 - p) ** (KEPT - m)) <= MISSED:
+        m += 1
+    return max(m, 1)
+
+
 def _word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_hashes) > CACHED_WORDS:
         _hashes.clear()
@@ -257,7 +270,7 @@ def _lists(nodes: DataFrame, percent: int) -> DataFrame:
     postings = nodes.select("node", F.size("kept").alias("m"), F.explode("kept").alias("value"))
     often = postings.groupBy("value").agg(F.count("*").alias("freq")).where("freq > 1")
     whole = F.ceil(F.col("m") * percent / 100).cast("int")
-    first = F.col("m") - F.least(F.lit(SHARED), whole) + 1
+    first = F.col("m") - F.least(F.lit(shared_values(percent)), whole) + 1
     shared = postings.join(often, "value").groupBy("node", "m").agg(F.sort_array(F.collect_list(F.struct("freq", "value"))).alias("values"))
     room = first - (F.col("m") - F.size("values"))  # values held by nobody else are the rarest
     weight = F.aggregate("values", F.lit(0).cast("long"), lambda s, v: s + v["freq"])

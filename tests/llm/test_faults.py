@@ -163,3 +163,39 @@ def test_size_check_counts_item_lists(spark, size):
     found = {r["doc_id"]: r for r in decontamination.report(docs, items, broadcast_bytes=size).collect()} if size else None
     other = {r["doc_id"]: r["n_items"] for r in decontamination.report(docs, items, broadcast_bytes=5_000).collect()}
     assert other == {1: 300, 2: 0} and (found is None or {d: r["n_items"] for d, r in found.items()} == other)
+
+
+@pytest.mark.parametrize("percent,shared", [(80, 22), (50, 7), (30, 1), (100, 48)])
+def test_shared_values_follow_the_threshold(percent, shared):
+    assert neardup.shared_values(percent) == shared
+
+
+@pytest.mark.parametrize("percent", [30, 50, 80])
+def test_links_at_other_thresholds(spark, percent):
+    """Components equal those of all pairs, low thresholds and sets larger than the sketches too."""
+    import random
+
+    rng = random.Random(percent)
+    base = [f"w{i}" for i in range(160)]
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for i in rng.sample(range(160), rng.randint(0, 60)):
+            words[i] = f"x{rng.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    component = list(range(len(texts)))
+
+    def root(i):
+        while component[i] != i:
+            i = component[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = root(i), root(j)
+                component[max(a, b)] = min(a, b)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, 3, percent).collect()}
+    assert found == {i: root(i) for i in range(len(texts))}
