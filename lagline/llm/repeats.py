@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagline.llm import bitfilter
-from lagline.llm.staging import staged
+from lagline.llm.staging import released
 
 LENGTH = 200
 GRAM = 40
@@ -178,7 +178,7 @@ def _undecided(names: DataFrame) -> DataFrame:
     undecided = F.col("only") & F.col("lo.alone")
     mixed = names.groupBy("sample").agg(F.count("*").alias("n"), F.bool_or(undecided).alias("some")).where("n > 1 AND some").select("sample")
     wanted = names.join(mixed, "sample").select("lo.row_key", F.struct("lo.first", "lo.more", "lo.at", undecided.alias("alone")).alias("w"))
-    return staged(wanted.groupBy("row_key").agg(F.collect_list("w").alias("wanted")), "repeat-wanted")
+    return released(wanted.groupBy("row_key").agg(F.collect_list("w").alias("wanted")), "repeat-wanted")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
@@ -186,21 +186,21 @@ def repeated(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("row_key"), "text")
     covered = [F.col("first").alias("start"), (F.col("first") + F.col("more") + LENGTH).alias("end")]
 
-    blocks = staged(texts.mapInArrow(_blocks, "row_key long, sample long, name long, first long, more int, at long"), "repeat-blocks")
-    names = staged(_by_name(blocks.withColumn("alone", F.lit(True))), "repeat-names")
+    blocks = released(texts.mapInArrow(_blocks, "row_key long, sample long, name long, first long, more int, at long"), "repeat-blocks")
+    names = released(_by_name(blocks.withColumn("alone", F.lit(True))), "repeat-names")
     whole = blocks.select("name", "row_key", "first", "more").join(names.where("NOT only").select("name").distinct(), "name")
     found = whole.select("row_key", *covered)
 
     wanted = _undecided(names)
-    near = staged(texts.where(bitfilter.passes(wanted, "row_key", F.col("row_key"))).dropDuplicates(["row_key"]).join(wanted, "row_key"), "repeat-texts")
-    pieces = staged(near.mapInArrow(lambda b: _refined(b, False), _REFINED), "repeat-pieces")
-    names = staged(_by_name(pieces), "repeat-names")
+    near = released(texts.where(bitfilter.passes(wanted, "row_key", F.col("row_key"))).dropDuplicates(["row_key"]).join(wanted, "row_key"), "repeat-texts")
+    pieces = released(near.mapInArrow(lambda b: _refined(b, False), _REFINED), "repeat-pieces")
+    names = released(_by_name(pieces), "repeat-names")
     same = pieces.where("alone").join(names.where("NOT only").select("sample", "name"), ["sample", "name"])
     found = found.union(same.select("row_key", *covered))
 
     wanted = _undecided(names)
     strings = near.drop("wanted").join(wanted, "row_key").mapInArrow(lambda b: _refined(b, True), _REFINED)
-    strings = staged(strings.select("row_key", "name", "first", "more", "alone"), "repeat-strings")
+    strings = released(strings.select("row_key", "name", "first", "more", "alone"), "repeat-strings")
     spot = F.struct("row_key", "first")
     twice = strings.groupBy("name").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi")).where("lo <> hi").select("name")
     found = found.union(strings.where("alone").join(twice, "name").select("row_key", *covered))
@@ -223,10 +223,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Rows equal in id and text come out once, with repeats or without. Texts of other rows without
     repeats aren't shuffled, but for the filter's few mistakes.
     """
-    found = staged(repeated(docs), "repeat-spans")
+    found = released(repeated(docs), "repeat-spans")
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", F.xxhash64("text")).alias("row_key"))
     again = rows.select("row_key").groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key")
-    looked_at = staged(found.select("row_key").union(again), "repeat-keys")
+    looked_at = released(found.select("row_key").union(again), "repeat-keys")
     rows = rows.withColumn("may", bitfilter.passes(looked_at, "row_key", F.col("row_key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

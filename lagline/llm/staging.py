@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 
 from lagline.session import scratch_path
@@ -14,6 +16,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(df: DataFrame, name: str) -> DataFrame:
+    """``staged``, after which the shuffle files that led to the table are given up at once.
+
+    Spark deletes the files of a shuffle when the driver's garbage collector finds it unused, which
+    may take half an hour; a chain of large steps would pile them up until then.
+    """
+    out = staged(df, name)
+    del df
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
+    return out
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
