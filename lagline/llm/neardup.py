@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagline.llm.components import components
-from lagline.llm.staging import fresh, shuffle_partitions, staged
+from lagline.llm.staging import fresh, released, shuffle_partitions
 
 KEPT = 48  # retained values that are indexed
 MISSED = 1e-7  # odds at which two sets at the threshold may share fewer retained values than the lists rely on
@@ -126,7 +126,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
     texts = docs.select("text", F.xxhash64("doc_id", F.xxhash64("text")).alias("row_key")).withColumn("slot", _filter_slot("row_key"))
     made = texts.mapInArrow(run, "row_key long, shingles binary")
-    return staged(made.join(nodes, "row_key").groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "near-sets")
+    return released(made.join(nodes, "row_key").groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "near-sets")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -287,30 +287,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     schema = f"doc_id {id_type}, text_key long, n long, digest binary, kept array<long>"
-    made = staged(texts.mapInArrow(_sketched(size), schema), "near-sketches")
+    made = released(texts.mapInArrow(_sketched(size), schema), "near-sketches")
     least = F.min(F.struct(F.isnull("doc_id"), "doc_id", F.xxhash64("doc_id", "text_key").alias("row_key")))
     grouped = made.where("n > 0").groupBy("digest").agg(least.alias("l"), F.first("n").alias("n"), F.first("kept").alias("kept"))
     grouped = grouped.select("digest", "n", "kept", F.col("l.doc_id").alias("least_id"), "l.row_key")
-    nodes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    nodes = released(grouped.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
 
-    lists = staged(_lists(nodes, percent), "near-lists")
+    lists = released(_lists(nodes, percent), "near-lists")
     pivots = lists.groupBy("value").agg(F.max(F.struct("weight", "node"))["node"].alias("pivot"), F.count("*").alias("c")).where("c > 1")
-    canopy = staged(lists.join(pivots, "value").select("pivot", "node").distinct(), "near-canopies")
+    canopy = released(lists.join(pivots, "value").select("pivot", "node").distinct(), "near-canopies")
     active = canopy.select("node").distinct()
     sets = _sets_of(docs, nodes.join(active, "node").select("node", "n", "row_key"), size)
 
     alone = active.withColumn("component", F.col("node"))
-    first = staged(_links(canopy, sets, alone, percent, sparse=True), "near-links")
+    first = released(_links(canopy, sets, alone, percent, sparse=True), "near-links")
     tried = first.select("a", "b").where("NOT certain").distinct()
-    edges = staged(first.where("certain").select("a", "b").union(_confirmed(tried, sets, percent)).distinct(), "near-edges")
-    found = staged(components(edges), "near-components")
+    edges = released(first.where("certain").select("a", "b").union(_confirmed(tried, sets, percent)).distinct(), "near-edges")
+    found = released(components(edges), "near-components")
 
     labels = active.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    second = staged(_links(canopy, sets, labels, percent, sparse=False), "near-links")
+    second = released(_links(canopy, sets, labels, percent, sparse=False), "near-links")
     untried = second.where("NOT certain").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = staged(second.where("certain").select("a", "b").union(_confirmed(untried, sets, percent)), "near-edges")
+    more = released(second.where("certain").select("a", "b").union(_confirmed(untried, sets, percent)), "near-edges")
     if not more.isEmpty():
-        found = staged(components(edges.union(more)), "near-components")
+        found = released(components(edges.union(more)), "near-components")
 
     of_node = nodes.select("node", "digest", "least_id").join(found, "node", "left")
     of_node = of_node.withColumn("component", F.coalesce("component", "node"))
