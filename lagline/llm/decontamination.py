@@ -103,7 +103,7 @@ def hits_by_document(
     grams = stage_table(windows(items, size), "benchmark-windows")
     listed = F.aggregate("items", F.lit(0).cast("long"), lambda n, item: n + F.octet_length(item) + 24)
     held = grams.agg(F.coalesce(F.sum(2 * F.octet_length("gram") + 64 + listed), F.lit(0)).alias("b")).first()["b"]
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), words(F.col(text_col), ALNUM_WORD).alias("found"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), words(F.col(text_col)).alias("found"))
     texts = texts.select("doc_id", "text_key", F.size("found").alias("n_words"), F.concat(F.array(F.lit("")), F.col("found")).alias("w"))
     hits = _scan(texts, grams) if held <= broadcast_bytes else _join(texts, grams)
     return (
