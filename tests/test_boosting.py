@@ -128,3 +128,33 @@ def test_search_keeps_the_better_point(spark):
     found = learning.search_boosted(frame(spark, x, y).drop("fold"), "label", ["row_id"], grid=grid)
     assert found.best_score == max(s for _, s in found.scores) > 0.6
     assert len(found.model.trees()) == 2
+
+
+def test_features_that_never_meet_share_a_column():
+    rng = np.random.default_rng(5)
+    n, sizes = 500, [9, 3, 3, 3, 256, 1]
+    hot = rng.integers(0, 4, n)
+    bins = np.stack([rng.integers(0, 9, n), hot == 1, hot == 2, 2 * (hot == 3), rng.integers(0, 256, n), np.zeros(n)]).astype(np.uint8)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    rows = [{"bins": bins.tobytes()}]
+    (together,) = boosting._together(iter(rows), len(bins))
+    shared = boosting.Shared.of(together > 0, sizes)
+    assert len(set(shared.column[1:4])) == 1 and len(shared.offsets) - 1 < len(sizes)
+    codes, w, node = shared.codes(bins), rng.integers(0, 1000, n).astype(float), rng.integers(0, 2, n)
+    sums = np.zeros((1, 2, shared.offsets[-1]))
+    for c in range(len(codes)):
+        np.add.at(sums[0], (node, shared.offsets[c] + codes[c]), w)
+    got = shared.by_bin(sums, np.arange(len(sizes)), offsets)[0]
+    for f in range(len(sizes)):
+        plain = np.zeros((2, sizes[f]))
+        np.add.at(plain, (node, bins[f]), w)
+        assert (got[:, offsets[f] : offsets[f + 1]] == plain).all()
+
+
+def test_siblings_follow_from_their_parent():
+    rng = np.random.default_rng(6)
+    left, right = rng.integers(0, 99, (2, 2, 3, 7)).astype(float)
+    lighter = np.array([True, False, True])
+    summed = np.where(lighter[None, :, None], left, right)
+    got = boosting._with_siblings(summed, left + right, lighter)
+    assert (got[:, 0::2] == left).all() and (got[:, 1::2] == right).all()
