@@ -203,3 +203,19 @@ def test_class_weights_of_each_fold(spark):
             own.append(learning.positive_f1("y").evaluate(model.transform(folded.where(F.col("fold") == f))))
         assert abs(score - sum(own) / 3) < 1e-9
     assert found.best_score == max(s for _, s in found.scores)
+
+
+def test_search_fits_once_what_ended_before_its_last_step(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3))
+    y = (x[:, 0] + rng.normal(scale=0.7, size=300) > 0).astype(int)
+    df = spark.createDataFrame([(i, Vectors.dense(v), int(c)) for i, (v, c) in enumerate(zip(x, y))], ["row_id", "features", "y"])
+    fits = []
+    fit = learning.LogisticRegression.fit
+    monkeypatch.setattr(learning.LogisticRegression, "fit", lambda self, data, params=None: fits.append(params) or fit(self, data, params))
+    grid = {"C": [0.1, 10.0], "penalty": ["l2"], "max_iter": [1, 200, 500]}
+    found = learning.search_logistic(df, "y", ["row_id"], grid=grid)
+    assert len(found.scores) == 6
+    assert len(fits) == 2 * 3 * 2 + 1  # one step isn't enough, 200 are; the last fit is of the best point
+    by_point = {(p["C"], p["max_iter"]): s for p, s in found.scores}
+    assert all(by_point[c, 200] == by_point[c, 500] for c in (0.1, 10.0))
