@@ -23,6 +23,7 @@ labels don't count; every row gives a row, repeated ones too.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -145,6 +146,57 @@ def _expected(chain: Chain, plain, n: int, at: list[int], levels: list[int]) ->
     return emit, move
 
 
+class _Batch:
+    """Distinct sequences side by side, those with most evidence first; step k is their k-th run or place."""
+
+    def __init__(self, counted: dict[tuple, int]) -> None:
+        ordered = sorted(counted.items(), key=lambda item: -len(item[0][1]))
+        self.times = np.array([times for _, times in ordered], float)
+        runs = [_pieces(n, list(at)) for (n, at, _, _), _ in ordered]
+        levels = [found for (_, _, found, _), _ in ordered]
+        self.steps: list[tuple[np.ndarray, bool]] = []  # run lengths or levels of the first sequences, and which of the two
+        for k in range(max(map(len, runs), default=0)):
+            self.steps.append((np.array([r[k] for r in itertools.takewhile(lambda r: len(r) > k, runs)], np.int64), True))
+            if some := [v[k] for v in itertools.takewhile(lambda v: len(v) > k, levels)]:
+                self.steps.append((np.array(some, np.int64), False))
+
+    def expected(self, chain: Chain) -> tuple[np.ndarray, np.ndarray]:
+        """``_expected`` of all sequences, summed up."""
+        emit, move = np.zeros_like(chain.emit), np.zeros((2, 2))
+        roots, vectors, inverse = chain.plain()
+        ratio = roots[1] / roots[0]
+        by_level = np.stack([chain.step(level) for level in range(len(chain.emit))])
+        dominant, fading = np.outer(vectors[:, 0], inverse[0]), np.outer(vectors[:, 1], inverse[1])
+        maps, ahead = [], []
+        v = np.full((len(self.times), 2), 0.5)
+        for values, is_run in self.steps:
+            m = dominant + (ratio**values)[:, None, None] * fading if is_run else by_level[values]
+            ahead.append(v[: len(m)].copy())
+            v[: len(m)] = np.einsum("si,sij->sj", v[: len(m)], m)
+            v[: len(m)] /= v[: len(m)].sum(axis=1, keepdims=True)
+            maps.append(m)
+        b = np.ones((len(self.times), 2))
+        for (values, is_run), m, a in zip(self.steps[::-1], maps[::-1], ahead[::-1]):
+            after = b[: len(m)]
+            through = np.einsum("sij,sj->si", m, after)
+            share = self.times[: len(m)] / (a * through).sum(axis=1)
+            if is_run:
+                # Sum over a run's steps of (roots before the step) x (roots after it).
+                cross = (1 - ratio**values) / (1 - ratio) if ratio != 1 else values.astype(float)
+                last = values * ratio ** np.maximum(values - 1, 0)
+                left, right = (a @ vectors) * share[:, None], after @ inverse.T
+                sums = np.array([[left[:, 0] * right[:, 0] @ values, left[:, 0] * right[:, 1] @ cross], [left[:, 1] * right[:, 0] @ cross, left[:, 1] * right[:, 1] @ last]])
+                pair = inverse.T @ (sums / roots[0]) @ vectors.T * by_level[0]
+                move += pair
+                emit[0] += pair.sum(axis=0)
+            else:
+                pairs = a[:, :, None] * m * after[:, None, :] * share[:, None, None]
+                move += pairs.sum(axis=0)
+                np.add.at(emit, values, pairs.sum(axis=1))
+            b[: len(m)] = through / through.sum(axis=1, keepdims=True)
+        return emit, move
+
+
 def _observed(n: int, at: list[int], levels: list[int], toxic: bool, shape) -> tuple[np.ndarray, np.ndarray]:
     """Counts of the labelled tagging; the first token's move counts from either state equally."""
     emit, move = np.zeros(shape), np.zeros((2, 2))
@@ -162,13 +214,14 @@ def _observed(n: int, at: list[int], levels: list[int], toxic: bool, shape) -> t
 
 
 def fit_chain(sequences: list[tuple[int, list[int], list[int], bool]], steps: int = STEPS) -> Chain:
-    """Fit by gradient steps on the conditional likelihood; equal sequences are computed once."""
+    """Fit by ``steps`` gradient steps on the conditional likelihood; equal sequences are computed once, all at a time."""
     counted: dict[tuple, int] = {}
     for n, at, levels, toxic in sequences:
         # Plain texts differ in length alone; rounding it to two digits keeps few distinct ones.
         size = n if at else int(float(f"{n:.1e}"))
         key = (size, tuple(at), tuple(levels), toxic and bool(at))
         counted[key] = counted.get(key, 0) + 1
+    batch = _Batch(counted)
     shape = (LEVELS + 1, 2)
     seen_emit, seen_move = np.zeros(shape), np.zeros((2, 2))
     for (n, at, levels, toxic), times in counted.items():
@@ -180,14 +233,8 @@ def fit_chain(sequences: list[tuple[int, list[int], list[int], bool]], steps: in
     move = np.log((seen_move + 1) / (seen_move + 1).sum(axis=1, keepdims=True))
     chain = Chain(emit, move)
     scale_e, scale_m = seen_emit.sum(axis=1, keepdims=True) + 10, seen_move.sum(axis=1, keepdims=True) + 10
-    budget = max(2, min(steps, 40_000 // max(1, len(counted))))
-    for _ in range(budget):
-        plain = chain.plain()
-        hoped_emit, hoped_move = np.zeros(shape), np.zeros((2, 2))
-        for (n, at, levels, _), times in counted.items():
-            e, m = _expected(chain, plain, n, list(at), list(levels))
-            hoped_emit += times * e
-            hoped_move += times * m
+    for _ in range(steps):
+        hoped_emit, hoped_move = batch.expected(chain)
         chain = Chain(chain.emit + (seen_emit - hoped_emit) / scale_e, chain.move + (seen_move - hoped_move) / scale_m)
     return chain
 

@@ -451,3 +451,24 @@ def test_stages_keep_columns_and_clean_documents(spark, sf):
             assert out.columns == docs.columns
             docs = spark.createDataFrame(out.collect(), docs.schema)
     assert docs.count() > 100
+
+
+def test_chain_takes_all_steps_whatever_the_number_of_sequences(monkeypatch):
+    rng = np.random.default_rng(2)
+    sequences = []
+    for _ in range(3000):
+        n = int(rng.integers(1, 60))
+        at = sorted(rng.choice(n, int(rng.integers(0, min(n, 6) + 1)), replace=False).tolist())
+        sequences.append((n, at, [int(v) for v in rng.integers(1, toxicity.LEVELS + 1, len(at))], bool(rng.integers(0, 2))))
+    chain = toxicity.Chain(rng.normal(size=(toxicity.LEVELS + 1, 2)), rng.normal(size=(2, 2)))
+    counted = {(n, tuple(at), tuple(levels), toxic): 1 + i % 3 for i, (n, at, levels, toxic) in enumerate(sequences[:300])}
+    emit, move = toxicity._Batch(counted).expected(chain)
+    one_by_one = [(times, toxicity._expected(chain, chain.plain(), n, list(at), list(levels))) for (n, at, levels, _), times in counted.items()]
+    assert np.allclose(emit, sum(times * e for times, (e, _) in one_by_one))
+    assert np.allclose(move, sum(times * m for times, (_, m) in one_by_one))
+    steps = []
+    expected = toxicity._Batch.expected
+    monkeypatch.setattr(toxicity._Batch, "expected", lambda self, chain: steps.append(1) or expected(self, chain))
+    toxicity.fit_chain(sequences)
+    assert len(steps) == toxicity.STEPS
+    assert np.isfinite(toxicity.fit_chain([]).emit).all()
