@@ -1,7 +1,7 @@
 """Scores of texts by an n-gram language model in the form of a weighted backoff automaton.
 
-The states are the n-grams of the training texts: every word, and every longer n-gram that occurs
-at least ``MIN_COUNT`` times, so the model grows with the corpus. States are keyed by 64-bit hashes
+The states are all n-grams of the training texts (those longer than a word that occur at least
+``MIN_COUNT`` times, which is once), so the model grows with the corpus. States are keyed by 64-bit hashes
 and stay in a distributed table; no task, nor the driver, holds the model.
 
 Counting goes by order; a task sends each distinct n-gram of a stretch of text once. An n-gram can
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lagline.llm.staging import shuffle_partitions, staged
 
 ORDER = 3
-MIN_COUNT = 8
+MIN_COUNT = 1  # every n-gram of the training texts is a state; more is a smaller model
 DISCOUNT = 0.75
 CHUNK_BYTES = 32 << 20
 STRETCH = 3_000_000  # tokens whose n-grams a task counts before it sends them

@@ -472,3 +472,16 @@ def test_chain_takes_all_steps_whatever_the_number_of_sequences(monkeypatch):
     toxicity.fit_chain(sequences)
     assert len(steps) == toxicity.STEPS
     assert np.isfinite(toxicity.fit_chain([]).emit).all()
+
+
+def test_every_ngram_of_training_texts_is_a_state(spark, monkeypatch):
+    texts = {i: f"word{i} follows word{i + 1} once only" for i in range(40)}
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = lm.score(df).collect()
+    p, *_ = _plain_model([lm.tokens(texts[r["doc_id"]]) for r in got if not r["held_out"]], 3)
+    for r in got:
+        words = lm.tokens(texts[r["doc_id"]])
+        assert np.isclose(r["score"], sum(np.log10(p(tuple(words[max(0, i - 2) : i]), w)) for i, w in enumerate(words)))
+    monkeypatch.setattr(lm, "MIN_COUNT", 8)
+    fewer = {r["doc_id"]: r["score"] for r in lm.score(df).collect()}
+    assert all(r["score"] > fewer[r["doc_id"]] for r in got if not r["held_out"])
