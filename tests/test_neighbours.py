@@ -145,3 +145,36 @@ def test_search_equals_fitting_every_point(spark):
             assert abs(scores[k, weights, fold] - f1) < 1e-12
     found = learning.search_knn(t, "label", ["row_id"], grid=grid, folds=2)
     assert found.best_score == max(s for _, s in found.scores)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-41, 1e20, 1e300])
+def test_single_precision_keeps_every_neighbour(scale):
+    rng = np.random.default_rng(8)
+    b = (1000 + rng.integers(0, 50, (300, 7)) * 1e-4) * scale
+    a = (1000 + rng.integers(0, 50, (40, 7)) * 1e-4) * scale
+    rough, error = nn._rough_manhattan(a, b)
+    exact = nn.distances(a, b, "manhattan")
+    assert rough.dtype == (np.float32 if scale < 1e30 else np.float64)
+    assert (np.abs(rough - exact) <= error).all()
+    i, j, d = nn._closest(a, b, 5, "manhattan", None)
+    want = [np.lexsort((np.arange(len(b)), row))[:5] for row in exact]
+    assert (j.reshape(-1, 5) == want).all() and (d == exact[i, j]).all()
+
+
+def test_a_task_has_one_block(spark, monkeypatch):
+    seen = nn._block_kernel
+    monkeypatch.setattr(nn, "_block_kernel", lambda *given: _with_sizes(seen(*given)))
+    train, labels, queries = data(4)
+    t, q = frames(spark, train, labels, queries)
+    found = nn.nearest_neighbours(t, q, 3, "manhattan", block_rows=50).collect()
+    want, _ = brute_force(train, queries, 3, "manhattan")
+    assert len(found) == 3 * len(queries)
+    assert all(want[r["query"], r["rank"] - 1] == r["neighbour"] for r in found)
+
+
+def _with_sizes(kernel):
+    def run(t, q):
+        assert t.num_rows <= 100 and q.num_rows <= 100  # several blocks of 50 points would be more
+        return kernel(t, q)
+
+    return run
