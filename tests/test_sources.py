@@ -2,7 +2,9 @@ import csv
 
 import pytest
 
-from lagline.sources import delimited, records
+from lagline.queries import load_all
+from lagline.queries import tables as query_tables
+from lagline.sources import delimited, records, tables
 from lagline.sources.prepared import read_prepared
 
 TEXT = " id ;name;größe\n1;Zoë;2,5\n2;Ana;3,5\n"
@@ -109,3 +111,23 @@ def test_quoted_text_is_read_by_lines(spark, tmp_path):
     path.write_text('a,b\n1,"x\ny"\n')
     plan = delimited.read_delimited(spark, str(path), "a int, b string")._jdf.queryExecution().toString()
     assert "multiLine" not in plan
+
+
+def test_staged_lines_are_joined_once(spark, sf, capsys):
+    columns = [*tables.LINE_KEY, "sales", "market", "late"]
+    lines = tables.staged_lines(spark, sf, columns)
+    lines.explain()
+    assert "Join" not in capsys.readouterr().out
+    assert sorted(lines.collect()) == sorted(tables.order_lines(spark, sf, columns).collect())
+
+
+@pytest.mark.parametrize("query", ["s1_quoted_text", "s1_late_bytes"])
+def test_no_task_writes_all_quoted_text(spark, tmp_path, small_splits, monkeypatch, query):
+    rows = [(i, f"s{i % 3}", f'line {i}\nand "more" of it\r\n' + "x" * (i % 700)) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(12).write.parquet(f"{tmp_path}/documents.parquet")
+    written = []
+    path = query_tables.scratch_path
+    monkeypatch.setattr(query_tables, "scratch_path", lambda *given: written.append(path(*given)) or written[-1])
+    got = load_all()[query].run(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == rows
+    assert spark.read.format("binaryFile").load(written[0]).count() > 1
