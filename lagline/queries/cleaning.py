@@ -37,7 +37,7 @@ def distinct_texts(spark, sf):
 )
 def wide_rows(spark, sf):
     """Whole order lines, those with line number 7 twice: only these are shuffled whole."""
-    lines = order_lines(spark, sf, ALL_COLUMNS)
+    lines = staged_lines(spark, sf, ALL_COLUMNS)
     return cleaning.drop_duplicate_rows(lines.unionAll(lines.where("l_linenumber = 7")))
 
 
@@ -144,7 +144,7 @@ LIMITS_SQL = f"limits AS ({union_sql(NUMERIC, LIMITS_TEMPLATE)})"
     round(lower, 6) AS lower, round(upper, 6) AS upper FROM limits""",
 )
 def iqr_limits(spark, sf):
-    return rounded(cleaning.iqr_table(order_lines(spark, sf, NUMERIC), NUMERIC))
+    return rounded(cleaning.iqr_table(staged_lines(spark, sf, NUMERIC), NUMERIC))
 
 
 OUTLIERS_TEMPLATE = """SELECT '{c}' AS "column", count(*) FILTER ({c} < lower OR {c} > upper) AS n_outliers,
@@ -155,7 +155,7 @@ OUTLIERS_TEMPLATE = """SELECT '{c}' AS "column", count(*) FILTER ({c} < lower OR
 
 @register("c9_outlier_summary", f"WITH {LINES_SQL}, {LIMITS_SQL} {union_sql(NUMERIC, OUTLIERS_TEMPLATE)}")
 def outlier_summary(spark, sf):
-    return rounded(cleaning.outlier_summary(order_lines(spark, sf, NUMERIC), NUMERIC))
+    return rounded(cleaning.outlier_summary(staged_lines(spark, sf, NUMERIC), NUMERIC))
 
 
 @register(

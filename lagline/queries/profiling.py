@@ -22,7 +22,7 @@ DESCRIBE = """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 7)
 @register("a1_describe_numeric", f"WITH {LINES_SQL} {union_sql(NUMERIC, DESCRIBE)}")
 def describe_numeric(spark, sf):
     # 7 digits: means of cents over 60,000 rows often end in 5 at the 7th
-    return rounded(profiling.describe_numeric(order_lines(spark, sf, NUMERIC), NUMERIC), 7)
+    return rounded(profiling.describe_numeric(staged_lines(spark, sf, NUMERIC), NUMERIC), 7)
 
 
 TEXT = ["lang", "source", "grade"]
@@ -133,7 +133,7 @@ HISTOGRAM = """SELECT '{c}' AS "column", CAST(b AS INT) AS bin, round(low + b *
 
 @register("a10_histogram", f"WITH {LINES_SQL} {union_sql(BINNED, HISTOGRAM)}")
 def histogram(spark, sf):
-    return rounded(profiling.histogram(order_lines(spark, sf, BINNED), BINNED))
+    return rounded(profiling.histogram(staged_lines(spark, sf, BINNED), BINNED))
 
 
 BOX = """SELECT '{c}' AS "column", round(any_value(q1), 6) AS q1, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median,
@@ -145,7 +145,7 @@ BOX = """SELECT '{c}' AS "column", round(any_value(q1), 6) AS q1, round(quantile
 
 @register("a11_box_summary", f"WITH {LINES_SQL}, {LIMITS_SQL} {union_sql(NUMERIC, BOX)}")
 def box_summary(spark, sf):
-    return rounded(profiling.box_summary(order_lines(spark, sf, NUMERIC), NUMERIC))
+    return rounded(profiling.box_summary(staged_lines(spark, sf, NUMERIC), NUMERIC))
 
 
 # --- contingency --------------------------------------------------------------
@@ -238,7 +238,7 @@ PAIRS_SQL = correlation_sql("lines", CORRELATION_COLUMNS)
 
 
 def _pairs(spark, sf):
-    return correlation.correlation_pairs(order_lines(spark, sf, CORRELATION_COLUMNS), CORRELATION_COLUMNS)
+    return correlation.correlation_pairs(staged_lines(spark, sf, CORRELATION_COLUMNS), CORRELATION_COLUMNS)
 
 
 @register(
@@ -248,7 +248,7 @@ def _pairs(spark, sf):
     UNION ALL {union_sql(CORRELATION_COLUMNS, "SELECT '{c}', '{c}', 1.0")}""",
 )
 def correlation_matrix(spark, sf):
-    lines = order_lines(spark, sf, CORRELATION_COLUMNS)
+    lines = staged_lines(spark, sf, CORRELATION_COLUMNS)
     return rounded(correlation.correlation_matrix(lines, CORRELATION_COLUMNS))
 
 
@@ -295,7 +295,7 @@ def wide_correlation(spark, sf):
     SELECT "right" AS "column", round(r, 6) AS r FROM pairs WHERE i = 0""",
 )
 def target_correlation(spark, sf):
-    lines = order_lines(spark, sf, CORRELATION_COLUMNS)
+    lines = staged_lines(spark, sf, CORRELATION_COLUMNS)
     return rounded(correlation.target_correlations(lines, CORRELATION_COLUMNS, "sales"))
 
 
