@@ -10,7 +10,7 @@ from lagline.plans.examples import PREDICTIONS_SQL, example_predictions
 from lagline.queries import register, rounded
 from lagline.queries.sql import COMPARISON_SQL, NULL_SOURCE_SQL, split_sql, union_sql
 from lagline.queries.tables import _documents_with_labels
-from lagline.sources.tables import ALL_COLUMNS, LINES_SQL, NUMERIC, order_lines, read_table
+from lagline.sources.tables import ALL_COLUMNS, LINES_SQL, NUMERIC, read_table, staged_lines
 
 DOC_COLUMNS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic", "grade"]
 EVENT_ROWS_SQL = "event_rows AS (SELECT event_type, CAST(floor(value) AS BIGINT) AS amount, user_id FROM events)"

@@ -11,7 +11,7 @@ from lagline.queries import register, rounded
 from lagline.queries.cleaning import DOC_COLUMNS, LIMITS_SQL
 from lagline.queries.sql import CORRELATION_COLUMNS, NULL_SOURCE_SQL, correlation_sql, union_sql
 from lagline.queries.tables import _documents_with_labels
-from lagline.sources.tables import CATEGORIES, LINES_SQL, LINE_KEY, NUMERIC, order_lines, read_table
+from lagline.sources.tables import CATEGORIES, LINES_SQL, LINE_KEY, NUMERIC, order_lines, read_table, staged_lines
 
 DESCRIBE = """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 7) AS mean, round(stddev_samp({c}), 7) AS std,
   CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 7) AS q25,
