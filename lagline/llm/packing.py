@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagline.llm.batches import by_size
 from lagline.llm.staging import shuffle_partitions, staged
 from lagline.llm.tokens import word_encoder
 
@@ -28,6 +29,7 @@ SEQUENCE = 4096
 END_ID = 2
 DIMENSIONS = 3
 BITS = 16
+SLICE_BYTES = 1 << 20  # of texts that are cut into words together
 SPREAD = 4.0  # how far means of signs are stretched before they are squashed to the curve's range
 
 
@@ -68,6 +70,13 @@ def hilbert_index(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return index
 
 
+def sign_sums(table: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the ids' signs, a row for each document; ``table`` has a row of all ids' signs per dimension."""
+    ends = np.cumsum(counts)
+    running = (np.append(0, np.cumsum(row[ids], dtype=np.int64)) for row in table)
+    return np.stack([r[ends] - r[ends - counts] for r in running], axis=1)
+
+
 def curve_keys(sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Hilbert keys of documents from the sums of their ids' sign rows."""
     mean = sums / np.maximum(counts, 1)[:, None]
@@ -80,22 +89,20 @@ def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         narrow = np.uint16 if encoder.vocabulary <= 1 << 16 and end_id < 1 << 16 else np.uint32
-        table = signs(np.arange(encoder.vocabulary))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [encoder(t or "") for t in part.column(1).to_pylist()]
-                sums = np.array([table[x].sum(axis=0) for x in ids])
-                counts = np.fromiter(map(len, ids), np.int64, len(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(counts + 1, pa.int64()),
-                        pa.array(curve_keys(sums, counts), pa.int64()),
-                        pa.array([np.append(x, end_id).astype(narrow).tobytes() for x in ids], pa.binary()),
-                    ],
-                    names=["doc_id", "n_ids", "curve", "ids"],
-                )
+        table = signs(np.arange(encoder.vocabulary)).astype(np.int8).T.copy()
+        for part in by_size(batches, size=SLICE_BYTES):
+            ids = encoder.many([t or "" for t in part.column("text").to_pylist()])
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            sums = sign_sums(table, np.concatenate(ids), counts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    pa.array(counts + 1, pa.int64()),
+                    pa.array(curve_keys(sums, counts), pa.int64()),
+                    pa.array([np.append(x, end_id).astype(narrow).tobytes() for x in ids], pa.binary()),
+                ],
+                names=["doc_id", "n_ids", "curve", "ids"],
+            )
 
     return run
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 
@@ -12,8 +13,8 @@ import numpy as np
 PLAIN_TEXT = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-ſ]*\\Z")
 # The file's word pattern, spelled out for this range.
 PLAIN_WORD = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d"
-    "|[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ]+"
+    "[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ]+"  # first, as most words are; no other begins with a letter
+    "|'s|'t|'re|'ve|'m|'ll|'d"
     "|[0-9\xb2\xb3\xb9\xbc-\xbe]"
     "|[^\\sA-Za-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xc0-\xd6\xd8-\xf6\xf8-ſ]+"
 )
@@ -32,8 +33,16 @@ def _printable(word: str) -> str:
     return word.encode().decode("latin-1").translate(_PRINTABLE)
 
 
+class _Codes(dict):
+    """A number for each word, from 0 on in the order in which they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = len(self)
+        return code
+
+
 class WordEncoder:
-    """Ids of texts; keeps the ids of up to ``CACHED_WORDS`` distinct words and then starts anew."""
+    """Ids of texts; keeps the ids of distinct words and starts anew once there are ``CACHED_WORDS``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -45,49 +54,57 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = _Codes()
         self.pool = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
         self.used = 0
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.code) + len(new) > max(CACHED_WORDS, len(new)):
-            self._clear()
+        """Ids of the words whose codes are the last ones."""
+        first = len(self.code) - len(new)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             encoded = [[t.id for t in self.merges.tokenize(w if w.isascii() else _printable(w))] for w in part]
-            flat = np.concatenate([np.asarray(x, np.uint32) for x in encoded]) if encoded else np.empty(0, np.uint32)
-            first, last = len(self.code), len(self.code) + len(part)
+            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
+            last = first + len(part)
             while last > len(self.starts):
                 self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
             while self.used + len(flat) > len(self.pool):
                 self.pool = np.resize(self.pool, 2 * len(self.pool))
-            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
             self.lengths[first:last] = sizes
             self.starts[first:last] = self.used + np.cumsum(sizes) - sizes
             self.pool[self.used : self.used + len(flat)] = flat
             self.used += len(flat)
-            self.code.update(zip(part, range(first, last)))
-
-    def _of_words(self, words: list[str]) -> np.ndarray:
-        missing = set(words).difference(self.code)
-        if missing:
-            if len(self.code) + len(missing) > CACHED_WORDS:
-                self._clear()
-                missing = set(words)
-            self._learn(sorted(missing))
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+            first = last
+
+    def _of_words(self, words: list[list[str]]) -> list[np.ndarray]:
+        """Ids of each list of words."""
+        if len(self.code) > CACHED_WORDS:
+            self._clear()
+        known = len(self.code)
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+        if len(self.code) > known:
+            self._learn(list(islice(self.code, known, None)))
         sizes = self.lengths[codes]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return self.pool[at]
+        ends = np.append(0, np.cumsum(sizes))
+        at = np.repeat(self.starts[codes] - ends[:-1], sizes) + np.arange(ends[-1])
+        return np.split(self.pool[at], ends[np.cumsum(counts)[:-1]])
 
-    def __call__(self, text: str) -> np.ndarray:
-        if PLAIN_TEXT.match(text) and DOTTED_I not in text:
-            return self._of_words(PLAIN_WORD.findall(text.lower()))
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; they are cut into words together, so they should be few or short."""
+        plain = [bool(PLAIN_TEXT.match(t)) and DOTTED_I not in t for t in texts]
+        found = iter(self._of_words([PLAIN_WORD.findall(t.lower()) for t, p in zip(texts, plain) if p]) if any(plain) else ())
+        return [next(found) if p else self._by_library(t) for t, p in zip(texts, plain)]
+
+    def _by_library(self, text: str) -> np.ndarray:
         return np.asarray(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def __call__(self, text: str) -> np.ndarray:
+        return self.many([text])[0]
+
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:

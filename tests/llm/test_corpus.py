@@ -116,6 +116,23 @@ def test_pieces_make_up_every_text(docs, empty):
     assert packing.pack(empty, WORD_FILE).count() == 0
 
 
+def test_words_of_several_texts_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 5)
+    encoder = tokens.WordEncoder(WORD_FILE)
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: learned.append(new) or learn(new))
+    texts = ["The cat's hat, the cat", "", "don't 12½ Ünï", "İ stays whole", "the hat", "  \t", "日本 text", "cat"]
+    for _ in range(3):  # the third time there are more words than are kept
+        got = encoder.many(texts)
+        assert [g.tolist() for g in got] == [encoder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [len(set(new)) == len(new) for new in learned] == [True] * 3
+    assert encoder.many([]) == [] and encoder.many([""])[0].tolist() == []
+    table = packing.signs(np.arange(encoder.vocabulary))
+    sums = packing.sign_sums(table.astype(np.int8).T, np.concatenate(got), np.array([len(g) for g in got]))
+    assert sums.tolist() == [table[g].sum(axis=0).tolist() for g in got]
+
+
 def test_hilbert_neighbours_touch():
     points = np.array(list(itertools.product(range(8), repeat=3)))
     index = packing.hilbert_index(points, bits=3)
