@@ -2,16 +2,18 @@
 
 The states are all n-grams of the training texts (those longer than a word that occur at least
 ``MIN_COUNT`` times, which is once), so the model grows with the corpus. States are keyed by 64-bit hashes
-and stay in a distributed table; no task, nor the driver, holds the model.
+and dealt out in buckets of bounded size; no task, nor the driver, holds the model.
 
-Counting goes by order; a task sends each distinct n-gram of a stretch of text once. An n-gram can
-be frequent only if its first and last words without one are, so a bit filter of fixed size over
-the frequent ones of the order before drops many others; it never drops a frequent one.
+Documents are cut into chunks of bounded size, apart for training and held-out texts. Order by order,
+from the longest n-grams to the words, a chunk sends each bucket its distinct n-grams with how often they
+occur in it; the bucket adds them up and answers every chunk in the order in which it asked, so hashes
+move once and answers have none. A state's arcs are the n-grams one word longer: the bucket that counts
+one of those names one chunk as its owner, and the owner adds it to its context's arcs, which are sent
+along with the context. So neither a frequent word nor its many arcs ever meet in one place.
 
-Scoring: documents are cut into chunks of bounded size. A chunk asks for the states it may need,
-which are joined by hash, and then traverses its texts from left to right: an arc of the state
-(context and word kept) adds its discounted share, the failure arc leads to the context of one word
-less, with the weight that the state's arcs leave over, and last to the unigrams.
+Scoring: a chunk traverses its texts: an arc of the state (context and word kept) adds its discounted
+share, the failure arc leads to the context of one word less, with the weight that the state's arcs
+leave over, and last to the unigrams.
 
 Defined cases: a null text is empty and has the end token alone; with no training documents all
 scores are 0; every row gives a row, repeated ones too; a null id is training data. Two of V words
@@ -30,15 +32,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.staging import shuffle_partitions, staged
+from lagline.llm.staging import released, shuffle_partitions
+from lagline.llm.tokens import Codes
 
 ORDER = 3
 MIN_COUNT = 1  # every n-gram of the training texts is a state; more is a smaller model
 DISCOUNT = 0.75
-CHUNK_BYTES = 32 << 20
-STRETCH = 3_000_000  # tokens whose n-grams a task counts before it sends them
-PIECE = 500_000  # tokens whose n-grams are made at once
-FILTER_BITS = 27  # 16 MB at any size of the corpus
+CHUNK_BYTES = 8 << 20  # of texts, at which a chunk ends
+STRETCH = 2_000_000  # tokens, at which a chunk ends
+PIECE = 2_000_000  # tokens of the corpus for each bucket
+BUCKETS = 200  # or fewer, four a shuffle partition, while the corpus is small
 END = b"\n"  # no word holds a line break
 
 
@@ -51,14 +54,6 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
-class _Hashes(dict):
-    """Hash of each word, computed once."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
 def _joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of the n-gram that ``word`` makes of ``context``."""
     h = (context ^ (context >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + word
@@ -66,137 +61,48 @@ def _joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _grams(words: np.ndarray, lengths: list[int], order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """By order: the n-gram ending at each position, and whether its text has room for it."""
-    room = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out = [(words, room >= 0)]
-    for o in range(2, order + 1):
-        gram = np.zeros_like(words)
-        gram[1:] = _joined(out[-1][0][:-1], words[1:])
-        out.append((gram, room >= o - 1))
-    return out
-
-
-def _may_pass(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    slot = grams >> np.uint64(64 - FILTER_BITS)
-    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-
-
-def _candidates(grams: list[tuple[np.ndarray, np.ndarray]], o: int, filters: dict[int, np.ndarray]) -> np.ndarray:
-    """Positions whose n-gram of order ``o`` has room and, where shorter ones were counted, frequent parts."""
-    use = grams[o - 1][1].copy()
-    if o - 1 in filters:
-        passing = _may_pass(filters[o - 1], grams[o - 2][0])
-        use[1:] &= passing[:-1]
-        use &= passing
-    return use
-
-
-def _pieces(texts: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-    """Whole texts in lists of about ``PIECE`` tokens, so that what is made of each stays small."""
-    piece: list[np.ndarray] = []
-    size = 0
-    for text in texts:
-        piece.append(text)
-        size += len(text)
-        if size > PIECE:
-            yield piece
-            piece, size = [], 0
-    if piece:
-        yield piece
-
-
-def _counts(batches: Iterator[pa.RecordBatch], order: int, held: object) -> Iterator[pa.RecordBatch]:
-    """Rows (h, n): distinct n-grams of one order in stretches of text."""
-    filters, hashes = held.value, _Hashes()
-    words: list[np.ndarray] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        hashes.clear()
-        found = []
-        for piece in _pieces(words):
-            grams = _grams(np.concatenate(piece), [len(w) for w in piece], order)
-            found.append(grams[-1][0][_candidates(grams, order, filters)])
-        words.clear()
-        h, n = np.unique(np.concatenate(found), return_counts=True)
-        for s in range(0, len(h), 200_000):
-            some = [pa.array(h[s : s + 200_000].view(np.int64)), pa.array(n[s : s + 200_000])]
-            yield pa.RecordBatch.from_arrays(some, names=["h", "n"])
-
-    size = 0
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            for text in batch.column("text").slice(at, 256).to_pylist():
-                own = tokens(text)
-                words.append(np.fromiter(map(hashes.__getitem__, own), np.uint64, len(own)))
-                size += len(own)
-                if size > STRETCH:
-                    yield from flush()
-                    size = 0
-    if words:
-        yield from flush()
-
-
-def _filter(kept: DataFrame) -> np.ndarray:
-    """A bit for every hash; gathered word by word, at most 2^(FILTER_BITS - 6) of them."""
-    slot = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    parts = kept.select(F.shiftright(slot, 6).alias("w"), slot.bitwiseAND(63).cast("int").alias("b"))
-    found = parts.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[found.column("w").to_numpy()] = found.column("bits").to_numpy()
-    return bits.view(np.uint64)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], order: int, held: object) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk, kind, doc_id, held_out, codes, h, context): states asked for, the words' hashes, documents."""
-    filters, part, seq = held.value, TaskContext.get().partitionId(), 0
-    names = ["chunk", "kind", "doc_id", "held_out", "codes", "h", "context"]
-    types = [pa.int64(), pa.int32(), None, pa.bool_(), pa.binary(), pa.int64(), pa.int64()]
-    codes: dict[bytes, int] = {}
-    texts: list[np.ndarray] = []
-    size = 0
-
-    def rows(n: int, **given: object) -> pa.RecordBatch:
-        given["chunk"] = pa.array(np.full(n, (part << 32) | seq))
-        columns = [given.get(c) if c in given else pa.nulls(n, t) for c, t in zip(names, types)]
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names=names)
-
-    def asked() -> Iterator[pa.RecordBatch]:
-        spelled = np.fromiter(map(xxhash.xxh3_64_intdigest, codes), np.uint64, len(codes))
-        yield rows(1, kind=[1], codes=[spelled.tobytes()])
-        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {o: [] for o in range(2, order + 1)}
-        for piece in _pieces(texts):
-            grams = _grams(spelled[np.concatenate(piece)], [len(t) for t in piece], order)
-            for o in found:
-                at = np.flatnonzero(_candidates(grams, o, filters) & _may_pass(filters[o], grams[o - 1][0]))
-                h, first = np.unique(grams[o - 1][0][at], return_index=True)
-                found[o].append((h, grams[o - 2][0][at[first] - 1]))
-        wanted = [(np.unique(spelled), None)]
-        for some in found.values():
-            h, first = np.unique(np.concatenate([h for h, _ in some]), return_index=True)
-            wanted.append((h, np.concatenate([c for _, c in some])[first]))
-        for h, context in wanted:
-            for s in range(0, len(h), 200_000):
-                some = h[s : s + 200_000].view(np.int64)
-                more = {} if context is None else {"context": context[s : s + 200_000].view(np.int64)}
-                yield rows(len(some), kind=[0] * len(some), h=some, **more)
+class _Open:
+    """A chunk that is being filled."""
+
+    def __init__(self) -> None:
+        self.code = Codes()
+        self.ids: list = []
+        self.codes: list[np.ndarray] = []
+        self.bytes = self.tokens = 0
+
+    def add(self, doc_id: object, text: str | None) -> None:
+        words = tokens(text)
+        self.ids.append(doc_id)
+        self.codes.append(np.fromiter(map(self.code.__getitem__, words), np.int32, len(words)))
+        self.bytes += len(text or "")
+        self.tokens += len(words)
+
+    def row(self, chunk: int, held: bool, id_type: pa.DataType) -> pa.RecordBatch:
+        lengths = np.fromiter(map(len, self.codes), np.int32, len(self.codes))
+        words = np.fromiter(map(xxhash.xxh3_64_intdigest, self.code), np.uint64, len(self.code))
+        values = [chunk, held, self.tokens, self.ids, _packed(lengths), _packed(np.concatenate(self.codes)), words.tobytes()]
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.binary()]
+        names = ["chunk", "held_out", "n_tokens", "ids", "lengths", "codes", "words"]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
 
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk: its documents' ids and lengths, their words' codes, the hash of each code."""
+    chunk, id_type = TaskContext.get().partitionId() << 32, None
+    filling = {False: _Open(), True: _Open()}
     for batch in batches:
-        types[2] = batch.schema.field("doc_id").type
+        id_type = batch.schema.field("doc_id").type
         for at in range(0, batch.num_rows, 256):
-            few = batch.slice(at, 256)
-            new = []
-            for text in few.column("text").to_pylist():
-                words = tokens(text)
-                new.append(np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int32, len(words)))
-                size += len(text or "")
-            texts += new
-            yield rows(few.num_rows, kind=[2] * few.num_rows, doc_id=few.column("doc_id"), held_out=few.column("held_out"), codes=[_packed(t) for t in new])
-            if size > CHUNK_BYTES:
-                yield from asked()
-                codes, texts, size, seq = {}, [], 0, seq + 1
-    if texts:
-        yield from asked()
+            columns = (batch.column(c).slice(at, 256).to_pylist() for c in ("doc_id", "held_out", "text"))
+            for doc_id, held, text in zip(*columns):
+                filling[held].add(doc_id, text)
+                if filling[held].bytes > CHUNK_BYTES or filling[held].tokens > STRETCH:
+                    yield filling[held].row(chunk, held, id_type)
+                    chunk, filling[held] = chunk + 1, _Open()
+    for held, rest in filling.items():
+        if rest.ids:
+            yield rest.row(chunk, held, id_type)
+            chunk += 1
 
 
 def _packed(codes: np.ndarray) -> bytes:
@@ -211,71 +117,174 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(4, n).T.copy().view(np.int32).ravel()
 
 
+def _columns_packed(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit integers of one length, byte plane by byte plane and compressed."""
+    whole = np.stack([c.astype(np.uint64) for c in columns])
+    planes = np.ascontiguousarray(whole.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1))
+    return len(columns[0]).to_bytes(4, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _columns_unpacked(raw: bytes, columns: int) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    planes = np.frombuffer(pa.decompress(raw[4:], 8 * columns * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(columns, 8, n).transpose(0, 2, 1)).view(np.uint64).reshape(columns, n)
+
+
+class _Distinct:
+    """The distinct n-grams of one order in a chunk, sorted by hash; those of texts with room for them."""
+
+    def __init__(self, grams: np.ndarray, at: np.ndarray) -> None:
+        order = np.argsort(grams[at]).astype(np.int32)
+        some = grams[at[order]]
+        new = np.append(True, some[1:] != some[:-1])[: len(some)]
+        starts = np.flatnonzero(new)
+        self.at = at
+        self.keys = some[starts]
+        self.counts = np.diff(np.append(starts, len(some))).astype(np.int32)
+        self.first = at[order[starts]]  # a position where each ends
+        self.number = np.zeros(len(grams), np.int32)  # of the n-gram ending at each position
+        self.number[at[order]] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+
+
+class _Chunk:
+    """A chunk's texts and, by order, their distinct n-grams."""
+
+    def __init__(self, row: dict) -> None:
+        self.chunk, self.held, self.ids = row["chunk"], row["held_out"], row["ids"]
+        self.lengths = _unpacked(row["lengths"])
+        codes = _unpacked(row["codes"])
+        self.grams = [np.frombuffer(row["words"], np.uint64)[codes]]
+        starts = np.cumsum(self.lengths, dtype=np.int32) - self.lengths
+        self.room = np.arange(len(codes), dtype=np.int32) - np.repeat(starts, self.lengths)
+
+    def distinct(self, order: int) -> _Distinct:
+        while len(self.grams) < order:
+            gram = np.zeros_like(self.grams[0])
+            gram[1:] = _joined(self.grams[-1][:-1], self.grams[0][1:])
+            self.grams.append(gram)
+        return _Distinct(self.grams[order - 1], np.flatnonzero(self.room >= order - 1).astype(np.int32))
+
+
+def _answers(table: pa.Table, order: int, top: int) -> np.ndarray:
+    """What the buckets answered for the n-grams of one order, in their order: count, owner, count without arcs, arcs."""
+    some = sorted((bucket, body) for o, bucket, body in zip(*(table.column(c).to_pylist() for c in ("ord", "bucket", "body"))) if o == order)
+    width = 2 if order == top else 4
+    return np.concatenate([np.empty((width, 0), np.int64), *(_columns_unpacked(body, width).view(np.int64) for _, body in some)], axis=1)
+
+
+def _asked(chunk: _Chunk, order: int, top: int, buckets: int, above: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, chunk, body): a chunk's n-grams of one order, with the arcs that it owns."""
+    own = chunk.distinct(order)
+    columns = [np.zeros_like(own.counts) if chunk.held else own.counts]
+    if order < top:
+        longer = chunk.distinct(order + 1)
+        mine = above[1] == 1
+        context = own.number[longer.first[mine] - 1]
+        columns += [np.bincount(context, above[0][mine], len(own.keys)).astype(np.int64), np.bincount(context, minlength=len(own.keys))]
+    bucket = (own.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)]), len(bucket)).tolist()
+    ranges = list(zip(cuts, cuts[1:]))
+    for some in (ranges[i : i + 64] for i in range(0, len(ranges), 64)):
+        bodies = [_columns_packed(np.diff(own.keys[s:e], prepend=np.uint64(0)), *(c[s:e] for c in columns)) for s, e in some]
+        rows = [pa.array([int(bucket[s]) for s, _ in some], pa.int32()), pa.array([chunk.chunk] * len(some), pa.int64()), pa.array(bodies, pa.binary())]
+        yield pa.RecordBatch.from_arrays(rows, names=["bucket", "chunk", "body"])
+
+
+REQUEST = "bucket int, chunk long, body binary"
+ANSWER = "ord int, bucket int, chunk long, body binary, n long, v long, once long, twice long"
+
+
+def _asked_first(batches: Iterator[pa.RecordBatch], top: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Requests for the longest n-grams."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            (row,) = batch.slice(at, 1).to_pylist()
+            yield from _asked(_Chunk(row), top, top, buckets, None)
+
+
+def _asked_next(chunks: pa.Table, answers: pa.Table, order: int, top: int, buckets: int) -> pa.Table:
+    """Requests of a chunk that got the answers for n-grams of one word more."""
+    (row,) = chunks.to_pylist()
+    asked = _asked(_Chunk(row), order, top, buckets, _answers(answers, order + 1, top))
+    return pa.Table.from_batches(asked, pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("body", pa.binary())]))
+
+
+def _answered(table: pa.Table, order: int, top: int) -> pa.Table:
+    """Answers of a bucket to all chunks that asked, and how many n-grams it holds."""
+    width = 2 if order == top else 4
+    asked = [_columns_unpacked(body, width) for body in table.column("body").to_pylist()]
+    keys = np.concatenate([np.cumsum(a[0], dtype=np.uint64) for a in asked])
+    by_key = np.argsort(keys, kind="stable")
+    new = np.append(True, keys[by_key[1:]] != keys[by_key[:-1]])
+    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+    sums = [np.add.reduceat(np.concatenate([a[i] for a in asked]).view(np.int64)[by_key], starts) for i in range(1, width)]
+    count = sums[0] if order == 1 else np.where(sums[0] >= MIN_COUNT, sums[0], 0)
+    owner = np.zeros(len(keys), np.int64)
+    owner[by_key[starts]] = count > 0
+    back = [np.empty(len(keys), np.int64) for _ in range(width)]
+    back[0][by_key], back[1] = count[group], owner
+    if order < top:
+        back[2][by_key], back[3][by_key] = (count - sums[1])[group], sums[2][group]
+    ends = np.cumsum([a.shape[1] for a in asked])
+    bodies = [_columns_packed(*(b[e - a.shape[1] : e] for b in back)) for a, e in zip(asked, ends)]
+    facts = {"n": count.sum(), "v": (count > 0).sum(), "once": (count == 1).sum(), "twice": (count == 2).sum()}
+    rest = [0] * (len(asked) - 1)
+    columns = {"ord": pa.array([order] * len(asked), pa.int32()), "bucket": table.column("bucket"), "chunk": table.column("chunk"), "body": pa.array(bodies, pa.binary())}
+    return pa.table(columns | {k: pa.array([int(f), *rest], pa.int64()) for k, f in facts.items()})
+
+
 class Automaton:
-    """The states a chunk needs: hash, count, and the arcs' count and number of each."""
-
-    def __init__(self, states: np.ndarray, counts: np.ndarray, arc_counts: np.ndarray, arcs: np.ndarray) -> None:
-        order = np.argsort(states)
-        self.states = states[order]
-        # One more for "no such state": it has no arcs, and all its weight is on the failure arc.
-        self.counts, self.arc_counts, self.arcs = (np.append(a[order], 0).astype(np.float64) for a in (counts, arc_counts, arcs))
-
-    def at(self, grams: np.ndarray) -> np.ndarray:
-        if not len(self.states):
-            return np.zeros(len(grams), np.int64)
-        found = np.minimum(np.searchsorted(self.states, grams), len(self.states) - 1)
-        return np.where(self.states[found] == grams, found, len(self.states))
-
-    def traverse(self, states: list[np.ndarray], unigram: np.ndarray) -> np.ndarray:
-        """Log weight of every token from the states reached, by order, and the unigram probabilities."""
-        p = unigram
-        for o in range(1, len(states)):
-            context = np.append(len(self.states), states[o - 1][:-1])
-            seen = np.maximum(self.counts[context], 1)
-            failure = 1 - (self.arc_counts[context] - DISCOUNT * self.arcs[context]) / seen
-            p = np.maximum(self.counts[states[o]] - DISCOUNT, 0) / seen + failure * p
+    """The states of a chunk's n-grams, of two orders at a time: their numbers at each position, and what was answered."""
+
+    def __init__(self, chunk: _Chunk, answers: pa.Table, top: int) -> None:
+        self.chunk, self.answers, self.top = chunk, answers, top
+        self.words = self._states(1)
+
+    def _states(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        own = self.chunk.distinct(order)
+        return own.at, own.number, _answers(self.answers, order, self.top)
+
+    def counts(self) -> np.ndarray:
+        _, number, (count, *_) = self.words
+        return count[number]
+
+    def traverse(self, unigram: np.ndarray) -> np.ndarray:
+        """Log weight of every token, given the unigram probabilities."""
+        p = unigram.copy()
+        shorter = self.words
+        for order in range(2, self.top + 1):
+            _, context, (total, _, without, arcs) = shorter
+            seen = np.maximum(total, 1)
+            failure = 1 - (total - without - DISCOUNT * arcs) / seen
+            at, number, facts = shorter = self._states(order)
+            context = context[at - 1]
+            p[at] = np.maximum(facts[0][number[at]] - DISCOUNT, 0) / seen[context] + failure[context] * p[at]
         return np.log10(p)
 
 
-def _scored(batches: Iterator[pa.RecordBatch], order: int, total: int, distinct: int, discount: float) -> Iterator[pa.RecordBatch]:
-    """Scores of the documents of chunks; a chunk's states come first, then its words, then the documents."""
-    chunk = model = words = None
-    asked: list[list[np.ndarray]] = []
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    for batch in batches:
-        out = []
-        of, kind = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
-        cuts = [0, *(np.flatnonzero((of[1:] != of[:-1]) | (kind[1:] != kind[:-1])) + 1), batch.num_rows]
-        for s, e in zip(cuts, cuts[1:]):
-            if s == e:
-                continue
-            if of[s] != chunk:
-                chunk, model, asked = of[s], None, []
-            part = batch.slice(s, e - s)
-            if kind[s] == 0:
-                asked.append([part.column(c).to_numpy() for c in ("h", "c", "k", "t")])
-                continue
-            if kind[s] == 1:
-                words = np.frombuffer(part.column("codes")[0].as_py(), np.uint64)
-                continue
-            if model is None:
-                h, c, k, t = (np.concatenate(a) for a in zip(*asked)) if asked else [np.empty(0, np.int64)] * 4
-                model, asked = Automaton(h.view(np.uint64), c, k, t), []
-                at_word = model.at(words)
-            for doc_id, is_held, raw in zip(*(part.column(c).to_pylist() for c in ("doc_id", "held_out", "codes"))):
-                codes = _unpacked(raw)
-                grams = _grams(words[codes], [len(codes)], order)
-                states = [at_word[codes], *(np.where(room, model.at(g), len(model.states)) for g, room in grams[1:])]
-                counts = model.counts[states[0]]
-                base = whole = 0.0
-                if total:
-                    base = float(np.log10((counts + 1) / (total + distinct + 1)).sum())
-                    unigram = np.where(counts > 0, counts - discount, discount * distinct) / total
-                    whole = float(model.traverse(states, unigram).sum())
-                out.append((doc_id, is_held, len(codes), int((counts > 0).sum()), total, base, whole))
-        if out:
-            types = (batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), types)], names=names)
+def _scored(chunks: pa.Table, answers: pa.Table, top: int, total: int, distinct: int, discount: float) -> pa.Table:
+    """Scores of a chunk's documents."""
+    (row,) = chunks.to_pylist()
+    chunk = _Chunk(row)
+    model = Automaton(chunk, answers, top)
+    counts = model.counts()
+    n = len(chunk.ids)
+    base = whole = np.zeros(len(counts))
+    if total:
+        base = np.log10((counts + 1) / (total + distinct + 1))
+        whole = model.traverse(np.where(counts > 0, counts - discount, discount * distinct) / total)
+    ends = np.cumsum(chunk.lengths).tolist()
+    parts = [slice(s, e) for s, e in zip([0, *ends], ends)]
+    columns = {
+        "doc_id": pa.array(chunk.ids, chunks.schema.field("ids").type.value_type),
+        "held_out": pa.array([chunk.held] * n, pa.bool_()),
+        "n_tokens": pa.array(chunk.lengths, pa.int64()),
+        "n_known": pa.array([int((counts[p] > 0).sum()) for p in parts], pa.int64()),
+        "train_tokens": pa.array([total] * n, pa.int64()),
+        "base_score": pa.array([float(base[p].sum()) for p in parts], pa.float64()),
+        "score": pa.array([float(whole[p].sum()) for p in parts], pa.float64()),
+    }
+    return pa.table(columns)
 
 
 def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -285,43 +294,30 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """
     if order < 2:
         raise ValueError("order is 2 or more")
-    spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    training = texts.where("NOT held_out").select("text")
-
-    def shared(filters: dict[int, np.ndarray]):
-        return spark.sparkContext.broadcast(dict(filters))
-
-    def counted(o: int) -> DataFrame:
-        rows = training.mapInArrow(partial(_counts, order=o, held=shared(filters)), "h long, n long")
-        counts = rows.groupBy("h").agg(F.sum("n").alias("c"))
-        return staged(counts if o == 1 else counts.where(F.col("c") >= MIN_COUNT), f"lm-counts-{o}")
-
-    filters: dict[int, np.ndarray] = {}
-    kept = words = counted(1)
-    filters[1] = _filter(words.where(F.col("c") >= MIN_COUNT))
-    facts = words.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")
-    ).first()
-    for o in range(2, order + 1):
-        more = counted(o)
-        filters[o] = _filter(more)
-        kept = kept.union(more)
-
-    schema = f"chunk long, kind int, doc_id {id_type}, held_out boolean, codes binary, h long, context long"
-    chunks = staged(texts.mapInArrow(partial(_chunks, order=order, held=shared(filters)), schema), "lm-chunks")
-
-    arcs = chunks.where("context IS NOT NULL").groupBy("h").agg(F.min("context").alias("context")).join(kept, "h")
-    of_state = arcs.groupBy(F.col("context").alias("h")).agg(F.sum("c").alias("k"), F.count("*").alias("t"))
-    states = chunks.where("kind = 0").select("chunk", "h").join(kept, "h").join(of_state, "h", "left")
-    none = [F.lit(None).cast(k).alias(c) for c, k in (("doc_id", id_type), ("held_out", "boolean"), ("codes", "binary"))]
-    states = states.select("chunk", F.lit(0).alias("kind"), "h", "c", F.coalesce("k", F.lit(0)).alias("k"), F.coalesce("t", F.lit(0)).alias("t"), *none)
-    zero = [F.lit(0).cast("long").alias(c) for c in ("h", "c", "k", "t")]
-    rows = states.union(chunks.where("kind > 0").select("chunk", "kind", *zero, "doc_id", "held_out", "codes"))
-    rows = rows.repartition(shuffle_partitions(docs), "chunk").sortWithinPartitions("chunk", "kind")
-
-    once, twice = facts["once"], facts["twice"]
-    discount = (once + 1) / (once + 2 * twice + 2)
+    schema = f"chunk long, held_out boolean, n_tokens long, ids array<{id_type}>, lengths binary, codes binary, words binary"
+    chunks = released(texts.mapInArrow(_chunks, schema), "lm-chunks")
+    n_tokens = chunks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first()["n"]
+    buckets = max(1, n_tokens // PIECE, min(4 * shuffle_partitions(docs), BUCKETS, n_tokens // 1000))
+
+    def counted(o: int, above: DataFrame | None) -> DataFrame:
+        if above is None:
+            asked = chunks.mapInArrow(partial(_asked_first, top=order, buckets=buckets), REQUEST)
+        else:
+            asking = partial(_asked_next, order=o, top=order, buckets=buckets)
+            both = chunks.groupBy("chunk").cogroup(above.groupBy("chunk"))
+            asked = both.applyInArrow(lambda chunk, answers: asking(chunk, answers), REQUEST)
+        answering = partial(_answered, order=o, top=order)
+        return released(asked.groupBy("bucket").applyInArrow(lambda table: answering(table), ANSWER), f"lm-counts-{o}")
+
+    kept = above = None
+    for o in range(order, 0, -1):
+        above = counted(o, above)
+        kept = above if kept is None else kept.union(above)
+
+    facts = above.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "once", "twice"))).first()
+    discount = (facts["once"] + 1) / (facts["once"] + 2 * facts["twice"] + 2)
+    scoring = partial(_scored, top=order, total=facts["n"], distinct=facts["v"], discount=discount)
     result = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.mapInArrow(partial(_scored, order=order, total=facts["n"], distinct=facts["v"], discount=discount), result)
+    return chunks.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(lambda chunk, answers: scoring(chunk, answers), result)

@@ -20,10 +20,12 @@ def released(df: DataFrame, name: str) -> DataFrame:
     """``staged``, after which the shuffle files that led to the table are given up at once.
 
     Spark deletes the files of a shuffle when the driver's garbage collector finds it unused, which
-    may take half an hour; a chain of large steps would pile them up until then.
+    may take half an hour; a chain of large steps would pile them up until then. Spark's threads hold on
+    to the last job, so there is one more, of a single row, before the collector is asked.
     """
     out = staged(df, name)
     del df
+    out.sparkSession.range(1).collect()
     gc.collect()
     out.sparkSession._jvm.System.gc()
     return out

@@ -33,10 +33,10 @@ def _printable(word: str) -> str:
     return word.encode().decode("latin-1").translate(_PRINTABLE)
 
 
-class _Codes(dict):
+class Codes(dict):
     """A number for each word, from 0 on in the order in which they come."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         self[word] = code = len(self)
         return code
 
@@ -54,7 +54,7 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.code = _Codes()
+        self.code = Codes()
         self.pool = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -453,6 +454,44 @@ def test_codes_come_back_unchanged():
         assert (lm._unpacked(lm._packed(codes)) == codes).all()
 
 
+def test_columns_come_back_unchanged():
+    for n in (0, 1, 1000):
+        columns = np.random.default_rng(n).integers(0, 2**63, (3, n)) >> np.array([[0], [40], [62]])
+        assert (lm._columns_unpacked(lm._columns_packed(*columns), 3) == columns.astype(np.uint64)).all()
+
+
+def test_each_ngram_of_a_chunk_moves_once(spark, monkeypatch):
+    asked = []
+    answered = lm.released
+    monkeypatch.setattr(lm, "released", lambda df, name: asked.append((name, df)) or answered(df, name))
+    df = spark.createDataFrame([(i, "the same words again and again") for i in range(500)], "doc_id long, text string").coalesce(1)
+    got = lm.score(df).collect()
+    assert len(got) == 500 and len({(r["held_out"], r["score"]) for r in got}) == 2
+    answers = {name: d.collect() for name, d in asked}
+    # One training and one held-out chunk: 6 words, 6 pairs and 5 triples with the end, whatever the number of texts.
+    for name, width, distinct in (("lm-counts-1", 4, 6), ("lm-counts-2", 4, 6), ("lm-counts-3", 2, 5)):
+        sizes = [lm._columns_unpacked(r["body"], width).shape[1] for r in answers[name]]
+        assert sum(sizes) == 2 * distinct
+        assert sum(r["v"] for r in answers[name]) == distinct
+
+
+def test_shuffle_files_are_given_up_after_a_step(spark):
+    from lagline.llm.staging import released
+
+    def files():
+        found = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle")}
+
+    before = files()
+    out = released(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "given-up")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert out.count() == 7
+
+
 # --- pipeline
 
 
