@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagline.llm.batches import TEXT_BYTES, by_size
 from lagline.llm.components import components
 from lagline.llm.staging import fresh, released, shuffle_partitions
 
@@ -83,7 +84,7 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 def _sketched(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, size=TEXT_BYTES):
             sets = [shingle_set(t, size) for t in batch.column("text").to_pylist()]
             kept = [s[:KEPT].astype(np.int64) for s in sets]
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
@@ -117,7 +118,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, size=TEXT_BYTES):
             slot = batch.column("slot").to_numpy()
             batch = batch.filter(pa.array((held.value[slot >> 6] >> (slot & 63)) & 1 == 1))
             if batch.num_rows:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lagline.llm.batches import by_size
+from lagline.llm.batches import TEXT_BYTES, by_size
 from lagline.llm.staging import shuffle_partitions, staged
 from lagline.llm.tokens import word_encoder
 
@@ -29,7 +29,6 @@ SEQUENCE = 4096
 END_ID = 2
 DIMENSIONS = 3
 BITS = 16
-SLICE_BYTES = 1 << 20  # of texts that are cut into words together
 SPREAD = 4.0  # how far means of signs are stretched before they are squashed to the curve's range
 
 
@@ -90,7 +89,7 @@ def _encoded(path: str, end_id: int):
         encoder = word_encoder(path)
         narrow = np.uint16 if encoder.vocabulary <= 1 << 16 and end_id < 1 << 16 else np.uint32
         table = signs(np.arange(encoder.vocabulary)).astype(np.int8).T.copy()
-        for part in by_size(batches, size=SLICE_BYTES):
+        for part in by_size(batches, size=TEXT_BYTES):
             ids = encoder.many([t or "" for t in part.column("text").to_pylist()])
             counts = np.fromiter(map(len, ids), np.int64, len(ids))
             sums = sign_sums(table, np.concatenate(ids), counts)
@@ -121,23 +120,21 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out: list[tuple] = []
-                columns = (part.column(c).to_pylist() for c in ("doc_id", "n_ids", "place", "ids"))
-                for doc_id, n, place, raw in zip(*columns):
-                    ids = np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32).astype("<u4")
-                    start = 0
-                    while start < n:
-                        offset = (place + start) % size
-                        length = min(size - offset, n - start)
-                        out.append((doc_id, start, length, ids[start : start + length].tobytes(), n, (place + start) // size, offset))
-                        start += length
-                if out:
-                    kinds = (part.column("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-                    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+        for part in by_size(batches, "ids", TEXT_BYTES):
+            out: list[tuple] = []
+            columns = (part.column(c).to_pylist() for c in ("doc_id", "n_ids", "place", "ids"))
+            for doc_id, n, place, raw in zip(*columns):
+                ids = np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32).astype("<u4")
+                start = 0
+                while start < n:
+                    offset = (place + start) % size
+                    length = min(size - offset, n - start)
+                    out.append((doc_id, start, length, ids[start : start + length].tobytes(), n, (place + start) // size, offset))
+                    start += length
+            if out:
+                kinds = (part.column("doc_id").type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+                names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     return run
 

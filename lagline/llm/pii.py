@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lagline.llm.batches import mapped
+
 KINDS = ("email", "ip", "card", "phone")
 
 # What the kinds look like. Possessive runs and look-behinds only keep long runs of
@@ -257,8 +259,8 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def redacted(text: Column) -> Column:
     """The text with each find replaced by its kind in angle brackets; null stays null."""
 
-    @F.pandas_udf("string")
-    def replace(texts):
-        return texts.map(lambda t: t if t is None else _redacted(t, find(t)))
+    @F.arrow_udf("string")
+    def replace(texts: pa.Array) -> pa.Array:
+        return mapped(texts, lambda t: t if t is None else _redacted(t, find(t)), texts.type)
 
     return replace(text)

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lagline.llm.batches import mapped
 from lagline.llm.staging import staged
 
 SAMPLE = 8_000
@@ -363,8 +364,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def remove_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Documents below the threshold, with all their columns; texts aren't shuffled."""
 
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.map(lambda t: model.judge(t)[0])
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return mapped(texts, lambda t: model.judge(t)[0], pa.float64())
 
     return docs.where(score(F.coalesce("text", F.lit(""))) < threshold)

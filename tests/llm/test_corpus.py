@@ -5,14 +5,17 @@ import hashlib
 import itertools
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lagline.llm import decontamination, fingerprints, lm, neardup, packing, pii, repeats, successors, tokencount, tokens, toxicity, warc
+from lagline.llm.batches import TEXT_BYTES, by_size, mapped
 from lagline.llm.components import components
 from lagline.llm.registry import load_all
 from tests.compare import connect, difference
@@ -541,3 +544,44 @@ def test_every_ngram_of_training_texts_is_a_state(spark, monkeypatch):
     monkeypatch.setattr(lm, "MIN_COUNT", 8)
     fewer = {r["doc_id"]: r["score"] for r in lm.score(df).collect()}
     assert all(r["score"] > fewer[r["doc_id"]] for r in got if not r["held_out"])
+
+
+def test_slices_dont_hold_their_batch():
+    held, floor = [], pa.total_allocated_bytes()
+
+    def batches():
+        for _ in range(3):
+            held.append(pa.total_allocated_bytes() - floor)
+            yield pa.RecordBatch.from_pydict({"text": ["x" * 1000] * 8000})
+
+    rows = 0
+    for part in by_size(batches(), size=1 << 18):
+        rows += part.num_rows
+    assert rows == 24000 and max(held) < 1 << 20  # a batch has 8 MB
+
+
+def test_few_texts_at_once_are_python_strings():
+    texts = [None, "", "é🙂"] + [f"{i} " * 200 for i in range(10000)]
+    column = pa.array(texts)
+    tracemalloc.start()
+    got = mapped(column, lambda t: -1 if t is None else len(t), pa.int64())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == [-1 if t is None else len(t) for t in texts]
+    assert peak < 4 * TEXT_BYTES < column.nbytes
+    assert mapped(column, lambda t: t, column.type).equals(column) and mapped(column[:0], len, pa.int64()).to_pylist() == []
+
+
+def test_stages_take_a_long_batch_in_slices():
+    texts = [None, ""] + [f"{i} " * 200 for i in range(3000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text_key": range(len(texts)), "text": texts})
+    found = list(neardup._sketched(4)(iter([batch])))
+    assert len(found) > 1 and sum((f.column("doc_id").to_pylist() for f in found), []) == list(range(len(texts)))
+    assert sum((f.column("n").to_pylist() for f in found), []) == [len(neardup.shingle_set(t, 4)) for t in texts]
+    raw = [np.arange(i % 3000 + 1, dtype=np.uint16).tobytes() for i in range(3000)]
+    counts = [len(r) // 2 for r in raw]
+    places = np.cumsum(counts) - counts
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(3000), "n_ids": counts, "place": places, "ids": raw})
+    cut = list(packing._cut(4096)(iter([batch])))
+    assert len(cut) > 6 and sum((c.column("length").to_pylist() for c in cut), [])[:2] == [1, 2]
+    assert sum(sum(c.column("length").to_pylist()) for c in cut) == sum(counts)
