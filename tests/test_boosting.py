@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lagline.operators import boosting, learning
+from lagline.session import scratch_dir
 
 PARAMS = {"n_estimators": 6, "max_depth": 3, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
 
@@ -158,3 +159,48 @@ def test_siblings_follow_from_their_parent():
     summed = np.where(lighter[None, :, None], left, right)
     got = boosting._with_siblings(summed, left + right, lighter)
     assert (got[:, 0::2] == left).all() and (got[:, 1::2] == right).all()
+
+
+def test_rows_of_codes_walk_as_rows_of_bins():
+    rng = np.random.default_rng(7)
+    n, sizes = 400, np.array([9, 3, 3, 3, 256])
+    hot = rng.integers(0, 4, n)
+    bins = np.stack([rng.integers(0, 9, n), hot == 1, 2 * (hot == 2), 2 * (hot == 3), rng.integers(0, 256, n)]).astype(np.uint8)
+    (together,) = boosting._together(iter([{"bins": bins.tobytes()}]), len(bins))
+    shared = boosting.Shared.of(together > 0, sizes)
+    assert len(shared.offsets) - 1 < len(sizes)
+    tree = boosting.Tree.empty(5)
+    for i in range(25):  # the nodes after these are leaves
+        tree.feature[i] = rng.integers(0, len(sizes))
+        tree.bin[i] = rng.integers(0, sizes[tree.feature[i]] - 1)
+    tree.feature[4] = -1  # a leaf in the middle
+    for depth in range(6):
+        assert (boosting._walked(shared.codes(bins), boosting._steps(tree, shared, sizes), depth) == tree.leaves(bins, depth)).all()
+
+
+def test_old_checkpoints_do_not_pile_up(spark, monkeypatch):
+    x, y = table(200)
+    monkeypatch.setattr(boosting, "CUT_ROUNDS", 2)
+    spark.sparkContext.setCheckpointDir(scratch_dir(spark))
+    held = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    files = held.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def checkpoints():
+        return sum(f.getPath().getName().startswith("rdd-") for f in files.listStatus(held))
+
+    before = checkpoints()
+    learning.boosted(PARAMS, "features", "label", keys=["row_id"]).fit(frame(spark, x, y))
+    assert checkpoints() == before
+
+
+def test_small_parts_are_dealt_to_the_cores(spark, monkeypatch):
+    """Tasks are as many as cores, however many small files the rows come in."""
+    x, y = table(300)
+    parts = []
+    kept = boosting._held
+    monkeypatch.setattr(boosting, "_held", lambda rdd: parts.append(rdd.getNumPartitions()) or kept(rdd))
+    df = frame(spark, x, y).repartition(40)
+    monkeypatch.setattr(boosting, "stage_table", lambda df, name: df)
+    learning.boosted(PARAMS | {"n_estimators": 1}, "features", "label", keys=["row_id"]).fit(df)
+    assert set(parts) == {spark.sparkContext.defaultParallelism}
+    assert boosting._tasks(spark, 100 * boosting.TASK_BYTES) == 100
