@@ -1,5 +1,6 @@
 """The whole preparation against a plain pandas computation, and its life after saving."""
 
+import importlib
 from dataclasses import replace
 
 import numpy as np
@@ -10,15 +11,18 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lagline import fixed_values as fixed
-from lagline.operators import learning
+from lagline.operators import cleaning, learning
 from lagline.plans import train as training
 from lagline.plans.evaluate import evaluate
-from lagline.plans.examples import LINES_CONFIG, raw_lines
+from lagline.plans.examples import LINES_CONFIG, RAW_COLUMNS, raw_lines
 from lagline.plans.prepare import FEATURES, PrepareConfig, prepare, prepare_new
+from lagline.sources import tables
 from lagline.sources.prepared import load_stages, save_stages
 from lagline.sources.tables import LINE_KEY, order_lines
 from lagline.streaming.scoring import score_new, write_scores
 
+prepare_plan = importlib.import_module("lagline.plans.prepare")
+
 
 @pytest.fixture(scope="module")
 def lines(spark, sf):
@@ -219,3 +223,36 @@ def test_search_fits_once_what_ended_before_its_last_step(spark, monkeypatch):
     assert len(fits) == 2 * 3 * 2 + 1  # one step isn't enough, 200 are; the last fit is of the best point
     by_point = {(p["C"], p["max_iter"]): s for p, s in found.scores}
     assert all(by_point[c, 200] == by_point[c, 500] for c in (0.1, 10.0))
+
+
+def test_lines_joined_in_shares_are_the_same_lines(spark, sf):
+    whole = sorted(map(tuple, tables.order_lines(spark, sf, RAW_COLUMNS).collect()))
+    read = tables.staged_lines(spark, sf, RAW_COLUMNS, share_bytes=20_000)
+    assert sorted(map(tuple, read.collect())) == whole
+    shares = [tables.order_lines(spark, sf, ["l_orderkey"], (k, 5)).count() for k in range(5)]
+    assert sum(shares) == len(whole) and all(0 < n < len(whole) / 2 for n in shares)
+
+
+def test_preparation_keeps_no_table_that_nothing_reads(spark, sf, monkeypatch):
+    """The distinct rows go when the prepared rows are written; these don't need them."""
+    removed = []
+    kept = prepare_plan.remove
+    monkeypatch.setattr(prepare_plan, "remove", lambda spark, path: removed.append(path) or kept(spark, path))
+    done = prepare(raw_lines(spark, sf), LINES_CONFIG)
+    assert len(removed) == 1 and "distinct-rows" in removed[0]
+    files = spark._jvm.org.apache.hadoop.fs.Path(removed[0])
+    assert not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files)
+    assert done.rows.count() == done.checks.found["rows"]
+
+
+def test_copies_compared_in_shares_leave_the_same_rows(spark, monkeypatch, lines, done):
+    rows = [(i % 4, None if i % 3 else "x", i % 5) for i in range(200)] + [(i, "alone", -1) for i in range(100, 140)]
+    df = spark.createDataFrame(rows, "a int, b string, c int").repartition(5)
+    parts = cleaning.distinct_parts(df, 3)
+    assert len(parts) == 4 and all(p.count() < len(set(rows)) for p in parts)
+    key = lambda r: tuple(map(str, r))
+    assert sorted((tuple(r) for p in parts for r in p.collect()), key=key) == sorted(set(rows), key=key)
+    monkeypatch.setattr(prepare_plan, "shares_of", lambda *_: 4)
+    shared = prepare(lines.unionAll(lines), LINES_CONFIG)
+    ids = lambda d: sorted((r["row_id"], r["split"]) for r in d.rows.select("row_id", "split").collect())
+    assert ids(shared) == ids(done) and shared.feature_names == done.feature_names
